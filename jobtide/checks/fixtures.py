@@ -61,6 +61,8 @@ SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'BoardB' ELSE 'BoardA' END AS source,
 FROM orders
 """
 
+POSTING_KEYS = "SELECT DISTINCT source, source_job_id, CAST(source_job_id AS BIGINT) AS job_no FROM postings"
+
 _K = "job_no"
 DESCRIPTIONS = f"""
 SELECT source, source_job_id,
@@ -82,7 +84,7 @@ SELECT source, source_job_id,
            || split_part('machine learning|data modeling|AWS Certified Developer', '|', CAST({_K} % 3 + 1 AS INT))
            || '</li></ul></div>'
        END AS html_description
-FROM (SELECT DISTINCT source, source_job_id, CAST(source_job_id AS BIGINT) AS job_no FROM postings) k
+FROM posting_keys
 WHERE {_K} % 5 <> 0
 """
 
@@ -99,7 +101,7 @@ SELECT source, source_job_id,
          WHEN 7 THEN '["Python"]'
          ELSE '{"min_years":2.5,"max_years":"many"}'
        END AS response
-FROM (SELECT DISTINCT source, source_job_id, CAST(source_job_id AS BIGINT) AS job_no FROM postings) k
+FROM posting_keys
 """
 
 # Pages as postings show them: the text sits in one of the known containers, in

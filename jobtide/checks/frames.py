@@ -26,8 +26,18 @@ class Frames:
         self.sf_dir = sf_dir.rstrip("/")
         self._tag = f"jt{zlib.crc32(self.sf_dir.encode()):08x}"
 
+    @property
+    def cores(self) -> int:
+        return min(self.spark.sparkContext.defaultParallelism, 64)
+
+    def is_small(self, table: DataFrame) -> bool:
+        """Is the table read by fewer tasks than there are cores?"""
+        return table.rdd.getNumPartitions() < self.cores
+
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table.  One small file would keep one core busy and the rest idle."""
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return table.repartition(self.cores) if self.is_small(table) else table
 
     def derived(self, sql: str, source: str, frame: DataFrame) -> DataFrame:
         view = f"{self._tag}_{source}"
@@ -48,13 +58,21 @@ class Frames:
         earlier = self.postings.filter(F.col("created_at") < timestamp(X.LANDED_UNTIL))
         return with_load_time(first_per_key(earlier, ["seq"]), "jobs_raw", X.AS_OF).drop("seq")
 
+    @cached_property
+    def posting_keys(self) -> DataFrame:
+        """Distinct keys.  A fixed number of partitions keeps a small set spread."""
+        postings = self.postings
+        if self.is_small(self.spark.read.parquet(f"{self.sf_dir}/orders.parquet")):
+            postings = postings.repartition(self.cores, *KEY)
+        return self.derived(X.POSTING_KEYS, "postings", postings)
+
     @cached_property
     def descriptions(self) -> DataFrame:
-        return self.derived(X.DESCRIPTIONS, "postings", self.postings)
+        return self.derived(X.DESCRIPTIONS, "posting_keys", self.posting_keys)
 
     @cached_property
     def responses(self) -> DataFrame:
-        return self.derived(X.RESPONSES, "postings", self.postings)
+        return self.derived(X.RESPONSES, "posting_keys", self.posting_keys)
 
     @cached_property
     def job_pages(self) -> DataFrame:

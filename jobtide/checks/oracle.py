@@ -299,6 +299,7 @@ TABLES: dict[str, str] = {
     "loaded": f"SELECT * REPLACE (coalesce(fetched_at, {AS_OF}) AS fetched_at) FROM postings",
     "jobs_raw": f"SELECT * EXCLUDE (n) FROM (SELECT *, {_FIRST} AS n FROM loaded) WHERE n = 1",
     "landed": f"SELECT * FROM (SELECT *, {_FIRST} AS n FROM loaded WHERE created_at < {LANDED_UNTIL}) WHERE n = 1",
+    "posting_keys": X.POSTING_KEYS,
     "descriptions": X.DESCRIPTIONS,
     "responses": X.RESPONSES,
     "job_pages": X.JOB_PAGES,

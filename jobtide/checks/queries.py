@@ -139,7 +139,7 @@ def _months(df: DataFrame) -> DataFrame:
 
 def _match(step: str) -> Query:
     def run(f: Frames) -> DataFrame:
-        staged = f.titles.withColumn("cleaned_title", titles.clean_job_title(F.col("title")))
+        staged = titles.with_clean_title(f.titles, "title")
         title = F.col("cleaned_title")
         role = {
             "exact": lambda: roles.exact_role(title, X.ROLES),
@@ -193,7 +193,7 @@ QUERIES: dict[str, Query] = {
     "normalize_bilingual": _title_step(titles.normalize_bilingual),
     "remove_seniority": _title_step(lambda t: titles.remove_seniority(titles.normalize_bilingual(t))),
     "normalize_common_terms": _title_step(lambda t: titles.normalize_common_terms(F.lower(t))),
-    "clean_job_title": _title_step(titles.clean_job_title),
+    "clean_job_title": lambda f: titles.with_clean_title(f.titles, "title", "result").select("seq", "title", "result"),
     "match_alias_exact": _match("exact"),
     "match_alias_flexible": _match("flexible"),
     "match_keywords": _match("keyword"),

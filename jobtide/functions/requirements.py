@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from jobtide.fixed_values import DROPPED_LIST_VALUES, FAILED, SKIPPED, VALIDATED
+from jobtide.fixed_values import DROPPED_LIST_VALUES
 from jobtide.functions.text import strip
 
 # A word may carry a leading dot (".net") and inner "+" or "#" ("c++", "c#").
@@ -16,6 +16,7 @@ TOKEN = r"\n|\.?[\p{L}\p{N}_][\p{L}\p{N}_+#]*"
 YEARS = r"(?i)\b(\d{1,2})\s*(?:\+|(?:-|–|to)\s*(\d{1,2})\s*\+?)?\s*(?:years?|yrs?)\b"
 
 LIST_FIELDS = ("technical_tools", "technical_concepts", "certifications")
+YEAR_FIELDS = ("min_years", "max_years")
 
 
 def tokens(text: Column) -> Column:
@@ -48,64 +49,20 @@ def clean_list(values: Column, dropped: Iterable[str] = DROPPED_LIST_VALUES) ->
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 
-def all_of(conditions: Sequence[Column]) -> Column:
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result & condition
-    return result
-
-
-def parse_response(response: Column) -> Column:
-    """Validate one structured answer.
-
-    Returns ``struct<extraction_status, error, technical_tools,
-    technical_concepts, certifications, min_years, max_years>``.  Missing lists
-    are empty, missing years null; whole numbers may come as text or ``5.0``.
-    A wrong type in any field fails the whole record.
-    """
-    value = F.try_parse_json(response)
-    blank = F.coalesce(strip(response), F.lit("")) == ""
-    is_object = F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
-
-    def kind(field: str) -> Column:
-        return F.coalesce(F.schema_of_variant(F.try_variant_get(value, f"$.{field}", "variant")), F.lit("VOID"))
-
-    def items(field: str) -> Column:
-        return F.try_variant_get(value, f"$.{field}", "array<variant>")
-
-    def list_ok(field: str) -> Column:
-        all_text = F.forall(items(field), lambda v: F.schema_of_variant(v).isin("STRING", "VOID"))
-        return (kind(field) == "VOID") | (kind(field).startswith("ARRAY") & F.coalesce(all_text, F.lit(False)))
-
-    def years(field: str) -> Column:
-        digits = F.regexp_extract(F.get_json_object(response, f"$.{field}"), r"^\s*([+-]?\d+)(?:\.0+)?\s*$", 1)
-        return digits.try_cast("int")
-
-    def years_ok(field: str) -> Column:
-        return (kind(field) == "VOID") | years(field).isNotNull()
-
-    problems = F.concat_ws(
-        "; ",
-        *[F.when(~list_ok(f), f"{f} is not a list of text") for f in LIST_FIELDS],
-        *[F.when(~years_ok(f), f"{f} is not a whole number") for f in ("min_years", "max_years")],
-    )
-    error = (
-        F.when(blank, "Missing requirement text")
-        .when(~is_object, "response is not a JSON object")
-        .when(problems != "", problems)
-    )
-    status = F.when(blank, SKIPPED).when(error.isNotNull(), FAILED).otherwise(VALIDATED)
-    empty = F.array().cast("array<string>")
-
-    def valid(column: Column, otherwise: Column) -> Column:
-        return F.when(error.isNull(), column).otherwise(otherwise)
-
-    return F.struct(
-        status.alias("extraction_status"),
-        error.alias("error"),
-        *[
-            valid(clean_list(F.transform(items(f), lambda v: v.try_cast("string"))), empty).alias(f)
-            for f in LIST_FIELDS
-        ],
-        *[valid(years(f), F.lit(None).cast("int")).alias(f) for f in ("min_years", "max_years")],
-    )
+def variant_kind(value: Column, field: str) -> Column:
+    """Type name of a field of a variant; a missing field counts as ``VOID``."""
+    return F.coalesce(F.schema_of_variant(F.try_variant_get(value, f"$.{field}", "variant")), F.lit("VOID"))
+
+
+def variant_items(value: Column, field: str) -> Column:
+    return F.try_variant_get(value, f"$.{field}", "array<variant>")
+
+
+def holds_text_only(items: Column) -> Column:
+    """No element of the list is of another type than text or null."""
+    return F.coalesce(F.forall(items, lambda v: F.schema_of_variant(v).isin("STRING", "VOID")), F.lit(False))
+
+
+def whole_number(value: Column) -> Column:
+    """An integer that may be written as text or with a zero fraction; else null."""
+    return F.regexp_extract(value, r"^\s*([+-]?\d+)(?:\.0+)?\s*$", 1).try_cast("int")

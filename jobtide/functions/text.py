@@ -51,7 +51,8 @@ def strip(text: Column) -> Column:
 
 def collapse(text: Column) -> Column:
     """Every run of white space becomes one space; none is left at the ends."""
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    # Single plain spaces are no match, so tidy text passes through untouched.
+    return F.trim(F.regexp_replace(text, r"(?U)[\s&&[^ ]]\s*+| \s++", " "))
 
 
 def normalize_text(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.fixed_values import (
@@ -20,7 +20,7 @@ from jobtide.fixed_values import (
     SENIORITY_TITLE_WORDS,
     SENIORITY_WORDS,
 )
-from jobtide.functions.text import collapse, strip
+from jobtide.functions.text import collapse, strip, with_computed
 
 Rules = Sequence[tuple[str, str]]
 
@@ -33,10 +33,17 @@ def unicode_pattern(pattern: str, ignore_case: bool = False) -> str:
 
 
 def rewrite(text: Column, rules: Rules) -> Column:
-    """Apply every rule to all its occurrences, in order."""
+    """Apply every rule to all its occurrences, in order.
+
+    A text none of the patterns matches cannot be changed by any rule, so one
+    test over all of them spares most titles the chain.  ``text`` is mentioned
+    three times: make it a column, not a costly expression.
+    """
+    changed = text
     for pattern, replacement in rules:
-        text = F.regexp_replace(text, unicode_pattern(pattern), replacement)
-    return text
+        changed = F.regexp_replace(changed, unicode_pattern(pattern), replacement)
+    any_rule = unicode_pattern("|".join(f"(?:{pattern})" for pattern, _ in rules))
+    return F.when(text.rlike(any_rule), changed).otherwise(text)
 
 
 def normalize_bilingual(title: Column) -> Column:
@@ -52,9 +59,15 @@ def normalize_common_terms(title: Column) -> Column:
     return collapse(rewrite(title, COMMON_TERM_RULES))
 
 
-def clean_job_title(title: Column) -> Column:
-    """Bilingual terms, then seniority, then common terms; null becomes ''."""
-    return F.coalesce(normalize_common_terms(remove_seniority(normalize_bilingual(title))), F.lit(""))
+def with_clean_title(df: DataFrame, title_col: str, out_col: str = "cleaned_title") -> DataFrame:
+    """Add the title after bilingual terms, seniority and common terms; null becomes ''.
+
+    Each step is a projection of its own: together their code would exceed what
+    the JVM compiles as one method.
+    """
+    staged = with_computed(df, _local=remove_seniority(normalize_bilingual(F.col(title_col))))
+    cleaned = F.coalesce(normalize_common_terms(F.col("_local")), F.lit(""))
+    return with_computed(staged, **{out_col: cleaned}).drop("_local")
 
 
 def whole_word_pattern(aliases: Sequence[str]) -> str:

@@ -9,18 +9,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.fixed_values import CERTIFICATION, SKIPPED, TECHNICAL_CONCEPT, TECHNICAL_TOOL, VALIDATED
+from jobtide.fixed_values import CERTIFICATION, FAILED, SKIPPED, TECHNICAL_CONCEPT, TECHNICAL_TOOL, VALIDATED
 from jobtide.functions.requirements import (
     LIST_FIELDS,
+    YEAR_FIELDS,
     clean_list,
+    holds_text_only,
     max_years,
     min_years,
-    parse_response,
     phrases,
     tokens,
+    variant_items,
+    variant_kind,
+    whole_number,
 )
 from jobtide.functions.sections import with_requirement_section
-from jobtide.functions.text import with_computed
+from jobtide.functions.text import strip, with_computed
 from jobtide.functions.titles import infer_seniority
 from jobtide.schemas import KEY
 
@@ -120,9 +124,48 @@ def with_years(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def parse_responses(responses: DataFrame, response_col: str = "response") -> DataFrame:
-    """Validate structured answers; the answer column is replaced by its fields."""
-    staged = with_computed(responses, _r=parse_response(F.col(response_col)))
-    return staged.select(*[c for c in responses.columns if c != response_col], "_r.*")
+    """Validate structured answers; the answer column is replaced by its fields.
+
+    Adds ``extraction_status``, ``error``, the three lists and the two years.
+    Missing lists are empty, missing years null; whole numbers may come as text
+    or as ``5.0``.  A wrong type in any field fails the whole record.
+    """
+    kept = [c for c in responses.columns if c != response_col]
+    response = F.col(response_col)
+    parsed = with_computed(responses, _value=F.try_parse_json(response))
+    value = F.col("_value")
+    fields = with_computed(
+        parsed,
+        _blank=F.coalesce(strip(response), F.lit("")) == "",
+        _object=F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False)),
+        **{f"_kind_{f}": variant_kind(value, f) for f in (*LIST_FIELDS, *YEAR_FIELDS)},
+        **{f"_{f}": variant_items(value, f) for f in LIST_FIELDS},
+        **{f"_{f}": whole_number(F.get_json_object(response, f"$.{f}")) for f in YEAR_FIELDS},
+    )
+    absent = {f: F.col(f"_kind_{f}") == "VOID" for f in (*LIST_FIELDS, *YEAR_FIELDS)}
+    problems = F.concat_ws(
+        "; ",
+        *[
+            F.when(~absent[f] & ~holds_text_only(F.col(f"_{f}")), F.lit(f"{f} is not a list of text"))
+            for f in LIST_FIELDS
+        ],
+        *[F.when(~absent[f] & F.col(f"_{f}").isNull(), F.lit(f"{f} is not a whole number")) for f in YEAR_FIELDS],
+    )
+    judged = with_computed(
+        fields,
+        error=F.when(F.col("_blank"), "Missing requirement text")
+        .when(~F.col("_object"), "response is not a JSON object")
+        .otherwise(F.nullif(problems, F.lit(""))),
+    )
+    valid = F.col("error").isNull()
+    texts = {f: F.transform(F.col(f"_{f}"), lambda v: v.try_cast("string")) for f in LIST_FIELDS}
+    return judged.select(
+        *kept,
+        F.when(F.col("_blank"), SKIPPED).when(valid, VALIDATED).otherwise(FAILED).alias("extraction_status"),
+        "error",
+        *[clean_list(F.when(valid, texts[f])).alias(f) for f in LIST_FIELDS],
+        *[F.when(valid, F.col(f"_{f}")).alias(f) for f in YEAR_FIELDS],
+    )
 
 
 def clean_requirement_lists(requirements: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from jobtide.fixed_values import EXACT_MATCH, FLEXIBLE_MATCH, KEYWORD_MATCH, NO_MATCH
 from jobtide.functions.text import WORD, with_computed
-from jobtide.functions.titles import clean_job_title, keyword_role, whole_word_pattern
+from jobtide.functions.titles import keyword_role, whole_word_pattern, with_clean_title
 
 MAX_INLINE_ALIASES = 300
 # Aliases that may be broadcast to meet the distinct titles.
@@ -118,7 +118,7 @@ def map_titles(df: DataFrame, taxonomy: Sequence[Role] | DataFrame, title_col: s
             return map_titles_by_join(df, taxonomy, title_col)
     else:
         roles = taxonomy
-    staged = df.withColumn("cleaned_title", clean_job_title(F.col(title_col)))
+    staged = with_clean_title(df, title_col)
     staged = staged.withColumn("_exact", exact_role(F.col("cleaned_title"), roles))
     staged = staged.withColumn("_words", F.when(F.col("_exact").isNull(), words_of(F.col("cleaned_title"))))
     staged = staged.withColumn("_flexible", flexible_role(F.col("_words"), roles))
@@ -169,7 +169,7 @@ def map_titles_by_join(df: DataFrame, taxonomy: DataFrame, title_col: str = "tit
     salted copies of the matches, so no task receives all of them.
     """
     salts = 16
-    staged = df.withColumn("cleaned_title", clean_job_title(F.col(title_col)))
+    staged = with_clean_title(df, title_col)
     distinct = staged.select("cleaned_title").filter("cleaned_title <> ''").distinct()
     matches = matched_by_join(distinct, taxonomy)
     copies = matches.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
