@@ -20,7 +20,7 @@ YEAR_FIELDS = ("min_years", "max_years")
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
 
 def phrases(words: Column, max_words: int) -> Column:
