@@ -169,18 +169,10 @@ def _values(rows) -> str:
 
 
 MARKED = f"replace({decoded('html')}, {q(T.NBSP)}, ' ')"
-for _pattern, _replacement in (
-    (T.LINE_BREAK, "\n"),
-    (T.INVISIBLE, "\n"),
-    (S.BOLD_ABOVE_LIST, S.BLOCK + r"H\1\2"),
-    (S.HEADING_OPEN, S.BLOCK + "H"),
-    (S.BLOCK_TAG, S.BLOCK + "T"),
-    (S.NESTED_LIST_CLOSE, S.LIST + "C"),
-    (S.LIST_OPEN, S.LIST + "L"),
-    (S.LIST_CLOSE, S.LIST + "E"),
-    (S.TEXT_AFTER_LIST.replace("++", "+").replace("*+", "*"), S.GROUP + r"T\1"),
-):
-    MARKED = sub(MARKED, _pattern, _replacement)
+for _pattern, _replacement in S.MARKS:
+    # The same patterns without possessive quantifiers; backslash references.
+    _pattern = _pattern.replace("++", "+").replace("*+", "*")
+    MARKED = sub(MARKED, _pattern, _replacement.replace("$", "\\"))
 
 INNER = normalize(revealed(sub("raw", f"{S.MARK}|{T.TAG}", "")))
 
@@ -191,13 +183,14 @@ def block_tables(source: str, keys: str, name: str) -> dict[str, str]:
     return {
         f"{name}_groups": f"""
             SELECT {keys}, grp, string_split(g, chr(29)) AS parts
-            FROM (SELECT {keys}, string_split('H' || {MARKED}, chr(28)) AS gs FROM {source}),
+            FROM (SELECT {keys}, string_split('h' || chr(31) || {MARKED}, chr(28)) AS gs FROM {source}),
                  UNNEST(gs) WITH ORDINALITY AS u(g, grp)""",
         f"{name}_pieces": f"""
-            SELECT {keys}, grp, 1 AS part, piece, left(p, 1) AS kind, substr(p, 2) AS raw
+            SELECT {keys}, grp, 1 AS part, piece, CASE WHEN lower(p) LIKE 'h%' THEN 'H' ELSE 'T' END AS kind,
+                   substr(p, instr(p, chr(31)) + 1) AS raw
             FROM {name}_groups, UNNEST(string_split(parts[1], chr(30))) WITH ORDINALITY AS u(p, piece)
             UNION ALL
-            SELECT {keys}, grp, part, 1 AS piece, 'L' AS kind, substr(p, 2) AS raw
+            SELECT {keys}, grp, part, 1 AS piece, 'L' AS kind, substr(p, instr(p, chr(31)) + 1) AS raw
             FROM {name}_groups, UNNEST(parts) WITH ORDINALITY AS u(p, part)
             WHERE part > 1 AND regexp_matches(p, {q(S.ITEM_OPEN)})""",
         f"{name}_kept": f"""

@@ -22,34 +22,42 @@ from pyspark.sql import functions as F
 from jobtide.fixed_values import BULLET_PREFIX, SKILL_HEADERS
 from jobtide.functions.text import (
     INVISIBLE,
-    LINE_BREAK,
     NBSP,
     TAG,
     decode_entities,
+    normalize_hidden,
     normalize_text,
     plain_text,
-    reveal,
     with_computed,
 )
 
-GROUP, LIST, BLOCK = "\x1c", "\x1d", "\x1e"
+# A page is cut at GROUP, LIST and BLOCK marks.  A LIST or BLOCK mark is followed
+# by what it stands for and END: "ul" or "ol" for an opened list, "</li>" for a
+# list closed inside an entry, a heading's name, or nothing.
+GROUP, LIST, BLOCK, END = "\x1c", "\x1d", "\x1e", "\x1f"
 
 HEADER = r"(?iU)\b(?:" + "|".join(SKILL_HEADERS) + r")\b"
 
-HEADING_OPEN = r"(?i)<h[1-6]\b[^>]*>"
-LIST_OPEN = r"(?i)<(?:ul|ol)\b[^>]*>"
-LIST_CLOSE = r"(?i)</(?:ul|ol)\s*>"
-NESTED_LIST_CLOSE = r"(?i)</(?:ul|ol)\s*>\s*</li\s*>"
+NO_TEXT = f"{INVISIBLE}|<br\\s*/?>"
+LIST_TAG = r"(?i)<(ul|ol)\b[^>]*>|</(?:ul|ol)\s*>(\s*</li\s*>)?"
 ITEM_OPEN = r"(?i)<li\b[^>]*>"
 BLOCK_TAG = (
     r"(?i)</?(?:p|div|section|article|header|footer|main|nav|aside|table|thead|tbody|tr|td|th"
-    r"|dl|dt|dd|blockquote|form|fieldset|figure|address|body|html|head|title|hr|h[1-6])\b[^>]*>"
+    r"|dl|dt|dd|blockquote|form|fieldset|figure|address|body|html|head|title|hr)\b[^>]*>"
+    r"|</h[1-6]\s*>|<(h[1-6])\b[^>]*>"
 )
 # Bold text right above a list is the heading of that list.
 BOLD_ABOVE_LIST = r"(?is)(<(?:b|strong)\b[^>]*>[^<]*</(?:b|strong)\s*>\s*)(<(?:ul|ol)\b)"
+MARK = BLOCK + "(?:h|h[1-6]|H[1-6])?" + END
 # A closed list followed by more text starts a new group.
-TEXT_AFTER_LIST = LIST + "E" + r"((?:\s++|<[^>]*+>|" + BLOCK + r"[HT])*+[^\s<" + LIST + BLOCK + "])"
-MARK = "[" + BLOCK + "][HT]"
+TEXT_AFTER_LIST = LIST + END + r"((?:\s++|<[^>]*+>|" + MARK + r")*+[^\s<" + LIST + BLOCK + "])"
+MARKS = (
+    (NO_TEXT, "\n"),
+    (BOLD_ABOVE_LIST, BLOCK + "h" + END + "$1$2"),
+    (BLOCK_TAG, BLOCK + "$1" + END),
+    (LIST_TAG, LIST + "$1$2" + END),
+    (TEXT_AFTER_LIST, GROUP + END + "$1"),
+)
 FIRST_LINE = r"^(?:<[^>]*+>)*+([^<\n]*)"
 
 
@@ -70,35 +78,30 @@ def strip_bullet(line: Column) -> Column:
 def mark_blocks(html: Column) -> Column:
     """The page with separator characters in place of its block and list tags."""
     text = F.translate(decode_entities(html), NBSP, " ")
-    for pattern, replacement in (
-        (LINE_BREAK, "\n"),
-        (INVISIBLE, "\n"),
-        (BOLD_ABOVE_LIST, BLOCK + "H$1$2"),
-        (HEADING_OPEN, BLOCK + "H"),
-        (BLOCK_TAG, BLOCK + "T"),
-        (NESTED_LIST_CLOSE, LIST + "C"),
-        (LIST_OPEN, LIST + "L"),
-        (LIST_CLOSE, LIST + "E"),
-        (TEXT_AFTER_LIST, GROUP + "T$1"),
-    ):
+    for pattern, replacement in MARKS:
         text = F.regexp_replace(text, pattern, replacement)
     # Text before the first block tag belongs to no block: context only.
-    return F.concat(F.lit("H"), text)
+    return F.concat(F.lit("h" + END), text)
 
 
 def _inner_text(raw: Column) -> Column:
-    return normalize_text(reveal(F.regexp_replace(raw, f"{MARK}|{TAG}", "")))
+    return normalize_hidden(F.regexp_replace(raw, f"{MARK}|{TAG}", ""))
+
+
+def _after_mark(piece: Column) -> Column:
+    return F.substr(piece, F.instr(piece, END) + 1)
 
 
 def _group(parts: Column) -> Column:
     """One group from its parts: running text first, then list bodies."""
 
     def text_block(piece: Column) -> Column:
-        raw = F.substr(piece, F.lit(2))
-        return F.struct(F.left(piece, F.lit(1)).alias("kind"), raw.alias("raw"), _inner_text(raw).alias("text"))
+        raw = _after_mark(piece)
+        kind = F.when(F.startswith(F.lower(F.left(piece, F.lit(1))), F.lit("h")), "H").otherwise("T")
+        return F.struct(kind.alias("kind"), raw.alias("raw"), _inner_text(raw).alias("text"))
 
     flow = F.filter(F.transform(F.split(parts[0], BLOCK), text_block), lambda b: b["text"] != "")
-    bodies = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.substr(p, F.lit(2)))
+    bodies = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _after_mark)
     return F.struct(flow.alias("flow"), F.filter(bodies, lambda p: p.rlike(ITEM_OPEN)).alias("lists"))
 
 
@@ -126,7 +129,7 @@ def _blocks(groups: Column) -> Column:
 
 def _lines(raw: Column) -> Column:
     """Non-empty lines of a text block with their classification."""
-    texts = F.transform(F.split(F.regexp_replace(raw, TAG, "\n"), "\n"), lambda t: normalize_text(reveal(t)))
+    texts = F.transform(F.split(F.regexp_replace(raw, TAG, "\n"), "\n"), normalize_hidden)
 
     def classify(text: Column) -> Column:
         return F.struct(

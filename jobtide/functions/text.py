@@ -23,7 +23,6 @@ RESERVED = "\x1c\x1d\x1e\x1f" + HIDDEN_LT + HIDDEN_GT
 ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
 INVISIBLE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 TAG = r"<[/!?]?[A-Za-z][^>]*>"
-LINE_BREAK = r"(?i)<br\s*/?>"
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -61,6 +60,13 @@ def normalize_text(text: Column) -> Column:
     return collapse(F.replace(text, F.lit("&amp;"), F.lit("&")))
 
 
+def normalize_hidden(text: Column) -> Column:
+    """``normalize_text`` for text whose decoded angle brackets are still hidden."""
+    hidden = NBSP + APOSTROPHES + HIDDEN_LT + HIDDEN_GT
+    text = F.translate(text, hidden, " " + "'" * len(APOSTROPHES) + "<>")
+    return collapse(F.replace(text, F.lit("&amp;"), F.lit("&")))
+
+
 def _entity_char(entity: Column) -> Column:
     names = F.create_map(
         *[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (f"&{name};", chr(code))]
