@@ -47,6 +47,8 @@ def main() -> None:
         spark__sql__shuffle__partitions=CPUS,
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        # Small tables: keep every core busy rather than gather them in few tasks.
+        spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -105,7 +105,7 @@ def _stream(f: Frames) -> DataFrame:
     from jobtide.session import shared_folder
 
     orders = f.given("orders")
-    stream = f.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).option(
+    stream = f.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1000).option(
         "pathGlobFilter", "*.parquet"
     )
     # A table may be one file or a folder of files.

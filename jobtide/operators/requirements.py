@@ -100,7 +100,7 @@ def with_terms_by_join(df: DataFrame, text_col: str, terms: DataFrame, keys: Seq
     """
     index = phrase_index(terms).filter("n_words > 0")
     longest = index.agg(F.coalesce(F.max("n_words"), F.lit(1))).first()[0]
-    if index.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+    if index.count() <= BROADCAST_TERMS:
         index = F.broadcast(index)
     staged = with_computed(df.select(*keys, text_col), _words=tokens(F.col(text_col))).drop(text_col)
     exploded = staged.select(*keys, F.explode(phrases(F.col("_words"), longest)).alias("phrase"))

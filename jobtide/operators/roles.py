@@ -25,6 +25,8 @@ from jobtide.functions.titles import keyword_role, whole_word_pattern, with_clea
 MAX_INLINE_ALIASES = 300
 # Aliases that may be broadcast to meet the distinct titles.
 BROADCAST_ALIASES = 200_000
+# Rows of one title that one copy of its match serves.
+HOT_TITLE_ROWS = 1_000_000
 
 _WORD = re.compile(r"\w+")
 
@@ -147,7 +149,7 @@ def matched_by_join(titles: DataFrame, taxonomy: DataFrame) -> DataFrame:
     needed for the whole alias as well, so one join serves both steps.
     """
     index = alias_index(taxonomy)
-    if index.limit(BROADCAST_ALIASES + 1).count() <= BROADCAST_ALIASES:
+    if index.count() <= BROADCAST_ALIASES:
         index = F.broadcast(index)
     words = titles.withColumn("_words", words_of(F.col("cleaned_title")))
     spelled = words.select("cleaned_title", "_words", F.explode("_words").alias("rarest"))
@@ -162,20 +164,28 @@ def matched_by_join(titles: DataFrame, taxonomy: DataFrame) -> DataFrame:
     )
 
 
-def map_titles_by_join(df: DataFrame, taxonomy: DataFrame, title_col: str = "title") -> DataFrame:
+def map_titles_by_join(
+    df: DataFrame, taxonomy: DataFrame, title_col: str = "title", hot_rows: int = HOT_TITLE_ROWS
+) -> DataFrame:
     """``map_titles`` for a taxonomy of any size: match distinct titles, join back.
 
-    A popular title may hold a third of the rows.  The rows are spread over
-    salted copies of the matches, so no task receives all of them.
+    A popular title may hold a third of the rows.  A title with more than
+    ``hot_rows`` rows gets one copy of its match per ``hot_rows`` of them, and its
+    rows are spread over the copies; other titles are joined as they are.  There
+    are at most (rows / hot_rows) hot titles, which is what is broadcast.
     """
-    salts = 16
     staged = with_clean_title(df, title_col)
-    distinct = staged.select("cleaned_title").filter("cleaned_title <> ''").distinct()
-    matches = matched_by_join(distinct, taxonomy)
-    copies = matches.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = staged.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    joined = spread.join(copies, ["cleaned_title", "_salt"], "left")
-    return _with_outcome(joined).select(*df.columns, "cleaned_title", "matched_role", "match_method")
+    counted = staged.filter("cleaned_title <> ''").groupBy("cleaned_title").agg(F.count(F.lit(1)).alias("_n"))
+    copies = (F.col("_n") / hot_rows).cast("int") + 1
+    matches = matched_by_join(counted.select("cleaned_title"), taxonomy).join(counted, "cleaned_title")
+    matches = matches.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_n")
+    hot = counted.filter(F.col("_n") >= hot_rows).select("cleaned_title", copies.alias("_copies"))
+    spread = staged.join(F.broadcast(hot), "cleaned_title", "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*df.columns), F.coalesce(F.col("_copies"), F.lit(1))).cast("int")
+    )
+    return _with_outcome(spread.join(matches, ["cleaned_title", "_salt"], "left")).select(
+        *df.columns, "cleaned_title", "matched_role", "match_method"
+    )
 
 
 def mapped_only(mapped: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def insert_if_absent(
 
 def has_few_keys(batch: DataFrame, keys: Sequence[str] = KEY, limit: int = BROADCAST_KEYS) -> bool:
     """Does the batch hold at most ``limit`` distinct keys?  Counts, collects nothing."""
-    return batch.select(*keys).distinct().limit(limit + 1).count() <= limit
+    return batch.select(*keys).distinct().count() <= limit
 
 
 def append_new_rows(batch: DataFrame, target: DataFrame, path: str, arrival: Sequence[str]) -> None:

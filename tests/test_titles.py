@@ -142,6 +142,15 @@ def test_large_taxonomy_is_joined(spark):
     assert out.count() == len(rows)
 
 
+def test_hot_title_is_spread_and_stays_whole(spark):
+    """A title with a third of the rows is split over copies of its match."""
+    rows = [(i, "data engineer") for i in range(1000)] + [(i, f"cook {i}") for i in range(1000, 3000)]
+    df = spark.createDataFrame(rows, "id int, title string")
+    out = R.map_titles_by_join(df, R.taxonomy_frame(spark, ROLES), hot_rows=100)
+    assert out.count() == 3000 and out.select("id").distinct().count() == 3000
+    assert out.filter(f"match_method = '{V.EXACT_MATCH}'").count() == 1000
+
+
 def test_role_without_aliases_never_matches(spark):
     df = spark.createDataFrame([("anything",)], "title string")
     assert mapped(R.map_titles(df, [R.Role("empty", ())])) == {"anything": (None, V.NO_MATCH)}
