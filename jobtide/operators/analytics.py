@@ -147,18 +147,20 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     are equal they fall into bin 0.
     """
     counts = df.select(value.cast("double").alias("_v")).filter("_v is not null").groupBy("_v").count()
-    low, high = counts.agg(F.min("_v")).scalar(), counts.agg(F.max("_v")).scalar()
-    ranged = counts.withColumn("_low", low).withColumn("_width", (high - low) / F.lit(float(bins)))
+    # The range mentions the counts as well, so that both uses are one plan and
+    # share one shuffle.
+    counted = F.when(F.col("count") > 0, F.col("_v"))
+    ends = counts.agg(F.struct(F.min(counted).alias("low"), F.max(counted).alias("high"))).scalar()
+
+    def with_edges(frame: DataFrame) -> DataFrame:
+        width = (F.col("_ends.high") - F.col("_ends.low")) / F.lit(float(bins))
+        return frame.withColumn("_ends", ends).select("*", F.col("_ends.low").alias("_low"), width.alias("_width"))
+
     position = F.floor((F.col("_v") - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)))
-    binned = ranged.withColumn("bin", F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int"))
-    per_bin = binned.groupBy("bin").agg(
-        F.sum("count").alias("n"), F.min("_low").alias("_low"), F.min("_width").alias("_width")
-    )
-    edges = per_bin.agg(F.min("_low").alias("_low"), F.min("_width").alias("_width"))
-    grid = edges.filter("_low is not null").select(
-        "_low", "_width", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
-    return grid.join(per_bin.select("bin", "n"), "bin", "left").select(
+    bin_of = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
+    per_bin = with_edges(counts).groupBy(bin_of.alias("bin")).agg(F.sum("count").alias("n"))
+    grid = with_edges(df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")))
+    return grid.filter("_low is not null").join(per_bin, "bin", "left").select(
         "bin",
         (F.col("_low") + F.col("bin") * F.col("_width")).alias("lower"),
         (F.col("_low") + (F.col("bin") + 1) * F.col("_width")).alias("upper"),
@@ -186,27 +188,23 @@ def role_similarity(items: DataFrame, jobs: DataFrame) -> DataFrame:
     """``(from_role, to_role, n_shared, n_union, jaccard)`` per ordered pair that shares items.
 
     Items with the same set of roles are counted together before the set is
-    opened into pairs, so the work follows the number of distinct role sets.
+    opened into pairs, so the work follows the number of distinct role sets.  The
+    pair of a role with itself carries the number of its items.
     """
     sets = _item_role_sets(items, jobs).groupBy("roles").agg(F.count(F.lit(1)).alias("n"))
-    singles = sets.select(F.explode("roles").alias("role"), "n")
-    sizes = singles.groupBy("role").agg(F.sum("n").alias("size"))
-    shared = (
+    pairs = (
         sets.select("roles", "n", F.explode("roles").alias("from_role"))
         .select("from_role", "n", F.explode("roles").alias("to_role"))
-        .filter("from_role <> to_role")
         .groupBy("from_role", "to_role")
         .agg(F.sum("n").alias("n_shared"))
     )
-    from_size = sizes.select(F.col("role").alias("from_role"), F.col("size").alias("_from"))
-    to_size = sizes.select(F.col("role").alias("to_role"), F.col("size").alias("_to"))
+    own = F.max(F.when(F.col("from_role") == F.col("to_role"), F.col("n_shared")))
+    sized = pairs.withColumn("_from", own.over(Window.partitionBy("from_role"))).withColumn(
+        "_to", own.over(Window.partitionBy("to_role"))
+    )
     union = F.col("_from") + F.col("_to") - F.col("n_shared")
-    return (
-        shared.join(from_size, "from_role")
-        .join(to_size, "to_role")
-        .select(
-            "from_role", "to_role", "n_shared", union.alias("n_union"), F.round(F.col("n_shared") / union, 6).alias("jaccard")
-        )
+    return sized.filter("from_role <> to_role").select(
+        "from_role", "to_role", "n_shared", union.alias("n_union"), F.round(F.col("n_shared") / union, 6).alias("jaccard")
     )
 
 
