@@ -37,6 +37,7 @@ SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'BoardB' ELSE 'BoardA' END AS source,
        o_orderdate AS created_at,
        CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate + INTERVAL 3 DAY END AS fetched_at,
        o_orderkey AS seq,
+       o_orderpriority <> '5-LOW' AS scraped,
        split_part('data engineer|software engineer|ml engineer|data analyst|software engineer|data engineer', '|',
                   CAST(o_custkey % 6 + 1 AS INT)) AS search_term,
        CASE WHEN o_orderkey % 13 = 0 THEN NULL
@@ -63,6 +64,9 @@ FROM orders
 
 POSTING_KEYS = "SELECT DISTINCT source, source_job_id, CAST(source_job_id AS BIGINT) AS job_no FROM postings"
 
+# Postings of low priority have no description yet.
+SCRAPED_KEYS = POSTING_KEYS + " WHERE scraped"
+
 _K = "job_no"
 DESCRIPTIONS = f"""
 SELECT source, source_job_id,
@@ -84,8 +88,7 @@ SELECT source, source_job_id,
            || split_part('machine learning|data modeling|AWS Certified Developer', '|', CAST({_K} % 3 + 1 AS INT))
            || '</li></ul></div>'
        END AS html_description
-FROM posting_keys
-WHERE {_K} % 5 <> 0
+FROM scraped_keys
 """
 
 RESPONSES = """

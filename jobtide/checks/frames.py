@@ -59,20 +59,21 @@ class Frames:
         return with_load_time(first_per_key(earlier, ["seq"]), "jobs_raw", X.AS_OF).drop("seq")
 
     @cached_property
-    def posting_keys(self) -> DataFrame:
-        """Distinct keys.  A fixed number of partitions keeps a small set spread."""
-        postings = self.postings
+    def spread_postings(self) -> DataFrame:
+        """Postings placed by key.  A fixed number of partitions keeps a small set spread."""
         if self.is_small(self.spark.read.parquet(f"{self.sf_dir}/orders.parquet")):
-            postings = postings.repartition(self.cores, *KEY)
-        return self.derived(X.POSTING_KEYS, "postings", postings)
+            return self.postings.repartition(self.cores, *KEY)
+        return self.postings
 
     @cached_property
     def descriptions(self) -> DataFrame:
-        return self.derived(X.DESCRIPTIONS, "posting_keys", self.posting_keys)
+        keys = self.derived(X.SCRAPED_KEYS, "postings", self.spread_postings)
+        return self.derived(X.DESCRIPTIONS, "scraped_keys", keys)
 
     @cached_property
     def responses(self) -> DataFrame:
-        return self.derived(X.RESPONSES, "posting_keys", self.posting_keys)
+        keys = self.derived(X.POSTING_KEYS, "postings", self.spread_postings)
+        return self.derived(X.RESPONSES, "posting_keys", keys)
 
     @cached_property
     def job_pages(self) -> DataFrame:

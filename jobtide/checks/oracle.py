@@ -293,6 +293,7 @@ TABLES: dict[str, str] = {
     "jobs_raw": f"SELECT * EXCLUDE (n) FROM (SELECT *, {_FIRST} AS n FROM loaded) WHERE n = 1",
     "landed": f"SELECT * FROM (SELECT *, {_FIRST} AS n FROM loaded WHERE created_at < {LANDED_UNTIL}) WHERE n = 1",
     "posting_keys": X.POSTING_KEYS,
+    "scraped_keys": X.SCRAPED_KEYS,
     "descriptions": X.DESCRIPTIONS,
     "responses": X.RESPONSES,
     "job_pages": X.JOB_PAGES,

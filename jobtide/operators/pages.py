@@ -48,19 +48,19 @@ def with_main_container(
     candidates = []
     for selector in selectors:
         tag, pattern = selector_pattern(selector)
-        at = F.regexp_instr(html, F.lit(pattern))
-        opening = F.regexp_substr(html, F.lit(pattern))
+        # From the opening tag to the end of the page; the longest starts first.
+        onward = F.nullif(F.regexp_extract(html, f"{pattern}(?s).*", 0), F.lit(""))
         candidates.append(
             F.when(
-                at > 0,
-                F.struct(at.alias("at"), F.lit(tag).alias("tag"), F.length(opening).alias("size")),
+                onward.isNotNull(),
+                F.struct(F.length(onward).alias("size"), F.lit(tag).alias("tag"), onward.alias("onward")),
             )
         )
-    staged = pages.withColumn("_hit", F.array_min(F.array(*candidates)))
-    rest = F.substr(html, F.col("_hit.at") + F.col("_hit.size"))
+    staged = with_computed(pages, _hit=F.array_max(F.array(*candidates)))
+    rest = F.regexp_replace(F.col("_hit.onward"), "^<[^>]*>", "")
     close = F.concat(F.lit("(?i)</"), F.col("_hit.tag"), F.lit(r"\s*>"))
     opens = F.concat(F.lit("(?i)<"), F.col("_hit.tag"), F.lit(r"[\s>]"))
-    staged = staged.withColumn("_rest", rest).withColumn("_pieces", F.split("_rest", close))
+    staged = with_computed(staged, _rest=rest, _pieces=F.split(rest, close))
 
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("last"))
 
@@ -77,8 +77,7 @@ def with_main_container(
     inner = F.replace(closed, F.lit("\x1f"), F.concat(F.lit("</"), F.col("_hit.tag"), F.lit(">")))
     # Without a balancing tag every piece belongs to the element.
     value = F.when(F.col("_last") > 0, inner).otherwise(F.col("_rest"))
-    staged = staged.withColumn(out_col, strip(value))
-    return staged.drop("_hit", "_rest", "_pieces", "_last")
+    return with_computed(staged, **{out_col: strip(value)}).drop("_hit", "_rest", "_pieces", "_last")
 
 
 def page_text(pages: DataFrame, html_col: str, out_col: str = "plain_text") -> DataFrame:

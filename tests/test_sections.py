@@ -136,6 +136,8 @@ CONTAINERS = [
     ("<div data-testid='viewJobBodyContainer'>z</div>", "z"),
     ('<div class="description">never <div>closed', "never <div>closed"),
     ('<article id="jobDescription">first</article><div class="description">second</div>', "first"),
+    ("<title>\U0001f600 \U0001f680</title><div class='description'>after \U0001f600</div>", "after \U0001f600"),
+    ('<div class="description"></div>', ""),
     ("<div>none</div>", None),
     (None, None),
 ]
