@@ -101,7 +101,7 @@ class Frames:
 
     @cached_property
     def requirements(self) -> DataFrame:
-        return pipeline.job_requirements(self.jobs, self.descriptions, self.terms)
+        return pipeline.job_requirements(self.jobs, self.descriptions, X.TERMS)
 
     @cached_property
     def items(self) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from html.entities import name2codepoint
 
@@ -68,9 +69,9 @@ def normalize_hidden(text: Column) -> Column:
 
 
 def _entity_char(entity: Column) -> Column:
-    names = F.create_map(
-        *[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (f"&{name};", chr(code))]
-    )
+    # One constant: parsed while planning, not once per row.
+    table = json.dumps({f"&{name};": chr(code) for name, code in name2codepoint.items()})
+    names = F.from_json(F.lit(table), "map<string,string>")
     hexadecimal = F.regexp_extract(entity, r"(?i)^&#x([0-9a-f]+);$", 1)
     decimal = F.regexp_extract(entity, r"^&#([0-9]+);$", 1)
     code = F.when(hexadecimal != "", F.upper(hexadecimal)).when(

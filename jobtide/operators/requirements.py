@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -39,6 +40,10 @@ _FIELD_OF_TYPE = {
 }
 
 
+# The tokens of a term, as ``functions.requirements.TOKEN`` finds them.
+_TOKEN = re.compile(r"\n|\.?\w[\w+#]*")
+
+
 @dataclass(frozen=True)
 class Term:
     term: str
@@ -58,25 +63,42 @@ def phrase_index(terms: DataFrame) -> DataFrame:
     )
 
 
-def with_terms(df: DataFrame, text_col: str, terms: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+def small_gazetteer(terms: DataFrame | Sequence[Term]) -> list[tuple[str, int, str, str]] | None:
+    """``(phrase, n_words, item_type, canonical)`` if few enough to become an expression.
+
+    At most ``MAX_INLINE_TERMS + 1`` rows reach the driver, whatever the table holds.
+    """
+    if isinstance(terms, DataFrame):
+        index = phrase_index(terms).filter("n_words > 0")
+        rows = index.select("phrase", "n_words", "item_type", "canonical").limit(MAX_INLINE_TERMS + 1).collect()
+        head = [tuple(row) for row in rows]
+    else:
+        spelled = [(_TOKEN.findall(t.term.lower()), t) for t in terms]
+        head = [(" ".join(words), len(words), t.item_type, t.canonical) for words, t in spelled if words]
+    return head if len(head) <= MAX_INLINE_TERMS else None
+
+
+def with_terms(
+    df: DataFrame, text_col: str, terms: DataFrame | Sequence[Term], keys: Sequence[str] = KEY
+) -> DataFrame:
     """Add the sorted lists of tools, concepts and certifications a text names.
 
     A term counts when all its words stand next to each other on one line.  A
     gazetteer of up to ``MAX_INLINE_TERMS`` becomes an expression (no shuffle);
     a larger one is joined to the phrases of the texts.
     """
-    index = phrase_index(terms).filter("n_words > 0")
-    head = index.select("phrase", "n_words", "item_type", "canonical").limit(MAX_INLINE_TERMS + 1).collect()
-    if len(head) > MAX_INLINE_TERMS:
-        return with_terms_by_join(df, text_col, terms, keys)
-    longest = max((row.n_words for row in head), default=1)
+    head = small_gazetteer(terms)
+    if head is None:
+        frame = terms if isinstance(terms, DataFrame) else terms_frame(df.sparkSession, terms)
+        return with_terms_by_join(df, text_col, frame, keys)
+    longest = max((n_words for _, n_words, _, _ in head), default=1)
     staged = with_computed(df, _words=tokens(F.col(text_col)))
     staged = with_computed(staged, _phrases=phrases(F.col("_words"), longest))
     for item_type, field in _FIELD_OF_TYPE.items():
         names: dict[str, list[str]] = {}
-        for row in head:
-            if row.item_type == item_type:
-                names.setdefault(row.phrase, []).append(row.canonical)
+        for phrase, _, kind, canonical in head:
+            if kind == item_type:
+                names.setdefault(phrase, []).append(canonical)
         staged = staged.withColumn(field, _inline_hits(F.col("_phrases"), names))
     return staged.drop("_words", "_phrases")
 
@@ -193,7 +215,7 @@ def _finish(extracted: DataFrame) -> DataFrame:
     )
 
 
-def build_requirements(described: DataFrame, terms: DataFrame) -> DataFrame:
+def build_requirements(described: DataFrame, terms: DataFrame | Sequence[Term]) -> DataFrame:
     """One requirements row per described job, from the gazetteer.
 
     The page is cut down to its section before anything is looked up in it.  A

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from jobtide.operators.postings import posting_metadata
-from jobtide.operators.requirements import build_requirements, extraction_backlog, job_descriptions
+from jobtide.operators.requirements import Term, build_requirements, extraction_backlog, job_descriptions
 from jobtide.operators.roles import Role, map_titles, mapped_only
 
 
@@ -40,7 +40,7 @@ def curated_jobs(
 
 
 def job_requirements(
-    jobs: DataFrame, descriptions: DataFrame, terms: DataFrame, done: DataFrame | None = None
+    jobs: DataFrame, descriptions: DataFrame, terms: DataFrame | Sequence[Term], done: DataFrame | None = None
 ) -> DataFrame:
     """Rows for the ``job_requirements`` table; jobs already validated in ``done`` are left out."""
     todo = jobs if done is None else extraction_backlog(jobs, done)

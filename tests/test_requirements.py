@@ -34,6 +34,7 @@ def test_terms_both_ways(spark):
     expected = {k: tuple(sorted(x) for x in v[1:]) for k, v in TEXTS.items()}
     terms = R.terms_frame(spark, TERMS)
     assert _found(R.with_terms(_texts(spark), "text", terms, ["id"])) == expected
+    assert _found(R.with_terms(_texts(spark), "text", TERMS, ["id"])) == expected
     assert _found(R.with_terms_by_join(_texts(spark), "text", terms, ["id"])) == expected
 
 
@@ -41,7 +42,8 @@ def test_large_gazetteer_is_joined(spark):
     many = [R.Term(f"tool{i} suite", "technical_tool", f"Tool {i}") for i in range(2000)]
     df = R.with_terms(_texts(spark).limit(0).unionByName(
         spark.createDataFrame([(1, "we use tool7 suite and tool1999 suite, tool5")], "id int, text string")
-    ), "text", R.terms_frame(spark, many), ["id"])
+    ), "text", many, ["id"])
+    assert R.small_gazetteer(many) is None and R.small_gazetteer(R.terms_frame(spark, many)) is None
     assert df.first().technical_tools == ["Tool 1999", "Tool 7"]
 
 
