@@ -53,7 +53,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
 
     def run(name: str) -> float:
         start = time.perf_counter()
