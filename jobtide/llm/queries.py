@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import line_dedup, packing, simhash_dedup
+from jobtide.llm import exact_dedup, fingerprints, line_dedup, packing, simhash_dedup, url_filter
 from jobtide.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,11 +25,38 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def _print(hi: str, lo: str):
+    return F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in (hi, lo)))
+
+
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.with_near_counts(fingerprints.document_fingerprints(table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        _print("hi", "lo").alias("fingerprint"),
+        _print("edited_hi", "edited_lo").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "n_near",
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), model)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -46,7 +73,10 @@ QUERIES: dict[str, Query] = {
     f.__name__: _shipped(f)
     for f in (
         op1_line_dedup,
+        op2_exact_dedup,
+        op3_document_fingerprints,
         op4_simhash_near_dedup,
+        op5_url_filter,
         op6_packing,
     )
 }
