@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import exact_dedup, fingerprints, line_dedup, packing, simhash_dedup, url_filter
-from jobtide.llm.common import ship, table
+from jobtide.llm import exact_dedup, fingerprints, line_dedup, packing, quality, simhash_dedup, url_filter, warc
+from jobtide.llm.common import ship, table, working_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +62,20 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{working_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.page_payloads(warc.reassembled(warc.read_records(spark, path)))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", predicted)
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -78,5 +93,7 @@ QUERIES: dict[str, Query] = {
         op4_simhash_near_dedup,
         op5_url_filter,
         op6_packing,
+        op8_warc,
+        op9_quality_classifier,
     )
 }
