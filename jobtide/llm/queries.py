@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import exact_dedup, fingerprints, line_dedup, packing, quality, simhash_dedup, url_filter, warc
+from jobtide.llm import exact_dedup, fingerprints, language_model, line_dedup, packing, quality, simhash_dedup, url_filter, warc
 from jobtide.llm.common import ship, table, working_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{working_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -93,6 +97,7 @@ QUERIES: dict[str, Query] = {
         op4_simhash_near_dedup,
         op5_url_filter,
         op6_packing,
+        op7_lm_scoring,
         op8_warc,
         op9_quality_classifier,
     )
