@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import exact_dedup, fingerprints, language_model, line_dedup, packing, quality, simhash_dedup, url_filter, warc
+from jobtide.llm import exact_dedup, fingerprints, language_model, line_dedup, packing, quality
+from jobtide.llm import sentencepiece_lattice as lattice
+from jobtide.llm import simhash_dedup, url_filter, warc
 from jobtide.llm.common import ship, table, working_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +82,14 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", predicted)
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encoding of every distinct word of the documents, how often it occurs, and its decoding."""
+    vocabulary = lattice.load_vocabulary(tokenizer_file("piece_bpe_32k.model"), merges=True)
+    found = lattice.encode_words(lattice.word_counts(table(spark, sf_dir, "documents")), vocabulary)
+    text = lattice.decoded(F.col("ids"), F.col("lead"), vocabulary).alias("decoded")
+    return found.select("word", "lead", "n", "ids", F.size("ids").alias("n_pieces"), text)
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -100,5 +110,6 @@ QUERIES: dict[str, Query] = {
         op7_lm_scoring,
         op8_warc,
         op9_quality_classifier,
+        op10_sentencepiece,
     )
 }
