@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from jobtide.llm.common import SPACES, kept, record_batch, slices, texts_of
 
@@ -131,7 +132,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
     )
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _bitmap(n_lines: pd.Series, dropped: pd.Series) -> pd.Series:
     def one(n: int, gone) -> bytes:
         bits = np.ones(n, dtype=bool)
@@ -165,7 +166,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _kept_text(text: pd.Series, keep: pd.Series) -> pd.Series:
     def one(text: str, keep: bytes) -> str:
         lines = text.split("\n")

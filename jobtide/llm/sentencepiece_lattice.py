@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is cut at blanks; a word is what stands between two of them, with the word
-mark before it.  Every distinct word is encoded once: its substrings of bounded
+A text is cut at each blank that follows another character; a word is what stands
+between two such blanks, with the word mark before it and for every blank in it.  Every distinct word is encoded once: its substrings of bounded
 length are exploded and equi-joined to the piece table, the joined edges are
 grouped by word, and a fold with Spark's higher-order ``aggregate`` reads the ids
 off the lattice.  Words stay where the count of words put them, so grouping the
@@ -29,6 +29,7 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -48,6 +49,7 @@ BYTE_PRICE = 10.0
 MOST_PIECE_CHARS = 16
 MOST_WORD_CHARS = 256
 DISTINCT_AT_A_TIME = 400_000
+_CUT = re.compile(r"(?<=[^ ]) ")
 
 
 @dataclass(frozen=True)
@@ -81,9 +83,14 @@ def load_vocabulary(path: str, merges: bool) -> Vocabulary:
     return Vocabulary(tuple(pieces), tuple(byte_ids), merges)
 
 
+def words_of(text: str) -> list[str]:
+    """The text cut at each blank that follows another character."""
+    return _CUT.split(text) if "  " in text or text.startswith(" ") else text.split(" ")
+
+
 def units(text: str) -> Iterator[tuple[str, bool]]:
     """The words of a text, long ones in parts; the flag says whether the word mark leads."""
-    for word in text.split(" "):
+    for word in words_of(text):
         yield word[:MOST_WORD_CHARS], True
         for at in range(MOST_WORD_CHARS, len(word), MOST_WORD_CHARS):
             yield word[at : at + MOST_WORD_CHARS], False
@@ -105,7 +112,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in slices(batches, 100):
             for text in batch.column(0).to_pylist():
-                words = text.split(" ")
+                words = words_of(text)
                 if max(map(len, words)) <= MOST_WORD_CHARS:
                     whole.update(words)
                 else:
@@ -127,7 +134,8 @@ def piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
 def edges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Adds ``edge`` (price, start, end, ids) to ``words``: one row per edge of each word's lattice."""
     lead = F.when(F.col("lead"), F.lit(MARK)).otherwise("")
-    line = F.concat(lead, F.replace("word", F.lit(MARK), F.lit(INNER_MARK)))
+    marked = F.replace(F.replace("word", F.lit(MARK), F.lit(INNER_MARK)), F.lit(" "), F.lit(MARK))
+    line = F.concat(lead, marked)
     byte_ids = F.array(*(F.lit(i) for i in vocabulary.byte_ids))
     raw = F.hex(F.encode(F.substring(F.concat(lead, "word"), F.col("at"), F.lit(1)), "UTF-8"))
     by_bytes = F.transform(
