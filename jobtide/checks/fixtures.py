@@ -71,7 +71,7 @@ _K = "job_no"
 DESCRIPTIONS = f"""
 SELECT source, source_job_id,
        'https://jobs.example.com/' || source_job_id AS redirect_url,
-       CASE {_K} % 13
+       CASE {_K} % 15
          WHEN 0 THEN '<div>Plain text only</div>'
          WHEN 1 THEN '<div>Requirements<br>- Python and SQL<br>similar tools<br>2.5 years of SQL<br>&bull; 4 to 6 years overall</div>'
          WHEN 2 THEN '<p>About us: we ship data.</p><p><strong>Qualifications</strong></p><ul><li>3+ years of <b>Python</b></li><li>AWS Certified Developer</li></ul><p>Benefits</p><ul><li>Dental</li></ul>'
@@ -81,6 +81,8 @@ SELECT source, source_job_id,
          WHEN 6 THEN '<p>We use Spark and dbt daily.</p><p>Join our team in Montr&eacute;al</p>'
          WHEN 7 THEN '<!-- Requirements --><div>Who we hire<ul><li>Builders<ul><li>SQL</li></ul></li><li>Makers</li></ul>tail<ul><li>x</li></ul></div>'
          WHEN 8 THEN '<p>• Experience with Python<br>on AWS</p><p>1) machine learning<br>2) data modeling</p><script>var x="<ul><li>no</li></ul>";</script>'
+         WHEN 9 THEN '<h3>What you&apos;ll bring</h3><ul><li>SQL</li></ul> <ul><li>Spark</li></ul> <ul><li>dbt</li></ul><p>What we&#146;re looking for</p><ul><li>Scala</li></ul>'
+         WHEN 10 THEN '<h2>Perks</h2><ul><li>Lunch</li></ul><h2>What you&#00008217;ll bring</h2><ul><li>C++&nbsp and SQL</li></ul>'
          ELSE '<div><h3>' || split_part('Requirements|About us|What you will bring|Benefits', '|', CAST(floor({_K} / 13) % 4 + 1 AS INT))
            || '</h3><ul><li>' || split_part('Airflow|C++|.NET|Tableau|PyTorch|Node.js|Scala', '|', CAST(floor({_K} % 28 / 4) + 1 AS INT))
            || '</li><li>' || split_part('3+ years|2-4 years|5 years|N/A', '|', CAST({_K} % 4 + 1 AS INT))
@@ -112,7 +114,8 @@ FROM posting_keys
 JOB_PAGES = """
 SELECT page_id, url,
        CASE page_id % 5
-         WHEN 0 THEN replace(replace(html, '<article>', '<article id="jobDescription">'), '<!-- ad', '<!-- x')
+         WHEN 0 THEN replace(replace(html, '<article>', '<article title="a > b" id=jobDescription>'),
+                             '<!-- ad', '<!-- <article id="jobDescription">no</article> x')
          WHEN 1 THEN replace(replace(html, '<article>', '<div class="card job-description"><div>'), '</article>', '</div></div>')
          WHEN 2 THEN replace(replace(html, '<article>', '<section class=''adp-body''>'), '</article>', '</section>')
          WHEN 3 THEN replace(replace(html, '<article>', '<div data-testid="viewJobBodyContainer">'), '</article>', '</div>')
@@ -125,7 +128,8 @@ FROM pages
 LINES = """
 SELECT doc_id, CASE doc_id % 6
                  WHEN 0 THEN '• ' || text
-                 WHEN 1 THEN '2.5 years ' || text
+                 WHEN 1 THEN split_part('2.5 years |between 3 and 5 years |5 or more years |10-plus years |3 à 5 ans |1,5+ yrs ', '|',
+                                        CAST(floor(doc_id / 6) % 6 + 1 AS INT)) || text
                  WHEN 2 THEN 'What you will bring ' || text
                  WHEN 3 THEN text || ' 3 to 5 years, NLP and machine   learning &amp; more’s'
                  WHEN 4 THEN '.NET ' || text || ' (EXPERIENCE)'

@@ -13,7 +13,7 @@ from jobtide import fixed_values as V
 from jobtide.checks import fixtures as X
 from jobtide.functions import sections as S
 from jobtide.functions import text as T
-from jobtide.functions.requirements import TOKEN, YEARS
+from jobtide.functions.requirements import TOKEN
 
 AS_OF = f"TIMESTAMP '{X.AS_OF}'"
 LANDED_UNTIL = f"TIMESTAMP '{X.LANDED_UNTIL}'"
@@ -57,6 +57,10 @@ def normalize(expr: str) -> str:
 
 # Every character reference the check tables contain; the ampersand last.
 ENTITIES = (
+    ("&apos;", "'"),
+    ("&nbsp ", T.NBSP + " "),
+    ("&#146;", "’"),
+    ("&#00008217;", "’"),
     ("&bull;", "•"),
     ("&middot;", "·"),
     ("&copy;", "©"),
@@ -171,6 +175,8 @@ def _values(rows) -> str:
 MARKED = f"replace({decoded('html')}, {q(T.NBSP)}, ' ')"
 for _pattern, _replacement in S.MARKS:
     # The same patterns without possessive quantifiers; backslash references.
+    if _pattern.startswith("(?U)"):
+        _pattern = _pattern[4:].replace(r"[^\s", "[^" + SPACE[1:-1]).replace(r"\s++", SPACE + "+")
     _pattern = _pattern.replace("++", "+").replace("*+", "*")
     MARKED = sub(MARKED, _pattern, _replacement.replace("$", "\\"))
 
@@ -254,7 +260,14 @@ def gazetteer(expr: str, item_type: str) -> str:
 
 def years(expr: str, group: int) -> str:
     least = "list_min" if group == 1 else "list_max"
-    found = f"regexp_extract_all({expr}, {q(YEARS)}, {group})"
+    # Written apart from the library's pattern: decimals are cut and ranges spelled "a-b" first.
+    whole = sub(expr, r"([0-9])[.,][0-9]{1,2}([^0-9]|$)", r"\1\2")
+    more = sub(whole, r"(?i)([0-9])(?:\s*\+|\s*-?\s*plus\b|\s+or\s+more\b|\s+ou\s+plus\b)", r"\1")
+    ranged = sub(more, r"(?i)\b(?:between|entre)\s+([0-9]+)\s+(?:and|et)\s+([0-9])", r"\1-\2")
+    joined = sub(ranged, r"(?i)([0-9])\s*(?:-|–|—|to\b|à)\s*([0-9]{1,2}\s*-?\s*(?:years?|yrs?|ans?|années?)\b)", r"\1-\2")
+    unit = r"\s*-?\s*(?:years?|yrs?|ans?|années?)(?:[^\pL\pN_]|$)"
+    pattern = rf"(?i)(?:^|[^\pL\pN_.,]|[^0-9][.,])([0-9]{{1,2}})(?:-([0-9]{{1,2}}))?{unit}"
+    found = f"regexp_extract_all({joined}, {q(pattern)}, {group})"
     return f"{least}(list_transform(list_filter({found}, lambda y: y <> ''), lambda y: CAST(y AS INTEGER)))"
 
 
@@ -440,7 +453,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM tasks t LEFT JOIN postings p USING (search_term) GROUP BY ALL""",
     "exclude_terms": with_("titles")
     + f"""SELECT seq, title FROM titles WHERE NOT list_has_any(
-        regexp_extract_all(lower(coalesce(title, '')), {q(T.WORD_WITH_HYPHENS)}), [{_EXCLUDED}])""",
+        list_concat([], regexp_split_to_array(lower(coalesce(title, '')), '[^\\pL\\pN_]+'))
+        || regexp_split_to_array(lower(coalesce(title, '')), '[^\\pL\\pN_-]+'), [{_EXCLUDED}])""",
     "recent_postings": with_("postings")
     + f"SELECT seq, source_job_id FROM postings WHERE created_at >= {AS_OF} - INTERVAL 365 DAY",
     "cap_per_term": with_("postings")
@@ -494,9 +508,9 @@ ORACLE_SQL: dict[str, str] = {
     + """SELECT source, source_job_id, job_title, role_title, html_description
         FROM jobs JOIN descriptions USING (source, source_job_id)""",
     "missing_descriptions": with_("jobs_raw", "descriptions")
-    + """SELECT DISTINCT j.source_job_id, j.source, j.redirect_url FROM jobs_raw j
-        LEFT JOIN descriptions d ON j.source = d.source AND j.source_job_id = d.source_job_id
-        WHERE d.source_job_id IS NULL AND j.redirect_url IS NOT NULL""",
+    + """SELECT source_job_id, source, redirect_url FROM jobs_raw WHERE (source, source_job_id) IN (
+            SELECT (source, source_job_id) FROM jobs_raw EXCEPT SELECT (source, source_job_id) FROM descriptions)
+        AND redirect_url IS NOT NULL GROUP BY ALL""",
     "cross_source_id_collisions": with_("jobs_raw", "descriptions")
     + """, by_id AS (SELECT source_job_id, count(*) AS n FROM jobs_raw JOIN descriptions d USING (source_job_id) GROUP BY 1),
         by_key AS (SELECT source_job_id, count(*) AS n FROM jobs_raw JOIN descriptions d USING (source, source_job_id) GROUP BY 1)
@@ -524,7 +538,7 @@ ORACLE_SQL: dict[str, str] = {
     + f"SELECT seq, {seniority_case('title', 'CASE WHEN seq % 3 > 0 THEN seq % 8 END')} AS seniority FROM titles",
     "page_main_container": with_("job_pages")
     + f"""SELECT page_id, {strip(f'''CASE page_id % 5
-        WHEN 0 THEN {_between('<article id="jobDescription">', '</article>')}
+        WHEN 0 THEN {_between('<article title="a > b" id=jobDescription>', '</article>')}
         WHEN 1 THEN {_between('<div class="card job-description">', '</div></div>')} || '</div>'
         WHEN 2 THEN {_between("<section class='adp-body'>", '</section>')}
         WHEN 3 THEN {_between('<div data-testid="viewJobBodyContainer">', '</div>')} END''')} AS container FROM job_pages""",
@@ -604,6 +618,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT from_role, to_role, n_shared, f.size + t.size - n_shared AS n_union,
                round(n_shared / (f.size + t.size - n_shared), 6) AS jaccard
         FROM shared JOIN role_sizes f ON f.role_title = from_role JOIN role_sizes t ON t.role_title = to_role""",
+    "career_gap": with_("item_roles")
+    + """SELECT role_title AS to_role, item AS missing_item FROM item_roles
+        WHERE item NOT IN (SELECT item FROM item_roles WHERE role_title = 'data analyst') GROUP BY ALL""",
     "role_skill_gap": with_("item_roles")
     + """SELECT f.role_title AS from_role, t.role_title AS to_role, t.item AS missing_item
         FROM (SELECT DISTINCT role_title FROM item_roles) f JOIN item_roles t ON f.role_title <> t.role_title
@@ -615,9 +632,9 @@ ORACLE_SQL: dict[str, str] = {
         ORDER BY md5('42:' || source || ':' || source_job_id), source, source_job_id LIMIT 20""",
 }
 ORACLE_SQL["catalog_overview"] = (
-    ORACLE_SQL["table_counts"].replace("SELECT 'jobs_raw' AS", "SELECT 'main' AS schema_name, 'jobs_raw' AS")
-    .replace("UNION ALL SELECT 'descriptions_raw',", "UNION ALL SELECT 'main', 'descriptions_raw',")
-    .replace("UNION ALL SELECT 'jobs',", "UNION ALL SELECT 'main', 'jobs',")
-    .replace("UNION ALL SELECT 'job_requirements',", "UNION ALL SELECT 'main', 'job_requirements',")
-    .replace("UNION ALL SELECT 'job_requirement_items',", "UNION ALL SELECT 'main', 'job_requirement_items',")
+    ORACLE_SQL["table_counts"].replace("SELECT 'jobs_raw' AS", "SELECT 'default' AS schema_name, 'jobs_raw' AS")
+    .replace("UNION ALL SELECT 'descriptions_raw',", "UNION ALL SELECT 'default', 'descriptions_raw',")
+    .replace("UNION ALL SELECT 'jobs',", "UNION ALL SELECT 'default', 'jobs',")
+    .replace("UNION ALL SELECT 'job_requirements',", "UNION ALL SELECT 'default', 'job_requirements',")
+    .replace("UNION ALL SELECT 'job_requirement_items',", "UNION ALL SELECT 'default', 'job_requirement_items',")
 )

@@ -43,7 +43,8 @@ def _upsert_postings(f: Frames) -> DataFrame:
 
 
 def _insert_if_absent(f: Frames) -> DataFrame:
-    return upsert.insert_if_absent(f.postings, f.landed, ["seq"], few_keys=True).select(*KEY, "seq")
+    few = upsert.has_few_keys(f.postings)
+    return upsert.insert_if_absent(f.postings, f.landed, ["seq"], few_keys=few).select(*KEY, "seq")
 
 
 def _description_batch(f: Frames) -> DataFrame:
@@ -115,9 +116,9 @@ def _stream(f: Frames) -> DataFrame:
     def prepare(batch: DataFrame) -> DataFrame:
         batch.createOrReplaceTempView("jt_stream_orders")
         sql = X.POSTINGS.replace("FROM orders", "FROM jt_stream_orders")
-        return upsert.with_load_time(batch.sparkSession.sql(sql), "jobs_raw", X.AS_OF)
+        return batch.sparkSession.sql(sql)
 
-    ingest_stream(landed, path, JOBS_RAW, ["seq"], prepare).awaitTermination()
+    ingest_stream(landed, path, "jobs_raw", X.AS_OF, ["seq"], prepare).awaitTermination()
     return read_target(f.spark, path, JOBS_RAW).select(*KEY)
 
 
@@ -224,10 +225,10 @@ QUERIES: dict[str, Query] = {
     ),
     # requirements
     "extract_terms": lambda f: _texts(
-        requirement_ops.with_terms(f.lines, "line", f.terms, ["doc_id"]).select("doc_id", *LISTS), *LISTS
+        requirement_ops.with_terms(f.lines, "line", f.terms).select("doc_id", *LISTS), *LISTS
     ),
     "extract_terms_by_join": lambda f: _texts(
-        requirement_ops.with_terms_by_join(f.lines, "line", f.terms, ["doc_id"]).select("doc_id", *LISTS), *LISTS
+        requirement_ops.with_terms_by_join(f.lines, "line", f.terms).select("doc_id", *LISTS), *LISTS
     ),
     "extract_years": lambda f: requirement_ops.with_years(f.lines, "line").select("doc_id", "min_years", "max_years"),
     "parse_responses": lambda f: _texts(requirement_ops.parse_responses(f.responses), *LISTS).drop("error"),
@@ -267,6 +268,7 @@ QUERIES: dict[str, Query] = {
         analytics.histogram(pages.text_reduction(f.descriptions, "html_description"), F.col("reduction_pct"), 100)
     ),
     "role_similarity": lambda f: analytics.role_similarity(f.items, f.jobs),
+    "career_gap": lambda f: analytics.career_gap(f.items, f.jobs, "data analyst"),
     "role_skill_gap": lambda f: analytics.role_skill_gap(f.items, f.jobs),
     # first rows and samples
     "limit_jobs": lambda f: analytics.first_rows(f.jobs, 10, *KEY).select(*KEY, "job_title"),

@@ -13,7 +13,15 @@ from jobtide.functions.text import strip
 # A word may carry a leading dot (".net") and inner "+" or "#" ("c++", "c#").
 # A line break is a token too, so that no phrase reaches across two lines.
 TOKEN = r"\n|\.?[\p{L}\p{N}_][\p{L}\p{N}_+#]*"
-YEARS = r"(?i)\b(\d{1,2})\s*(?:\+|(?:-|–|to)\s*(\d{1,2})\s*\+?)?\s*(?:years?|yrs?)\b"
+# A number of years counts with its whole part: "2.5" and "2,5" are 2.
+_NUMBER = r"(\d{1,2})(?:[.,]\d{1,2})?"
+_OR_MORE = r"(?:\s*\+|\s*-?\s*plus\b|\s+or\s+more\b|\s+ou\s+plus\b)?"
+YEARS = (
+    rf"(?iU)(?<![\p{{L}}\p{{N}}_])(?<!\d[.,]){_NUMBER}{_OR_MORE}"
+    rf"(?:\s*(?:-|–|—|to\b|à)\s*{_NUMBER}{_OR_MORE})?\s*-?\s*(?:years?|yrs?|ans?|années?)\b"
+)
+# "between 3 and 5" is read as "3-5".
+BETWEEN = rf"(?iU)\b(?:between|entre)\s+{_NUMBER}\s+(?:and|et)\s+(?=\d)"
 
 LIST_FIELDS = ("technical_tools", "technical_concepts", "certifications")
 YEAR_FIELDS = ("min_years", "max_years")
@@ -32,13 +40,17 @@ def phrases(words: Column, max_words: int) -> Column:
     return F.array_distinct(F.concat(words, *[runs_of(n) for n in range(2, max_words + 1)]))
 
 
+def _ranges(text: Column) -> Column:
+    return F.regexp_replace(text, BETWEEN, "$1-")
+
+
 def min_years(text: Column) -> Column:
-    found = F.regexp_extract_all(text, F.lit(YEARS), F.lit(1))
+    found = F.regexp_extract_all(_ranges(text), F.lit(YEARS), F.lit(1))
     return F.array_min(F.transform(found, lambda y: y.cast("int")))
 
 
 def max_years(text: Column) -> Column:
-    found = F.regexp_extract_all(text, F.lit(YEARS), F.lit(2))
+    found = F.regexp_extract_all(_ranges(text), F.lit(YEARS), F.lit(2))
     return F.array_max(F.transform(F.filter(found, lambda y: y != ""), lambda y: y.cast("int")))
 
 

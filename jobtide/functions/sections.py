@@ -50,7 +50,7 @@ BLOCK_TAG = (
 BOLD_ABOVE_LIST = r"(?is)(<(?:b|strong)\b[^>]*>[^<]*</(?:b|strong)\s*>\s*)(<(?:ul|ol)\b)"
 MARK = BLOCK + "(?:h|h[1-6]|H[1-6])?" + END
 # A closed list followed by more text starts a new group.
-TEXT_AFTER_LIST = LIST + END + r"((?:\s++|<[^>]*+>|" + MARK + r")*+[^\s<" + LIST + BLOCK + "])"
+TEXT_AFTER_LIST = "(?U)" + LIST + END + r"((?:\s++|<[^>]*+>|" + MARK + r")*+[^\s<" + LIST + BLOCK + "])"
 MARKS = (
     (NO_TEXT, "\n"),
     (BOLD_ABOVE_LIST, BLOCK + "h" + END + "$1$2"),
@@ -105,12 +105,22 @@ def _group(parts: Column) -> Column:
     return F.struct(flow.alias("flow"), F.filter(bodies, lambda p: p.rlike(ITEM_OPEN)).alias("lists"))
 
 
-def _blocks(groups: Column) -> Column:
+def _texts_before(groups: Column) -> Column:
+    """For each group the last text of all groups before it."""
+
+    def extend(texts: Column, group: Column) -> Column:
+        last = F.try_element_at(group["flow"], F.lit(-1))["text"]
+        return F.concat(texts, F.array(F.coalesce(last, F.element_at(texts, -1))))
+
+    return F.aggregate(groups, F.array(F.lit("")), extend)
+
+
+def _blocks(groups: Column, texts_before: Column) -> Column:
     """Flatten groups to blocks that know their context."""
 
     def of_group(group: Column, i: Column) -> Column:
         flow = group["flow"]
-        before = F.try_element_at(F.get(groups, i - 1)["flow"], F.lit(-1))["text"]
+        before = F.get(texts_before, i)
         nearest = F.coalesce(F.try_element_at(flow, F.lit(-1))["text"], before, F.lit(""))
 
         def with_context(block: Column, j: Column) -> Column:
@@ -196,8 +206,10 @@ def with_blocks(df: DataFrame, html_col: str, out_col: str = "blocks") -> DataFr
     """Add ``array<struct<kind, context, is_section, items>>``, in document order."""
     parts = F.transform(F.split(mark_blocks(F.col(html_col)), GROUP), lambda g: F.split(g, LIST))
     df = with_computed(df, _groups=F.transform(parts, _group))
-    blocks = F.transform(F.transform(_blocks(F.col("_groups")), _classified), _with_header_position)
-    return with_computed(df, **{out_col: F.transform(blocks, _items)}).drop("_groups")
+    df = with_computed(df, _before=_texts_before(F.col("_groups")))
+    found = _blocks(F.col("_groups"), F.col("_before"))
+    blocks = F.transform(F.transform(found, _classified), _with_header_position)
+    return with_computed(df, **{out_col: F.transform(blocks, _items)}).drop("_groups", "_before")
 
 
 def section_text(blocks: Column, html: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,11 @@ HIDDEN_LT, HIDDEN_GT = "\ue000", "\ue001"
 CUT = "\x1f"
 RESERVED = "\x1c\x1d\x1e\x1f" + HIDDEN_LT + HIDDEN_GT
 
-ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]*+;?|#[0-9]++;?|#[xX][0-9A-Fa-f]++;?)"
+# Names that stand without a semicolon, whatever follows; the longest first.
+LEGACY_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+# Numbers 128 to 159 stand for what windows-1252 has there.
+_WINDOWS = {str(c): bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(128, 160)}
 INVISIBLE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 TAG = r"<[/!?]?[A-Za-z][^>]*>"
 
@@ -43,6 +47,17 @@ def with_computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(value)))
 
 
+def valid_json(text: Column) -> Column:
+    """Is the text one JSON value and nothing else?
+
+    The parser stops after a value.  Only one value alone fits both into a list and
+    after a key.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    keyed = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
+    return listed.isNotNull() & keyed.isNotNull()
+
+
 def strip(text: Column) -> Column:
     """Remove white space, in the Unicode sense, from both ends."""
     # The look-behind lets the end run start once, so long runs stay linear.
@@ -68,41 +83,61 @@ def normalize_hidden(text: Column) -> Column:
     return collapse(F.replace(text, F.lit("&amp;"), F.lit("&")))
 
 
-def _entity_char(entity: Column) -> Column:
+def _constant_map(table: dict[str, str]) -> Column:
     # One constant: parsed while planning, not once per row.
-    table = json.dumps({f"&{name};": chr(code) for name, code in name2codepoint.items()})
-    names = F.from_json(F.lit(table), "map<string,string>")
-    hexadecimal = F.regexp_extract(entity, r"(?i)^&#x([0-9a-f]+);$", 1)
-    decimal = F.regexp_extract(entity, r"^&#([0-9]+);$", 1)
-    code = F.when(hexadecimal != "", F.upper(hexadecimal)).when(
-        decimal != "", F.hex(decimal.try_cast("bigint"))
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
+def _numbered(code: Column) -> Column:
+    """The character of a number; one that stands for none is U+FFFD."""
+    fits = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    special = F.when(code.between(128, 159), F.try_element_at(_constant_map(_WINDOWS), code.cast("string")))
+    return F.coalesce(special, F.when(fits, char), F.lit("\ufffd"))
+
+
+def _entity_text(entity: Column) -> Column:
+    """What a character reference stands for; itself, if nothing."""
+    common = {"&amp;": "&", "&nbsp;": NBSP, "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
+    quick = F.when(F.lit(False), F.lit(""))
+    for name, char in common.items():
+        quick = quick.when(entity == name, char)
+    names = _constant_map({f"&{name}": text for name, text in html5.items()})
+    legacy = F.regexp_extract(entity, "^&(?:" + "|".join(LEGACY_NAMES) + ")", 0)
+    by_prefix = F.when(
+        legacy != "", F.concat(F.try_element_at(names, legacy), F.substr(entity, F.length(legacy) + 1))
     )
-    valid = (F.conv(code, 16, 10).cast("bigint") < 0x110000) & ~F.conv(code, 16, 10).cast("bigint").between(
-        0xD800, 0xDFFF
+    hexadecimal = F.regexp_extract(entity, "(?i)^&#x0*([0-9a-f]*);?$", 1)
+    decimal = F.regexp_extract(entity, "^&#0*([0-9]*);?$", 1)
+    # More digits than a character needs stand for none.
+    hex_code = F.when(F.length(hexadecimal) <= 6, F.conv(F.concat(F.lit("0"), hexadecimal), 16, 10).cast("bigint"))
+    code = F.when(F.length(decimal) <= 7, F.concat(F.lit("0"), decimal).try_cast("bigint"))
+    numbered = F.when(
+        entity.startswith("&#"),
+        _numbered(F.coalesce(F.when(entity.rlike("^&#[xX]"), hex_code).otherwise(code), F.lit(0).cast("bigint"))),
     )
-    numeric = F.when(valid, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32"))
-    return F.coalesce(F.try_element_at(names, entity), numeric, entity)
+    return F.coalesce(quick, numbered, F.try_element_at(names, entity), by_prefix, entity)
+
+
+def replace_each(text: Column, pattern: str, use: Callable[[Column], Column]) -> Column:
+    """``text`` with ``use`` of every match in its place, in one pass."""
+    between = F.split(text, pattern, -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    joined = F.zip_with(between, found, lambda b, m: F.concat(b, F.coalesce(use(m), F.lit(""))))
+    return F.array_join(joined, "")
 
 
 def decode_entities(html: Column) -> Column:
-    """Resolve character references once, keeping decoded angle brackets hidden.
+    """Resolve every character reference once, keeping decoded angle brackets hidden.
 
-    ``&amp;`` goes last so that ``&amp;lt;`` ends as ``&lt;``.  Only the distinct
-    references of a text are replaced; text without ``&`` is left alone.
+    Text without ``&`` is left alone.
     """
     html = F.translate(F.coalesce(html, F.lit("")), RESERVED, "")
-    ampersands = F.array(F.lit("&amp;"), F.lit("&#38;"), F.lit("&#x26;"))
-
-    def resolve(text: Column, entity: Column) -> Column:
-        char = F.translate(_entity_char(entity), "<>", HIDDEN_LT + HIDDEN_GT)
-        return F.replace(text, entity, char)
 
-    def resolve_all(text: Column) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
-        ordered = F.concat(F.array_except(found, ampersands), F.array_intersect(found, ampersands))
-        return F.when(F.instr(text, "&") > 0, F.aggregate(ordered, text, resolve)).otherwise(text)
+    def shown(entity: Column) -> Column:
+        return F.translate(_entity_text(entity), "<>", HIDDEN_LT + HIDDEN_GT)
 
-    return bind(html, resolve_all)
+    return bind(html, lambda t: F.when(F.instr(t, "&") > 0, replace_each(t, ENTITY, shown)).otherwise(t))
 
 
 def reveal(text: Column) -> Column:

@@ -208,8 +208,17 @@ def role_similarity(items: DataFrame, jobs: DataFrame) -> DataFrame:
     )
 
 
+def career_gap(items: DataFrame, jobs: DataFrame, from_role: str) -> DataFrame:
+    """``(to_role, missing_item)``: what every other role asks for and ``from_role`` does not."""
+    lacking = _item_role_sets(items, jobs).filter(~F.array_contains("roles", from_role))
+    return lacking.select(F.explode("roles").alias("to_role"), F.col("item").alias("missing_item"))
+
+
 def role_skill_gap(items: DataFrame, jobs: DataFrame) -> DataFrame:
-    """``(from_role, to_role, missing_item)``: items the target asks for and the start does not."""
+    """``(from_role, to_role, missing_item)``: the gaps between all pairs of roles.
+
+    The result has a row per pair of roles and item; ``career_gap`` answers for one start.
+    """
     sets = _item_role_sets(items, jobs)
     every_role = sets.select(F.explode("roles").alias("role")).agg(F.collect_set("role")).scalar()
     lacking = sets.withColumn("_without", F.array_except(every_role, F.col("roles")))

@@ -14,26 +14,32 @@ from jobtide.functions.sections import (
     with_blocks,
     with_requirement_section,
 )
-from jobtide.functions.text import plain_text, strip, with_computed
+from jobtide.functions.text import HIDDEN_LT, INVISIBLE, RESERVED, plain_text, replace_each, strip, with_computed
 
 _SELECTOR = re.compile(r"^([a-z][a-z0-9]*)(?:\.([\w-]+)|#([\w-]+)|\[([\w-]+)='([^']*)'\])?$")
 
 
+# What an opening tag may hold after its name; ">" may stand in quotes.
+_REST = r"""(?:"[^"]*+"|'[^']*+'|[^>"'])*"""
+
+
 def selector_pattern(selector: str) -> tuple[str, str]:
     """``(tag, opening-tag pattern)`` of ``tag``, ``tag.class``, ``tag#id`` or ``tag[attr='v']``."""
     parts = _SELECTOR.match(selector)
     if not parts:
         raise ValueError(f"Unsupported selector: {selector}")
     tag, css_class, element_id, attribute, value = parts.groups()
+    wanted = re.escape(css_class or element_id or value or "")
+    bare = rf"{wanted}(?=[\s>])"
     if css_class:
-        inner = rf"\sclass\s*=\s*[\"'](?:[^\"']*\s)?{re.escape(css_class)}(?:\s[^\"']*)?[\"']"
-    elif element_id:
-        inner = rf"\sid\s*=\s*[\"']{re.escape(element_id)}[\"']"
-    elif attribute:
-        inner = rf"\s{re.escape(attribute)}\s*=\s*[\"']{re.escape(value)}[\"']"
+        one_of = r"""(?:[^{0}]*\s)?{1}(?:\s[^{0}]*)?"""
+        inner = rf"""\sclass\s*=\s*(?:"{one_of.format('"', wanted)}"|'{one_of.format("'", wanted)}'|{bare})"""
+    elif element_id or attribute:
+        name = "id" if element_id else re.escape(attribute)
+        inner = rf"""\s{name}\s*=\s*(?:"{wanted}"|'{wanted}'|{bare})"""
     else:
-        return tag, rf"(?i)<{tag}(?:\s[^>]*)?>"
-    return tag, rf"(?i)<{tag}\b[^>]*{inner}[^>]*>"
+        return tag, rf"(?i)<{tag}(?:\s{_REST})?>"
+    return tag, rf"(?i)<{tag}\b{_REST}?{inner}{_REST}>"
 
 
 def with_main_container(
@@ -42,9 +48,14 @@ def with_main_container(
     """Add the inner html of the first element any selector matches; null if none does.
 
     The element ends at the closing tag that balances its opening tag, or at the
-    end of the page if it is never closed.
+    end of the page if it is never closed.  Tags in comments and scripts count for
+    nothing.
     """
-    html = F.col(html_col)
+    # A tag that is not one starts with a reserved character until the end.
+    plain = F.translate(F.col(html_col), RESERVED, "")
+    hidden = replace_each(plain, INVISIBLE, lambda m: F.translate(m, "<", HIDDEN_LT))
+    pages = with_computed(pages, _page=hidden)
+    html = F.col("_page")
     candidates = []
     for selector in selectors:
         tag, pattern = selector_pattern(selector)
@@ -57,7 +68,7 @@ def with_main_container(
             )
         )
     staged = with_computed(pages, _hit=F.array_max(F.array(*candidates)))
-    rest = F.regexp_replace(F.col("_hit.onward"), "^<[^>]*>", "")
+    rest = F.regexp_replace(F.col("_hit.onward"), f"^<{_REST}>", "")
     close = F.concat(F.lit("(?i)</"), F.col("_hit.tag"), F.lit(r"\s*>"))
     opens = F.concat(F.lit("(?i)<"), F.col("_hit.tag"), F.lit(r"[\s>]"))
     staged = with_computed(staged, _rest=rest, _pieces=F.split(rest, close))
@@ -77,7 +88,8 @@ def with_main_container(
     inner = F.replace(closed, F.lit("\x1f"), F.concat(F.lit("</"), F.col("_hit.tag"), F.lit(">")))
     # Without a balancing tag every piece belongs to the element.
     value = F.when(F.col("_last") > 0, inner).otherwise(F.col("_rest"))
-    return with_computed(staged, **{out_col: strip(value)}).drop("_hit", "_rest", "_pieces", "_last")
+    shown = F.translate(strip(value), HIDDEN_LT, "<")
+    return with_computed(staged, **{out_col: shown}).drop("_page", "_hit", "_rest", "_pieces", "_last")
 
 
 def page_text(pages: DataFrame, html_col: str, out_col: str = "plain_text") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.fixed_values import EXCLUDED_TERMS, MAX_DAYS_OLD, MAX_PAGES, RESULTS_PER_PAGE
-from jobtide.functions.text import WORD_WITH_HYPHENS, with_computed
+from jobtide.functions.text import WORD, WORD_WITH_HYPHENS, with_computed
 from jobtide.schemas import KEY, POSTING_PAYLOAD
 from jobtide.sources.landing import timestamp
 
@@ -30,8 +30,9 @@ def landed_per_task(taxonomy: DataFrame, postings: DataFrame) -> DataFrame:
 
 
 def without_excluded_terms(postings: DataFrame, title: Column, terms: Iterable[str] = EXCLUDED_TERMS) -> DataFrame:
-    """Postings whose title holds none of the excluded words."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(title, F.lit(""))), F.lit(WORD_WITH_HYPHENS), F.lit(0))
+    """Postings whose title holds none of the excluded words, alone or as a part of a hyphenated one."""
+    lowered = F.lower(F.coalesce(title, F.lit("")))
+    words = F.concat(*(F.regexp_extract_all(lowered, F.lit(p), F.lit(0)) for p in (WORD_WITH_HYPHENS, WORD)))
     return postings.filter(~F.arrays_overlap(words, F.array(*[F.lit(t) for t in terms])))
 
 

@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.fixed_values import CERTIFICATION, FAILED, SKIPPED, TECHNICAL_CONCEPT, TECHNICAL_TOOL, VALIDATED
+from jobtide.fixed_values import (
+    CERTIFICATION,
+    DROPPED_LIST_VALUES,
+    FAILED,
+    SKIPPED,
+    TECHNICAL_CONCEPT,
+    TECHNICAL_TOOL,
+    VALIDATED,
+)
 from jobtide.functions.requirements import (
     LIST_FIELDS,
     YEAR_FIELDS,
@@ -25,13 +33,15 @@ from jobtide.functions.requirements import (
     whole_number,
 )
 from jobtide.functions.sections import with_requirement_section
-from jobtide.functions.text import strip, with_computed
+from jobtide.functions.text import strip, valid_json, with_computed
 from jobtide.functions.titles import infer_seniority
 from jobtide.schemas import KEY
 
 MAX_INLINE_TERMS = 500
 # Gazetteer rows that may be broadcast to meet the phrases.
 BROADCAST_TERMS = 500_000
+# Shares of a common phrase, where phrases and terms are shuffled.
+PHRASE_SALTS = 16
 
 _FIELD_OF_TYPE = {
     TECHNICAL_TOOL: "technical_tools",
@@ -78,9 +88,7 @@ def small_gazetteer(terms: DataFrame | Sequence[Term]) -> list[tuple[str, int, s
     return head if len(head) <= MAX_INLINE_TERMS else None
 
 
-def with_terms(
-    df: DataFrame, text_col: str, terms: DataFrame | Sequence[Term], keys: Sequence[str] = KEY
-) -> DataFrame:
+def with_terms(df: DataFrame, text_col: str, terms: DataFrame | Sequence[Term]) -> DataFrame:
     """Add the sorted lists of tools, concepts and certifications a text names.
 
     A term counts when all its words stand next to each other on one line.  A
@@ -90,7 +98,7 @@ def with_terms(
     head = small_gazetteer(terms)
     if head is None:
         frame = terms if isinstance(terms, DataFrame) else terms_frame(df.sparkSession, terms)
-        return with_terms_by_join(df, text_col, frame, keys)
+        return with_terms_by_join(df, text_col, frame)
     longest = max((n_words for _, n_words, _, _ in head), default=1)
     staged = with_computed(df, _words=tokens(F.col(text_col)))
     staged = with_computed(staged, _phrases=phrases(F.col("_words"), longest))
@@ -114,29 +122,37 @@ def _inline_hits(found: Column, names: dict[str, list[str]]) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(hits)))
 
 
-def with_terms_by_join(df: DataFrame, text_col: str, terms: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
-    """``with_terms`` for a gazetteer of any size.
+def with_terms_by_join(df: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
+    """``with_terms`` for a gazetteer of any size; every row is on its own, whatever its columns hold.
 
-    Only the phrases that hit a term are shuffled.  A row without any phrase or
-    hit keeps empty lists through the left join.
+    The rows are read once: each is opened into its phrases, the first of which
+    carries the row, and closed again by a row number.  A gazetteer too large to
+    broadcast meets the phrases in salted shares, so that a common phrase is not
+    one task's.
     """
-    index = phrase_index(terms).filter("n_words > 0")
-    longest = index.agg(F.coalesce(F.max("n_words"), F.lit(1))).first()[0]
-    if index.count() <= BROADCAST_TERMS:
-        index = F.broadcast(index)
-    staged = with_computed(df.select(*keys, text_col), _words=tokens(F.col(text_col))).drop(text_col)
-    exploded = staged.select(*keys, F.explode(phrases(F.col("_words"), longest)).alias("phrase"))
-    hits = exploded.join(index.select("phrase", "item_type", "canonical"), "phrase")
-    lists = hits.groupBy(*keys).agg(
+    index = phrase_index(terms).filter("n_words > 0").select("phrase", "item_type", "canonical", "n_words").distinct()
+    n_terms, longest = index.agg(F.count(F.lit(1)), F.coalesce(F.max("n_words"), F.lit(1))).first()
+    index = index.drop("n_words")
+    numbered = df.select(F.struct(*df.columns).alias("_whole"), F.monotonically_increasing_id().alias("_row"), text_col)
+    staged = with_computed(numbered, _words=tokens(F.col(text_col))).drop(text_col)
+    opened = staged.select("_row", "_whole", F.posexplode_outer(phrases(F.col("_words"), longest)).alias("_at", "phrase"))
+    first = F.coalesce(F.col("_at"), F.lit(0)) == 0
+    opened = opened.select("_row", F.when(first, F.col("_whole")).alias("_whole"), "phrase")
+    if n_terms <= BROADCAST_TERMS:
+        met = opened.join(F.broadcast(index), "phrase", "left")
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(PHRASE_SALTS - 1)))
+        shares = index.withColumn("_salt", salts)
+        salted = opened.withColumn("_salt", F.pmod(F.xxhash64("_row", "phrase"), F.lit(PHRASE_SALTS)).cast("int"))
+        met = salted.join(shares, ["phrase", "_salt"], "left")
+    closed = met.groupBy("_row").agg(
+        F.first("_whole", ignorenulls=True).alias("_whole"),
         *[
             F.array_sort(F.collect_set(F.when(F.col("item_type") == item_type, F.col("canonical")))).alias(field)
             for item_type, field in _FIELD_OF_TYPE.items()
-        ]
+        ],
     )
-    joined = df.join(lists, list(keys), "left")
-    for field in LIST_FIELDS:
-        joined = joined.withColumn(field, F.coalesce(F.col(field), F.array().cast("array<string>")))
-    return joined
+    return closed.select("_whole.*", *LIST_FIELDS)
 
 
 def with_years(df: DataFrame, text_col: str) -> DataFrame:
@@ -145,16 +161,20 @@ def with_years(df: DataFrame, text_col: str) -> DataFrame:
     return df.withColumn("min_years", min_years(text)).withColumn("max_years", max_years(text))
 
 
-def parse_responses(responses: DataFrame, response_col: str = "response") -> DataFrame:
+def parse_responses(
+    responses: DataFrame, response_col: str = "response", dropped: Iterable[str] = DROPPED_LIST_VALUES
+) -> DataFrame:
     """Validate structured answers; the answer column is replaced by its fields.
 
     Adds ``extraction_status``, ``error``, the three lists and the two years.
     Missing lists are empty, missing years null; whole numbers may come as text
-    or as ``5.0``.  A wrong type in any field fails the whole record.
+    or as ``5.0``.  A wrong type in any field fails the whole record, and so does
+    text after the answer.  ``dropped`` are the placeholders that no list keeps.
     """
+    dropped = list(dropped)
     kept = [c for c in responses.columns if c != response_col]
     response = F.col(response_col)
-    parsed = with_computed(responses, _value=F.try_parse_json(response))
+    parsed = with_computed(responses, _value=F.when(valid_json(response), F.try_parse_json(response)))
     value = F.col("_value")
     fields = with_computed(
         parsed,
@@ -185,7 +205,7 @@ def parse_responses(responses: DataFrame, response_col: str = "response") -> Dat
         *kept,
         F.when(F.col("_blank"), SKIPPED).when(valid, VALIDATED).otherwise(FAILED).alias("extraction_status"),
         "error",
-        *[clean_list(F.when(valid, texts[f])).alias(f) for f in LIST_FIELDS],
+        *[clean_list(F.when(valid, texts[f]), dropped).alias(f) for f in LIST_FIELDS],
         *[F.when(valid, F.col(f"_{f}")).alias(f) for f in YEAR_FIELDS],
     )
 
@@ -232,7 +252,7 @@ def build_requirements(described: DataFrame, terms: DataFrame | Sequence[Term])
 
 
 def build_requirements_from_model(
-    described: DataFrame, answer: Callable[[pd.Series], pd.Series]
+    described: DataFrame, answer: Callable[[pd.Series], pd.Series], dropped: Iterable[str] = DROPPED_LIST_VALUES
 ) -> DataFrame:
     """One requirements row per described job, from the user's own model.
 
@@ -252,7 +272,7 @@ def build_requirements_from_model(
             yield batch[[*columns, "response"]]
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sections.schema.fields)
-    answered = parse_responses(sections.mapInPandas(ask, f"{schema}, response string"))
+    answered = parse_responses(sections.mapInPandas(ask, f"{schema}, response string"), dropped=dropped)
     no_section = F.col("section") == ""
     return _finish(answered.withColumn("error", F.when(no_section, "No requirement section extracted").otherwise(F.col("error"))))
 

@@ -28,6 +28,10 @@ BROADCAST_ALIASES = 200_000
 # Rows of one title that one copy of its match serves.
 HOT_TITLE_ROWS = 1_000_000
 
+# Shares over which rows without a title, which match nothing, are spread.
+EMPTY_SHARES = 1024
+BETWEEN_WORDS = r"(?<=[\p{L}\p{N}_])[^\p{L}\p{N}_]+(?=[\p{L}\p{N}_])"
+
 _WORD = re.compile(r"\w+")
 
 
@@ -71,8 +75,8 @@ def exact_role(title: Column, roles: Sequence[Role]) -> Column:
     """
     role = F.when(F.lit(False), F.lit(None).cast("string"))
     for r in roles:
-        if r.aliases:
-            role = role.when(title.rlike(whole_word_pattern(r.aliases)), r.name)
+        if aliases := [a for a in r.aliases if a]:
+            role = role.when(title.rlike(whole_word_pattern(aliases)), r.name)
     return role
 
 
@@ -130,7 +134,10 @@ def map_titles(df: DataFrame, taxonomy: Sequence[Role] | DataFrame, title_col: s
 def alias_index(taxonomy: DataFrame) -> DataFrame:
     """One row per alias with its words and the rarest of them as its join key."""
     aliases = taxonomy.select("position", "name", F.posexplode("aliases").alias("alias_position", "alias"))
-    aliases = aliases.withColumn("words", words_of(F.col("alias"))).filter(F.size("words") > 0)
+    # An alias of symbols alone has no word; it is met as what stands between two words.
+    aliases = aliases.filter("alias <> ''").withColumn("words", words_of(F.col("alias")))
+    symbols = aliases.filter(F.size("words") == 0).withColumn("rarest", F.col("alias"))
+    aliases = aliases.filter(F.size("words") > 0)
     spelled = aliases.select("position", "alias_position", F.explode("words").alias("word"))
     usage = spelled.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     rarest = (
@@ -138,7 +145,7 @@ def alias_index(taxonomy: DataFrame) -> DataFrame:
         .groupBy("position", "alias_position")
         .agg(F.min(F.struct("n", "word"))["word"].alias("rarest"))
     )
-    return aliases.join(rarest, ["position", "alias_position"])
+    return aliases.join(rarest, ["position", "alias_position"]).unionByName(symbols)
 
 
 def matched_by_join(titles: DataFrame, taxonomy: DataFrame) -> DataFrame:
@@ -152,12 +159,13 @@ def matched_by_join(titles: DataFrame, taxonomy: DataFrame) -> DataFrame:
     if index.count() <= BROADCAST_ALIASES:
         index = F.broadcast(index)
     words = titles.withColumn("_words", words_of(F.col("cleaned_title")))
-    spelled = words.select("cleaned_title", "_words", F.explode("_words").alias("rarest"))
+    between = F.array_distinct(F.regexp_extract_all(F.col("cleaned_title"), F.lit(BETWEEN_WORDS), F.lit(0)))
+    spelled = words.select("cleaned_title", "_words", F.explode(F.array_union("_words", between)).alias("rarest"))
     met = spelled.join(index, "rarest").filter(F.size(F.array_except("words", "_words")) == 0)
     pattern = F.concat(F.lit(r"(?iU)\b\Q"), F.col("alias"), F.lit(r"\E\b"))
     ranked = F.struct("position", "alias_position", "name")
     best = met.groupBy("cleaned_title").agg(
-        F.min(F.when(F.rlike(F.col("cleaned_title"), pattern), ranked)).alias("_exact"), F.min(ranked).alias("_flexible")
+        F.min(F.when(F.rlike(F.col("cleaned_title"), pattern), ranked)).alias("_exact"), F.min(F.when(F.size("words") > 0, ranked)).alias("_flexible")
     )
     return best.select(
         "cleaned_title", F.col("_exact.name").alias("_exact"), F.col("_flexible.name").alias("_flexible")
@@ -171,8 +179,9 @@ def map_titles_by_join(
 
     A popular title may hold a third of the rows.  A title with more than
     ``hot_rows`` rows gets one copy of its match per ``hot_rows`` of them, and its
-    rows are spread over the copies; other titles are joined as they are.  There
-    are at most (rows / hot_rows) hot titles, which is what is broadcast.
+    rows are spread over the copies; other titles are joined as they are, and rows
+    without a title are spread over shares that hold no match.  The list of hot
+    titles is broadcast only if Spark finds it small.
     """
     staged = with_clean_title(df, title_col)
     counted = staged.filter("cleaned_title <> ''").groupBy("cleaned_title").agg(F.count(F.lit(1)).alias("_n"))
@@ -180,9 +189,13 @@ def map_titles_by_join(
     matches = matched_by_join(counted.select("cleaned_title"), taxonomy).join(counted, "cleaned_title")
     matches = matches.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_n")
     hot = counted.filter(F.col("_n") >= hot_rows).select("cleaned_title", copies.alias("_copies"))
-    spread = staged.join(F.broadcast(hot), "cleaned_title", "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*df.columns), F.coalesce(F.col("_copies"), F.lit(1))).cast("int")
+    shares = F.when(F.col("cleaned_title") == "", F.lit(EMPTY_SHARES)).otherwise(F.coalesce("_copies", F.lit(1)))
+    share = F.pmod(F.col("_row"), shares).cast("int")
+    nowhere = F.concat(F.lit("\u0000"), F.pmod(F.col("_row"), F.lit(EMPTY_SHARES)))
+    placed = staged.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+        "_key", F.when(F.col("cleaned_title") == "", nowhere).otherwise(F.col("cleaned_title"))
     )
+    spread = placed.join(hot.withColumnRenamed("cleaned_title", "_key"), "_key", "left").withColumn("_salt", share)
     return _with_outcome(spread.join(matches, ["cleaned_title", "_salt"], "left")).select(
         *df.columns, "cleaned_title", "matched_role", "match_method"
     )

@@ -1,7 +1,7 @@
 """Insert-if-absent on the key, table by table, with its audits.
 
-Builders return the rows to append and write nothing; ``append_new_rows`` is the
-one that writes.
+Builders return the rows to append and write nothing.  ``append_new_rows`` and the
+stream write, and both go through the builder of their table.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobtide.functions.text import valid_json
 from jobtide.schemas import DEFAULT_TIME, KEY, TABLES, required_columns
 from jobtide.sources.landing import timestamp
 
@@ -56,13 +57,6 @@ def has_few_keys(batch: DataFrame, keys: Sequence[str] = KEY, limit: int = BROAD
     return batch.select(*keys).distinct().count() <= limit
 
 
-def append_new_rows(batch: DataFrame, target: DataFrame, path: str, arrival: Sequence[str]) -> None:
-    """Append the new rows of ``batch`` to the Parquet table at ``path``."""
-    rows = insert_if_absent(batch, target, arrival, few_keys=has_few_keys(batch))
-    columns = [c for c in target.columns if c in rows.columns]
-    rows.select(*columns).write.mode("append").parquet(path)
-
-
 def with_load_time(rows: DataFrame, table: str, as_of: datetime | Column) -> DataFrame:
     """Fill the load-time column of ``table`` where a row brings none."""
     name = DEFAULT_TIME[table]
@@ -91,10 +85,6 @@ def _upsert(batch, target, table, as_of, arrival, few_keys):
     return new.select(*[f.name for f in TABLES[table].fields if f.name in new.columns])
 
 
-def valid_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
-
-
 def upsert_postings(
     batch: DataFrame, target: DataFrame, as_of: datetime | Column, arrival: Sequence[str] = ("seq",), few_keys: bool = False
 ) -> DataFrame:
@@ -126,6 +116,28 @@ def upsert_requirements(
     return _upsert(batch, target, "job_requirements", as_of, list(arrival), few_keys)
 
 
+UPSERTS = {
+    "jobs_raw": upsert_postings,
+    "descriptions_raw": upsert_descriptions,
+    "jobs": upsert_jobs,
+    "job_requirements": upsert_requirements,
+}
+
+
+def new_rows(
+    batch: DataFrame, target: DataFrame, table: str, as_of: datetime | Column, arrival: Sequence[str]
+) -> DataFrame:
+    """What a batch adds to a base table: checked, in the table's types, first of its key."""
+    return UPSERTS[table](batch, target, as_of, arrival, has_few_keys(batch))
+
+
+def append_new_rows(
+    batch: DataFrame, target: DataFrame, path: str, table: str, as_of: datetime | Column, arrival: Sequence[str]
+) -> None:
+    """Append the new rows of ``batch`` to the Parquet table at ``path``."""
+    new_rows(batch, target, table, as_of, arrival).write.mode("append").parquet(path)
+
+
 def constraint_violations(rows: DataFrame, table: str) -> DataFrame:
     """``(table_name, rule, n_rows)``: nulls per required column, surplus rows per key.
 

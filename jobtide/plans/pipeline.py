@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from jobtide.operators.postings import posting_metadata
 from jobtide.operators.requirements import Term, build_requirements, extraction_backlog, job_descriptions
 from jobtide.operators.roles import Role, map_titles, mapped_only
+from jobtide.schemas import DEFAULT_TIME, TABLES
 
 
 def mapped_postings(
@@ -22,21 +24,10 @@ def curated_jobs(
     jobs_raw: DataFrame, descriptions: DataFrame, taxonomy: Sequence[Role] | DataFrame
 ) -> DataFrame:
     """Rows for the ``jobs`` table: described postings whose title maps to a role."""
-    kept = mapped_only(mapped_postings(jobs_raw, descriptions, taxonomy))
-    named = kept.withColumnsRenamed({"matched_role": "role_title", "match_method": "role_match_method"})
-    return named.select(
-        "source",
-        "source_job_id",
-        "posted_at",
-        "job_title",
-        "role_title",
-        "role_match_method",
-        "company",
-        "location",
-        "min_salary",
-        "max_salary",
-        "redirect_url",
-    )
+    found = {"role_title": "matched_role", "role_match_method": "match_method"}
+    columns = [c for c in TABLES["jobs"].fieldNames() if c != DEFAULT_TIME["jobs"]]
+    rows = mapped_only(mapped_postings(jobs_raw, descriptions, taxonomy))
+    return rows.select(*[F.col(found.get(c, c)).alias(c) for c in columns])
 
 
 def job_requirements(

@@ -65,4 +65,5 @@ def catalog_overview(spark: SparkSession) -> DataFrame:
     """``(schema_name, table_name, n_rows)`` of the known relations in the catalog."""
     present = {t.name for t in spark.catalog.listTables()}
     tables = {name: spark.table(name) for name in COUNTABLE_TABLES if name in present}
-    return table_counts(tables).select(F.lit("main").alias("schema_name"), "table_name", "n_rows")
+    schema_name = F.lit(spark.catalog.currentDatabase()).alias("schema_name")
+    return table_counts(tables).select(schema_name, "table_name", "n_rows")

@@ -6,14 +6,16 @@ watermark and no stream state to grow.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobtide.operators.upsert import has_few_keys, insert_if_absent
-from jobtide.schemas import KEY
+from jobtide.operators.upsert import new_rows
+from jobtide.schemas import TABLES
 
 BATCH = "batch_id"
 
@@ -26,29 +28,30 @@ def read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 def ingest_stream(
     rows: DataFrame,
     path: str,
-    schema: T.StructType,
-    arrival: list[str],
+    table: str,
+    as_of: datetime | Column,
+    arrival: Sequence[str],
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ):
-    """Start draining the stream ``rows`` into the table at ``path``.
+    """Start draining the stream ``rows`` into the base table ``table`` at ``path``.
 
     Each micro-batch owns the folder ``batch_id=<n>`` and overwrites it.  A batch
     that is replayed after a lost executor or driver compares itself only with
-    the other batches, so it writes the same rows again and nothing twice.
+    the other batches, so it writes the same rows again and nothing twice.  Rows
+    pass the checks of the table; one that fails stops the stream.
     """
-    columns = schema.fieldNames()
+    schema = TABLES[table]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        incoming = prepare(batch)
         try:
             target = read_target(spark, path, schema).filter(F.col(BATCH) != batch_id)
-        except Exception as error:  # the very first batch finds no folder
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:  # the very first batch finds no folder
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             target = spark.createDataFrame([], schema)
-        new = insert_if_absent(incoming, target, arrival, KEY, few_keys=has_few_keys(incoming))
-        new.select(*columns).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        new = new_rows(prepare(batch), target, table, as_of, arrival)
+        new.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return (
         rows.writeStream.foreachBatch(write)

@@ -25,4 +25,5 @@ def test_driver_entry(spark):
     import __spark_entry__ as driver
 
     assert driver.entry(spark).columns == ["role_title", "tool", "n_jobs"]
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(QUERIES) <= set(driver.oracle_sql())

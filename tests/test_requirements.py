@@ -33,22 +33,61 @@ def _found(df):
 def test_terms_both_ways(spark):
     expected = {k: tuple(sorted(x) for x in v[1:]) for k, v in TEXTS.items()}
     terms = R.terms_frame(spark, TERMS)
-    assert _found(R.with_terms(_texts(spark), "text", terms, ["id"])) == expected
-    assert _found(R.with_terms(_texts(spark), "text", TERMS, ["id"])) == expected
-    assert _found(R.with_terms_by_join(_texts(spark), "text", terms, ["id"])) == expected
+    assert _found(R.with_terms(_texts(spark), "text", terms)) == expected
+    assert _found(R.with_terms(_texts(spark), "text", TERMS)) == expected
+    assert _found(R.with_terms_by_join(_texts(spark), "text", terms)) == expected
 
 
 def test_large_gazetteer_is_joined(spark):
     many = [R.Term(f"tool{i} suite", "technical_tool", f"Tool {i}") for i in range(2000)]
     df = R.with_terms(_texts(spark).limit(0).unionByName(
         spark.createDataFrame([(1, "we use tool7 suite and tool1999 suite, tool5")], "id int, text string")
-    ), "text", many, ["id"])
+    ), "text", many)
     assert R.small_gazetteer(many) is None and R.small_gazetteer(R.terms_frame(spark, many)) is None
     assert df.first().technical_tools == ["Tool 1999", "Tool 7"]
 
 
+def test_terms_take_each_row_on_its_own_both_ways(spark):
+    """Rows that share an id, a row without one, a map column: the same answers in both forms."""
+    rows = [(1, "python", {"a": 1}), (1, "sql", None), (None, "python and sql", {}), (2, None, None), (2, "", None)]
+    df = spark.createDataFrame(rows, "id int, text string, more map<string,int>")
+    terms = [R.Term("python", "technical_tool", "Python"), R.Term("sql", "technical_tool", "SQL")]
+    frame = R.terms_frame(spark, terms * 2)
+    want = sorted([(1, "python", ["Python"]), (1, "sql", ["SQL"]), (None, "python and sql", ["Python", "SQL"]), (2, None, []), (2, "", [])], key=str)
+    for found in (R.with_terms(df, "text", terms), R.with_terms_by_join(df, "text", frame)):
+        assert sorted(((r.id, r.text, r.technical_tools) for r in found.collect()), key=str) == want
+        assert found.columns == [*df.columns, "technical_tools", "technical_concepts", "certifications"]
+
+
+def test_terms_meet_in_salted_shares(spark, monkeypatch):
+    monkeypatch.setattr(R, "BROADCAST_TERMS", 0)
+    frame = R.terms_frame(spark, TERMS)
+    expected = {k: tuple(sorted(x) for x in v[1:]) for k, v in TEXTS.items()}
+    assert _found(R.with_terms_by_join(_texts(spark), "text", frame)) == expected
+
+
+def test_text_after_an_answer_fails_it(spark):
+    rows = [('{"technical_tools":["a"]}',), ('{"technical_tools":["a"]} trailing',), ('{"technical_tools":["x"]}],[1',)]
+    got = R.parse_responses(spark.createDataFrame(rows, "response string")).collect()
+    assert [r.extraction_status for r in got] == ["validated", "failed", "failed"]
+
+
+def test_placeholders_are_the_callers_choice(spark):
+    df = spark.createDataFrame([('{"technical_tools":["a","tbd","N/A"]}',)], "response string")
+    assert R.parse_responses(df, dropped=["tbd"]).first().technical_tools == ["a", "N/A"]
+
+
 def test_years(spark):
     cases = [
+        ("2.5 years of SQL", 2, None),
+        ("1.5+ years", 1, None),
+        ("3,5 years", 3, None),
+        ("between 3 and 5 years", 3, 5),
+        ("entre 2 et 4 années", 2, 4),
+        ("5 or more years", 5, None),
+        ("10-plus years", 10, None),
+        ("3 à 5 ans", 3, 5),
+        ("1,500 years, 100 years", None, None),
         ("2-4 years", 2, 4),
         ("3+ years", 3, None),
         ("N/A", None, None),

@@ -157,3 +157,51 @@ def test_list_items_count_every_entry(frames):
     df = frames.given("pages")
     entries = df.agg(F.sum(F.regexp_count("html", F.lit(r"<li\b")))).first()[0]
     assert P.list_items(df, ["page_id"], "html").count() == entries
+
+
+def test_character_references(spark):
+    from html import unescape
+
+    from jobtide.functions.text import decode_entities, reveal
+
+    text = (
+        "a&apos;b &check; &NewLine;x &nbspy &eacute &eacutex &#146; &#00008217; &amp;lt; &lt;b&gt; &bogus; &notit;"
+        " &#0; &#x110000; &#xD800; AT&T &#x2019 &#9999999999999; a & b &"
+    )
+    got = spark.createDataFrame([(text,)], "t string").select(reveal(decode_entities(F.col("t")))).first()[0]
+    assert got == unescape(text)
+
+
+SPACED = "\u2003".join("<ul><li>%s</li></ul>" % x for x in ("SQL", "Spark", "dbt"))
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        (f"<p>Requirements</p>{SPACED}", "SQL\nSpark\ndbt"),
+        ("<h3>what you&apos;ll bring</h3><ul><li>a</li></ul><h3>Perks</h3><ul><li>b</li></ul>", "a"),
+        ("<h3>what you&#146;ll bring</h3><ul><li>a</li></ul><h3>Perks</h3><ul><li>b</li></ul>", "a"),
+    ],
+)
+def test_headers_above_several_lists(spark, html, expected):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert S.with_requirement_section(df, "html").first().section == expected
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ('<!-- <div class="description">no</div> --><div class="description">yes</div>', "yes"),
+        ("<script>var x='<div class=\"description\">no</div>';</script><div class=\"description\">yes</div>", "yes"),
+        ('<div class="description">a<!-- </div> -->b</div>c', "a<!-- </div> -->b"),
+        ("<div class=description>yes</div>", "yes"),
+        ('<div title="a > b" class="x description">yes</div>', "yes"),
+        ('<div class="description">a\x1fb<div>c</div></div>', "ab<div>c</div>"),
+        ('<div class="descriptions">no</div>', None),
+    ],
+)
+def test_containers(spark, html, expected):
+    from jobtide.operators.pages import with_main_container
+
+    df = spark.createDataFrame([(html,)], "html string")
+    assert with_main_container(df, "html", selectors=["div.description"]).first().container == expected

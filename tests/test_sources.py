@@ -110,15 +110,15 @@ def test_stream_lands_every_key_once_over_many_batches(spark, frames, tmp_path):
     folder, path = str(tmp_path / "in"), str(tmp_path / "table")
     rows = _landed_files(spark, frames, folder, 5)
     stream = lambda: spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
-    ingest_stream(stream(), path, JOBS_RAW, ["seq"]).awaitTermination()
+    ingest_stream(stream(), path, "jobs_raw", AS_OF, ["seq"]).awaitTermination()
     table = read_target(spark, path, JOBS_RAW)
     assert table.select("batch_id").distinct().count() == 3
     keys = rows.select(*KEY).distinct().count()
     assert table.count() == keys == table.select(*KEY).distinct().count()
     # A second run with nothing new, then one with files already known.
-    ingest_stream(stream(), path, JOBS_RAW, ["seq"]).awaitTermination()
+    ingest_stream(stream(), path, "jobs_raw", AS_OF, ["seq"]).awaitTermination()
     rows.limit(100).write.mode("append").parquet(folder)
-    ingest_stream(stream(), path, JOBS_RAW, ["seq"]).awaitTermination()
+    ingest_stream(stream(), path, "jobs_raw", AS_OF, ["seq"]).awaitTermination()
     assert read_target(spark, path, JOBS_RAW).count() == keys
 
 
@@ -127,7 +127,7 @@ def test_replayed_batch_writes_the_same_rows(spark, frames, tmp_path):
     folder, path = str(tmp_path / "in"), str(tmp_path / "table")
     rows = _landed_files(spark, frames, folder, 3)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    ingest_stream(stream, path, JOBS_RAW, ["seq"]).awaitTermination()
+    ingest_stream(stream, path, "jobs_raw", AS_OF, ["seq"]).awaitTermination()
     before = read_target(spark, path, JOBS_RAW).select(*KEY, "batch_id").collect()
     # Forget that the last batch was committed, as if the driver had died just then.
     commits = tmp_path / "table_checkpoint" / "commits"
@@ -136,6 +136,6 @@ def test_replayed_batch_writes_the_same_rows(spark, frames, tmp_path):
         if target.exists():
             target.unlink()
     again = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    ingest_stream(again, path, JOBS_RAW, ["seq"]).awaitTermination()
+    ingest_stream(again, path, "jobs_raw", AS_OF, ["seq"]).awaitTermination()
     after = read_target(spark, path, JOBS_RAW).select(*KEY, "batch_id").collect()
     assert sorted(before) == sorted(after)

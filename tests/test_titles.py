@@ -151,6 +151,30 @@ def test_hot_title_is_spread_and_stays_whole(spark):
     assert out.filter(f"match_method = '{V.EXACT_MATCH}'").count() == 1000
 
 
+def test_aliases_of_symbols_and_map_columns_both_ways(spark):
+    roles = [R.Role("plus", ("++",)), R.Role("cook", ("head cook", "")), R.Role("amp", (" & ",))]
+    rows = [("a++b", {"x": 1}), ("a+++b", None), ("cook of the head", None), ("r & d", None), ("", None), (None, None), ("++", None)]
+    df = spark.createDataFrame(rows, "title string, more map<string,int>")
+    frame = R.taxonomy_frame(spark, roles)
+    shown = lambda d: sorted(((r.title, r.matched_role, r.match_method) for r in d.collect()), key=str)
+    inline, joined = R.map_titles(df, roles), R.map_titles_by_join(df, frame)
+    assert shown(inline) == shown(joined) and joined.columns == inline.columns
+    assert ("a++b", "plus", V.EXACT_MATCH) in shown(joined)
+
+
+def test_rows_without_a_title_are_spread(spark):
+    df = spark.range(30_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL ELSE concat('title ', id % 50) END AS title")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = R.map_titles_by_join(df, R.taxonomy_frame(spark, ROLES)).filter("title IS NULL")
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 10_000 and len(sizes) > 4 and max(sizes) < 4_000
+
+
 def test_role_without_aliases_never_matches(spark):
     df = spark.createDataFrame([("anything",)], "title string")
     assert mapped(R.map_titles(df, [R.Role("empty", ())])) == {"anything": (None, V.NO_MATCH)}
