@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from functools import cached_property
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,9 @@ from jobtide.operators.requirements import terms_frame
 from jobtide.operators.roles import taxonomy_frame
 from jobtide.operators.upsert import first_per_key, with_load_time
 from jobtide.plans import pipeline
+from jobtide.plans.store import run_stored
 from jobtide.schemas import KEY
+from jobtide.session import shared_folder
 from jobtide.sources.landing import timestamp
 
 
@@ -44,6 +47,16 @@ class Frames:
         frame.createOrReplaceTempView(view)
         return self.spark.sql(sql.replace(f"FROM {source}", f"FROM {view}"))
 
+    @cached_property
+    def stored(self) -> dict[str, DataFrame]:
+        """The tables after the stored pipeline took the same batch twice."""
+        folder = f"{shared_folder(self.spark)}/store-{uuid4().hex}"
+        for _ in range(2):
+            tables = run_stored(
+                self.spark, folder, self.postings, self.descriptions, X.ROLES, X.TERMS, X.AS_OF
+            )
+        return tables
+
     @cached_property
     def postings(self) -> DataFrame:
         return self.derived(X.POSTINGS, "orders", self.given("orders"))

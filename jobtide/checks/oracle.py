@@ -631,6 +631,13 @@ ORACLE_SQL: dict[str, str] = {
     + f"""SELECT source, source_job_id, job_title FROM meta_roles WHERE match_method = '{V.NO_MATCH}'
         ORDER BY md5('42:' || source || ':' || source_job_id), source, source_job_id LIMIT 20""",
 }
+ORACLE_SQL["init_catalog"] = """SELECT unnest(['jobs_raw', 'descriptions_raw', 'jobs', 'job_requirements']) AS table_name,
+    0 AS n_rows"""
+ORACLE_SQL["stored_jobs"] = ORACLE_SQL["curated_jobs"]
+ORACLE_SQL["stored_requirements"] = ORACLE_SQL["job_requirements"]
+ORACLE_SQL["stored_top_tools"] = ORACLE_SQL["top_tools_by_role"]
+ORACLE_SQL["given_section_headers"] = with_("pg_blocks") + "SELECT page_id, block_pos, kind, context, is_section FROM pg_blocks"
+ORACLE_SQL["given_section_items"] = with_("pg_items") + "SELECT page_id, block_pos, item_pos, is_section, item FROM pg_items"
 ORACLE_SQL["catalog_overview"] = (
     ORACLE_SQL["table_counts"].replace("SELECT 'jobs_raw' AS", "SELECT 'default' AS schema_name, 'jobs_raw' AS")
     .replace("UNION ALL SELECT 'descriptions_raw',", "UNION ALL SELECT 'default', 'descriptions_raw',")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,10 @@ from jobtide.functions import sections, titles
 from jobtide.functions.text import normalize_text
 from jobtide.operators import analytics, pages, postings, roles, upsert
 from jobtide.operators import requirements as requirement_ops
-from jobtide.schemas import KEY
+from jobtide.operators.items import requirement_items
+from jobtide.plans import store
+from jobtide.schemas import JOBS_RAW, KEY, TABLES
+from jobtide.session import shared_folder
 from jobtide.sources import tables
 from jobtide.sources.landing import land_postings
 from jobtide.streaming.ingest import ingest_stream, read_target
@@ -100,18 +104,11 @@ def _catalog(f: Frames) -> DataFrame:
 
 
 def _stream(f: Frames) -> DataFrame:
-    from uuid import uuid4
-
-    from jobtide.schemas import JOBS_RAW
-    from jobtide.session import shared_folder
-
-    orders = f.given("orders")
-    stream = f.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1000).option(
-        "pathGlobFilter", "*.parquet"
-    )
-    # A table may be one file or a folder of files.
-    landed = stream.parquet(f"{f.sf_dir}/orders.parquet*")
+    orders = f.spark.read.parquet(f"{f.sf_dir}/orders.parquet")
     path = f"{shared_folder(f.spark)}/stream-{uuid4().hex}"
+    # Several files and micro-batches; postings of one key come in different ones.
+    orders.repartition(4, "o_orderkey").write.parquet(f"{path}_in")
+    landed = f.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}_in")
 
     def prepare(batch: DataFrame) -> DataFrame:
         batch.createOrReplaceTempView("jt_stream_orders")
@@ -122,6 +119,14 @@ def _stream(f: Frames) -> DataFrame:
     return read_target(f.spark, path, JOBS_RAW).select(*KEY)
 
 
+def _init_catalog(f: Frames) -> DataFrame:
+    """Tables created twice, in the catalog and in a folder, and how many rows they hold."""
+    name = f"store_{uuid4().hex}"
+    for _ in range(2):
+        store.register_store(f.spark, f"{shared_folder(f.spark)}/{name}", name)
+    return tables.table_counts({t: f.spark.table(f"`{name}`.`{t}`") for t in TABLES})
+
+
 def _metrics(f: Frames) -> DataFrame:
     return upsert.ingest_metrics(f.descriptions, f.landed, "html_description")
 
@@ -163,6 +168,13 @@ def _histogram(df: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # the flagship
     "top_tools_by_role": lambda f: analytics.top_tools_by_role(f.items, f.jobs),
+    # stored tables
+    "init_catalog": _init_catalog,
+    "stored_jobs": lambda f: _texts(f.stored["jobs"].drop("created_at"), "posted_at"),
+    "stored_requirements": lambda f: _texts(f.stored["job_requirements"].drop("extracted_at"), *LISTS),
+    "stored_top_tools": lambda f: analytics.top_tools_by_role(
+        requirement_items(f.stored["job_requirements"]), f.stored["jobs"]
+    ),
     # landing
     "land_postings": _land,
     "search_tasks": lambda f: postings.landed_per_task(f.taxonomy, f.postings),
@@ -217,6 +229,8 @@ QUERIES: dict[str, Query] = {
         "doc_id", sections.is_bullet(F.col("line")).alias("is_bullet"), sections.strip_bullet(F.col("line")).alias("result")
     ),
     "section_items": lambda f: pages.section_items(f.descriptions, KEY, "html_description"),
+    "given_section_headers": lambda f: pages.section_headers(f.given("pages"), ["page_id"], "html"),
+    "given_section_items": lambda f: pages.section_items(f.given("pages"), ["page_id"], "html"),
     "requirement_section": lambda f: sections.with_requirement_section(f.descriptions, "html_description").select(
         *KEY, "section"
     ),
