@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
 from pathlib import Path
@@ -42,13 +43,20 @@ def ship(spark: SparkSession) -> None:
 
 def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` as long and ``text`` without nulls, and nothing else unless named."""
+    # A cast of a long would leave an alias, for which Spark shuffles both sides of a self-join.
+    doc_id = F.col("doc_id")
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+        doc_id if dict(docs.dtypes)["doc_id"] == "bigint" else doc_id.cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         *more,
     )
 
 
+def text_bytes(docs: DataFrame) -> int:
+    """UTF-8 bytes of all texts."""
+    return texts_of(docs).agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+
+
 def working_folder(spark: SparkSession) -> str:
     """The shared folder, also set as Spark's checkpoint folder where it is not yet."""
     folder = shared_folder(spark)
@@ -63,6 +71,13 @@ def kept(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame, written to a table of its own in the shared folder."""
+    path = f"{working_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def lower_ascii(column):
     """A-Z in lower case; other letters as they are."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
