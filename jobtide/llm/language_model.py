@@ -4,7 +4,9 @@ Counts of words and word pairs are exact sums over the whole training part.  The
 filter keeps a count as its level on a logarithmic scale: an n-gram of level q is
 entered with 1, 2 .. q, and a lookup asks for these in turn until one is missing.
 It is built in slices, each by the task that owns the slice's n-grams, collected
-and broadcast; ``SLICES * SLICE_BYTES`` bounds its size.  Where a slice would
+and broadcast; ``FILTER_BYTES`` bounds its size, and the number of slices follows
+the input.  Tasks count what they read first, and send the counts of a slice as
+one packed row.  Where a slice would
 outgrow its share, it leaves out the n-grams of the smallest counts, which are
 then scored by their smoothing like unseen ones.
 
@@ -32,17 +34,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import kept, record_batch, slices, texts_of
+from jobtide.llm.common import record_batch, slices, stored, text_bytes, texts_of
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 #: Counts one level apart differ by this factor.
 BASE = 1.5
 LEVELS = 80
 BITS_PER_ENTRY, PROBES = 12, 6
-SLICES, SLICE_BYTES = 4096, 1 << 14
+FILTER_BYTES = 48 << 20
+TEXT_PER_SLICE, LEAST_SLICES, MOST_SLICES = 2 << 20, 64, 1 << 20
 MU = 300.0
 #: Bytes of text in a block, and tokens counted at a time.
 BLOCK_BYTES = 8 << 20
@@ -94,39 +98,54 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == HELD_OUT_FOLD, F.lit(False))
 
 
-def ngram_counts(docs: DataFrame) -> DataFrame:
-    """``slice, h, c``: total count of each word (h odd) and pair (h even) of the training texts.
+def packed(h: np.ndarray, c: np.ndarray) -> bytes:
+    """Ascending hashes as differences, and counts, byte by byte so that they compress."""
+    steps = np.diff(h, prepend=_U(0)).view(np.uint8).reshape(-1, 8).T
+    counts = c.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(steps.tobytes() + counts.tobytes(), 1)
 
-    Tasks count what they read first; the sums are made where the slice is built.
-    """
-    schema = pa.schema([("slice", pa.int32()), ("h", pa.int64()), ("c", pa.int32())])
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8)
+    n = len(raw) // 12
+    steps = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view("<u8").ravel()
+    counts = np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=_U), counts.astype(np.int64)
+
+
+def ngram_counts(docs: DataFrame, n_slices: int) -> DataFrame:
+    """``slice, counts``: counts of words (h odd) and pairs (h even) of the training texts, as far as
+    one task has seen them."""
+    schema = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
 
-        def counted() -> Iterator[pa.RecordBatch]:
+        def counted() -> pa.RecordBatch:
             h, c = np.unique(np.concatenate(held), return_counts=True)
-            for at in range(0, len(h), 1 << 20):
-                part = h[at : at + (1 << 20)]
-                yield record_batch([slice_of(part).astype(np.int32), part.view(np.int64), c[at : at + (1 << 20)].astype(np.int32)], schema)
+            own = slice_of(h, n_slices)
+            order = np.argsort(own, kind="stable")  # within a slice, hashes still ascend
+            own, h, c = own[order], h[order], c[order]
+            numbers, starts = np.unique(own, return_index=True)
+            parts = [packed(h[a:z], c[a:z]) for a, z in zip(starts, [*starts[1:], len(own)], strict=True)]
+            return record_batch([numbers.astype(np.int32), parts], schema)
 
         for batch in slices(batches):
             words, before, _ = joined_tokens(batch.column(0).to_pylist())
             held += [words, pair_hashes(before, words)]
             size += len(words)
             if size >= COUNTED:
-                yield from counted()
+                yield counted()
                 held, size = [], 0
         if held:
-            yield from counted()
+            yield counted()
 
-    rows = texts_of(docs).filter(~held_out()).select("text").mapInArrow(count, "slice int, h long, c int")
-    return rows.repartition("slice").groupBy("slice", "h").agg(F.sum("c").alias("c"))
+    return texts_of(docs).filter(~held_out()).select("text").mapInArrow(count, "slice int, counts binary")
 
 
-def slice_of(h: np.ndarray) -> np.ndarray:
-    return (h >> _U(1)) % _U(SLICES)
+def slice_of(h: np.ndarray, n_slices: int) -> np.ndarray:
+    return (h >> _U(1)) % _U(n_slices)
 
 
 def level_of(c: np.ndarray) -> np.ndarray:
@@ -147,42 +166,41 @@ def _places(h: np.ndarray, level: np.ndarray, probe: int, bits: np.ndarray) -> n
     return _mixed(h ^ (level.astype(_U) * _U(0x9E3779B97F4A7C15)) ^ _U((probe + 1) << 56)) % bits
 
 
-def build_slice(h: np.ndarray, c: np.ndarray, most_bytes: int = SLICE_BYTES) -> bytes:
-    """The bits of one slice, for distinct n-grams and their counts."""
+def build_slice(h: np.ndarray, c: np.ndarray, most_bytes: int) -> bytes:
+    """The smallest level that is kept, and the bits of one slice, for distinct n-grams and their counts."""
     q = level_of(c)
     cut = 1
     while int(q.sum()) * BITS_PER_ENTRY > most_bytes * 8:
-        cut += 1
-        stay = q >= cut
-        h, q = h[stay], q[stay]
-    entries = int(q.sum())
+        stay = q > 1
+        h, q, cut = h[stay], q[stay] - 1, cut + 1
+    entries = int(q.sum())  # one for each level from the cut on
     n_bytes = -(-entries * BITS_PER_ENTRY // 8)
     if not n_bytes:
         return b""
     bits = np.zeros(n_bytes * 8, dtype=bool)
     every = np.repeat(h, q)
-    level = np.arange(entries) - np.repeat(np.cumsum(q) - q, q) + 1
-    first = level >= cut  # below the cut nothing is asked
+    level = np.arange(entries) - np.repeat(np.cumsum(q) - q, q) + cut
     for probe in range(PROBES):
-        bits[_places(every[first], level[first], probe, _U(len(bits))).astype(np.int64)] = True
+        bits[_places(every, level, probe, _U(len(bits))).astype(np.int64)] = True
     return bytes([cut]) + np.packbits(bits, bitorder="little").tobytes()
 
 
 class CountFilter:
     """All slices side by side."""
 
-    def __init__(self, parts: dict[int, bytes]) -> None:
-        body = [parts.get(i, b"")[1:] for i in range(SLICES)]
+    def __init__(self, parts: dict[int, bytes], n_slices: int) -> None:
+        self.n_slices = n_slices
+        body = [parts.get(i, b"")[1:] for i in range(n_slices)]
         sizes = np.array([len(x) for x in body], dtype=np.int64)
         self.start = np.concatenate(([0], np.cumsum(sizes)[:-1])) * 8
         self.bits = (sizes * 8).astype(_U)
-        self.cut = np.array([(parts.get(i) or b"\x01")[0] for i in range(SLICES)], dtype=np.int64)
+        self.cut = np.array([(parts.get(i) or b"\x01")[0] for i in range(n_slices)], dtype=np.int64)
         self.data = np.frombuffer(b"".join(body), dtype=np.uint8)
         self.shown = level_counts()
 
     def counts(self, h: np.ndarray) -> np.ndarray:
         """The count that the filter holds for each n-gram."""
-        own = slice_of(h).astype(np.int64)
+        own = slice_of(h, self.n_slices).astype(np.int64)
         level = np.zeros(len(h), dtype=np.int64)
         live = np.flatnonzero(self.bits[own] > 0)
         ask = self.cut[own[live]]
@@ -199,49 +217,46 @@ class CountFilter:
         return self.shown[level]
 
 
-def train(docs: DataFrame) -> tuple[CountFilter, DataFrame]:
+def train(docs: DataFrame, size: int) -> tuple[CountFilter, DataFrame]:
     """The filter, and ``h, c`` of every training word."""
+    n_slices = min(max(size // TEXT_PER_SLICE, LEAST_SLICES), MOST_SLICES)
     ddl = "slice int, bits binary, h long, c long"
     schema = pa.schema([("slice", pa.int32()), ("bits", pa.binary()), ("h", pa.int64()), ("c", pa.int64())])
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
-        if not read:
-            return
-        own, h, c = (np.concatenate(x) for x in zip(*read, strict=True))
-        h = h.view(_U)
-        words = np.flatnonzero(h & _U(1))
-        for at in range(0, len(words), 1 << 18):
-            some = words[at : at + (1 << 18)]
-            empty = [None] * len(some)
-            yield record_batch([own[some], empty, h[some].view(np.int64), c[some]], schema)
-        order = np.lexsort((h, own))
-        own, h, c = own[order], h[order], c[order]
-        numbers, starts = np.unique(own, return_index=True)
-        for number, a, z in zip(numbers, starts, [*starts[1:], len(own)], strict=True):
-            yield record_batch([[int(number)], [build_slice(h[a:z], c[a:z])], [None], [None]], schema)
-
-    built = kept(ngram_counts(docs).mapInArrow(build, ddl))
-    # Bounded: SLICES rows of at most SLICE_BYTES.
+    def build(rows: pa.Table) -> pa.Table:
+        seen = [unpacked(blob) for blob in rows.column("counts").to_pylist()]
+        h, c = (np.concatenate(x) for x in zip(*seen, strict=True))
+        order = np.argsort(h)
+        h, c = h[order], c[order]
+        starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        h, c = h[starts], np.add.reduceat(c, starts)
+        words = (h & _U(1)) == 1
+        n = int(words.sum())
+        bits = build_slice(h, c, FILTER_BYTES // n_slices)
+        columns = [[rows.column("slice")[0].as_py()] + [None] * n, [bits] + [None] * n]
+        columns += [pa.array([None], pa.int64()).to_pylist() + x[words].tolist() for x in (h.view(np.int64), c)]
+        return pa.Table.from_batches([record_batch(columns, schema)])
+
+    built = stored(ngram_counts(docs, n_slices).groupBy("slice").applyInArrow(build, ddl), "ngrams")
+    # Bounded: FILTER_BYTES in all.
     parts = {r["slice"]: bytes(r["bits"]) for r in built.filter("bits IS NOT NULL").select("slice", "bits").collect()}
-    return CountFilter(parts), built.filter("h IS NOT NULL").select("h", "c")
+    return CountFilter(parts, n_slices), built.filter("h IS NOT NULL").select("h", "c")
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    texts = texts_of(docs)
-    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+def _blocks(docs: DataFrame, size: int) -> DataFrame:
     n = max(1, -(-size // BLOCK_BYTES))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block")
-    return texts.select(block, "doc_id", held_out().alias("held_out"), "text").repartition(n, "block")
+    return texts_of(docs).select(block, "doc_id", held_out().alias("held_out"), "text").repartition("block")
 
 
 def score(spark: SparkSession, docs: DataFrame, mu: float = MU) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``."""
-    model, words = train(docs)
+    size = text_bytes(docs)
+    model, words = train(docs, size)
     totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n_train, n_distinct = int(totals[0]), int(totals[1])
     shared = spark.sparkContext.broadcast(model)
-    blocks = _blocks(docs)
+    blocks = _blocks(docs, size)
     asked_schema = pa.schema([("block", pa.int64()), ("h", pa.int64())])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,13 +264,14 @@ def score(spark: SparkSession, docs: DataFrame, mu: float = MU) -> DataFrame:
         for batch in batches:
             of_block: dict[int, list[bytes]] = {}
             for part in slices([batch]):
-                for block, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for block, text in zip(part.column("block").to_pylist(), part.column("text").to_pylist(), strict=True):
                     of_block.setdefault(block, []).append(token_hashes(text))
             for block, found in of_block.items():
                 h = np.unique(np.frombuffer(b"".join(found), dtype="<u8")).view(np.int64)
                 yield record_batch([np.full(len(h), block), h], asked_schema)
 
-    asked = blocks.select("block", "text").mapInArrow(ask, "block long, h long").distinct()
+    # All columns, so that questions and scores read the same shuffled texts.
+    asked = blocks.mapInArrow(ask, "block long, h long")
     answers = asked.join(words, "h").select("block", "h", "c")
     ddl = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     fields = [("doc_id", pa.int64()), ("held_out", pa.bool_())]

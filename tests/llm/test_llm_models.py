@@ -134,9 +134,9 @@ def test_filter_holds_levels():
     rng = np.random.default_rng(1)
     h = np.unique(rng.integers(1, 1 << 62, 40_000).astype(np.uint64))
     c = rng.integers(1, 2000, len(h))
-    own = language_model.slice_of(h)
-    parts = {int(s): language_model.build_slice(h[own == s], c[own == s]) for s in np.unique(own)}
-    held = language_model.CountFilter(parts)
+    own = language_model.slice_of(h, 64)
+    parts = {int(s): language_model.build_slice(h[own == s], c[own == s], 1 << 20) for s in np.unique(own)}
+    held = language_model.CountFilter(parts, 64)
     shown = language_model.level_counts()[language_model.level_of(c)]
     found = held.counts(h)
     assert (found >= shown).all() and (found == shown).mean() > 0.98
@@ -144,12 +144,19 @@ def test_filter_holds_levels():
     assert (held.counts(others) > 0).mean() < 0.02
 
 
+def test_packed_counts_come_back():
+    h = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2))
+    c = np.arange(len(h)) * 5_000
+    back, counts = language_model.unpacked(language_model.packed(h, c))
+    assert (back == h).all() and (counts == c).all()
+
+
 def test_a_full_slice_leaves_out_the_smallest_counts():
-    h = np.arange(1, 4001).astype(np.uint64) * np.uint64(language_model.SLICES * 2)
+    h = np.arange(1, 4001).astype(np.uint64) * np.uint64(2)
     c = np.where(np.arange(4000) < 100, 500, 1)
     part = language_model.build_slice(h, c, most_bytes=4096)
     assert len(part) <= 4097 and part[0] > 1
-    held = language_model.CountFilter({0: part})
+    held = language_model.CountFilter({0: part}, 1)
     assert (held.counts(h[:100]) > 100).all() and (held.counts(h[100:]) > 0).mean() < 0.05
 
 
