@@ -11,8 +11,10 @@ is what bounds the broadcast.
 The fold depends on the vocabulary.  With unigram scores it is Viterbi: over the
 word's positions, the best path to each.  A byte-pair vocabulary scores a piece by
 the rank of its merge, and the best sum of ranks is not what such a model means:
-there the fold takes the edges by rank and merges two neighbours wherever an edge
-spans just these (twice over, so that none is left).
+there the fold takes the edges by rank, once, and merges two neighbours wherever
+an edge spans just these.  (A merge that only one of higher rank makes possible
+would be left out; a trained vocabulary, whose longer pieces have the higher
+ranks, gives no such words, and a test compares all with the model's library.)
 
 A character without a piece is encoded by its UTF-8 bytes, as byte pieces, at a
 price above every piece; so every text can be encoded, and decoding gives it back
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import record_batch, slices, texts_of
+from jobtide.llm.common import record_batch, slices, text_bytes, texts_of
 
 MARK = "\u2581"
 #: Stands for a mark inside of a word while pieces are looked up: no piece has it.
@@ -49,6 +51,7 @@ BYTE_PRICE = 10.0
 MOST_PIECE_CHARS = 16
 MOST_WORD_CHARS = 256
 DISTINCT_AT_A_TIME = 400_000
+TEXT_PER_PARTITION = 4 << 20
 _CUT = re.compile(r"(?<=[^ ]) ")
 
 
@@ -123,7 +126,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
         yield from counted()
 
     counted = texts_of(docs).select("text").mapInArrow(count, "word string, lead boolean, n long")
-    return counted.groupBy("word", "lead").agg(F.sum("n").alias("n"))
+    # So many partitions that the edges of a partition's words are grouped in memory.
+    parts = -(-text_bytes(docs) // TEXT_PER_PARTITION) or 1
+    return counted.repartition(parts, "word", "lead").groupBy("word", "lead").agg(F.sum("n").alias("n"))
 
 
 def piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
@@ -184,21 +189,24 @@ def best_path(listed: Column) -> Column:
 
 def merged_pairs(listed: Column) -> Column:
     """Ids after merging neighbours by rank, by a fold over the edges; the state are the bounds of the symbols."""
-    ranked = F.sort_array(listed)
 
     def merge(bounds: Column, edge: Column) -> Column:
         i = F.array_position(bounds, edge["start"]).cast("int")
         spans_two = (i > 0) & (F.try_element_at(bounds, i + 2) == edge["end"])
         return F.when(spans_two, F.array_remove(bounds, F.element_at(bounds, i + 1))).otherwise(bounds)
 
+    place = lambda start, end: start * F.lit(MOST_WORD_CHARS + 2) + end
+
     def read(bounds: Column) -> Column:
         ends = F.slice(bounds, F.lit(2), F.size(bounds) - 1)
-        symbols = F.zip_with(F.slice(bounds, F.lit(1), F.size(bounds) - 1), ends, lambda a, z: F.struct(a.alias("a"), z.alias("z")))
-        own = lambda s: F.filter(listed, lambda e: (e["start"] == s["a"]) & (e["end"] == s["z"]))
-        return F.flatten(F.transform(symbols, lambda s: own(s)[0]["ids"]))
+        places = F.transform(listed, lambda e: place(e["start"], e["end"]))
+        own = F.zip_with(
+            F.slice(bounds, F.lit(1), F.size(bounds) - 1), ends, lambda a, z: F.array_position(places, place(a, z))
+        )
+        return F.flatten(F.transform(own, lambda i: F.element_at(listed, i.cast("int"))["ids"]))
 
-    longer = F.filter(ranked, lambda e: e["end"] - e["start"] > 1)
-    return F.aggregate(F.concat(longer, longer), F.sequence(F.lit(0), _size(listed)), merge, read)
+    ranked = F.sort_array(F.filter(listed, lambda e: e["end"] - e["start"] > 1))
+    return F.aggregate(ranked, F.sequence(F.lit(0), _size(listed)), merge, read)
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
