@@ -85,7 +85,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The encoding of every distinct word of the documents, how often it occurs, and its decoding."""
     vocabulary = lattice.load_vocabulary(tokenizer_file("piece_bpe_32k.model"), merges=True)
-    found = lattice.encode_words(lattice.word_counts(table(spark, sf_dir, "documents")), vocabulary)
+    found = lattice.encode_words(lattice.word_counts(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
     text = lattice.decoded(F.col("ids"), F.col("lead"), vocabulary).alias("decoded")
     return found.select("word", "lead", "n", "ids", F.size("ids").alias("n_pieces"), text)
 

@@ -19,9 +19,10 @@ ranks, gives no such words, and a test compares all with the model's library.)
 A character without a piece is encoded by its UTF-8 bytes, as byte pieces, at a
 price above every piece; so every text can be encoded, and decoding gives it back
 exactly, U+2581 included, which is always written in bytes.  A word of more than
-``MOST_WORD_CHARS`` is encoded in parts of so many characters, the later ones
-without the mark: decoding stays exact, but a piece that would span two parts is
-not used.
+``MOST_WORD_CHARS`` is cut where two neighbouring characters occur in no piece, so
+that no piece could span the cut, and its parts, the later ones without the mark,
+are encoded apart.  A part that has no such place stays whole; its lattice is not
+exploded into rows, and ``encode_long`` reads the same ids off it in one task.
 
 Defined cases: a null text is empty; an empty text is one empty word, encoded as
 the word mark.  Equal sums: the greater list of ids wins; equal ranks: the
@@ -35,6 +36,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 import pyarrow as pa
@@ -70,6 +73,15 @@ class Vocabulary:
     def byte_price(self) -> float:
         return BYTE_PRICE - min(s for _, _, s in self.pieces)
 
+    @cached_property
+    def neighbours(self) -> frozenset[str]:
+        """All two characters that stand side by side in a piece."""
+        return frozenset(p[i : i + 2] for p, _, _ in self.pieces for i in range(len(p) - 1))
+
+    @cached_property
+    def table(self) -> dict[str, tuple[int, float]]:
+        return {p: (i, s) for p, i, s in self.pieces}
+
 
 def load_vocabulary(path: str, merges: bool) -> Vocabulary:
     from sentencepiece import SentencePieceProcessor
@@ -91,15 +103,121 @@ def words_of(text: str) -> list[str]:
     return _CUT.split(text) if "  " in text or text.startswith(" ") else text.split(" ")
 
 
-def units(text: str) -> Iterator[tuple[str, bool]]:
-    """The words of a text, long ones in parts; the flag says whether the word mark leads."""
-    for word in words_of(text):
-        yield word[:MOST_WORD_CHARS], True
-        for at in range(MOST_WORD_CHARS, len(word), MOST_WORD_CHARS):
-            yield word[at : at + MOST_WORD_CHARS], False
+def marked(word: str, lead: bool) -> str:
+    """The word as pieces are looked up in it."""
+    return (MARK if lead else "") + word.replace(MARK, INNER_MARK).replace(" ", MARK)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
+def parts_of(word: str, vocabulary: Vocabulary) -> Iterator[tuple[str, bool]]:
+    """A word cut where no piece can span the cut, into parts of ``MOST_WORD_CHARS`` where there are such places.
+
+    The flag says whether the word mark leads.
+    """
+    if len(word) <= MOST_WORD_CHARS:
+        yield word, True
+        return
+    line, known = marked(word, False), vocabulary.neighbours
+    begin = last = 0
+    for at in range(1, len(word)):
+        if line[at - 1 : at + 1] not in known:
+            if last > begin and at - begin > MOST_WORD_CHARS:
+                yield word[begin:last], begin == 0
+                begin = last
+            last = at
+    if last > begin and len(word) - begin > MOST_WORD_CHARS:
+        yield word[begin:last], begin == 0
+        begin = last
+    yield word[begin:], begin == 0
+
+
+def units(text: str, vocabulary: Vocabulary) -> Iterator[tuple[str, bool]]:
+    """The words of a text, long ones in parts."""
+    for word in words_of(text):
+        yield from parts_of(word, vocabulary)
+
+
+def encode_long(line: str, vocabulary: Vocabulary) -> list[int]:
+    """Ids of a marked line of any length: what the folds below find, without an edge list per position."""
+    ends = _merged_ends(line, vocabulary) if vocabulary.merges else _best_ends(line, vocabulary)
+    out, begin = [], 0
+    for end in ends:
+        piece = line[begin:end]
+        found = vocabulary.table.get(piece)
+        if found:
+            out.append(found[0])
+        else:
+            out += [vocabulary.byte_ids[b] for b in piece.replace(INNER_MARK, MARK).encode()]
+        begin = end
+    return out
+
+
+def _merged_ends(line: str, vocabulary: Vocabulary) -> list[int]:
+    """Ends of the symbols after merging neighbours by rank, equal ranks from the left."""
+    n, table = len(line), vocabulary.table
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the symbol that starts here
+    heap: list[tuple[float, int, int, int]] = []
+
+    def offer(start: int) -> tuple[float, int, int, int] | None:
+        middle = after[start]
+        if middle < n:
+            found = table.get(line[start : after[middle]]) if after[middle] - start <= MOST_PIECE_CHARS else None
+            if found:
+                return -found[1], start, middle, after[middle]
+        return None
+
+    heap = [x for x in map(offer, range(n)) if x]
+    heapify(heap)
+    while heap:
+        _, start, middle, end = heappop(heap)
+        if after[start] != middle or middle < 0 or after[middle] != end:
+            continue  # one of the two has been merged since
+        after[start], after[middle] = end, -1
+        if end < n:
+            before[end] = start
+        for left in (before[start], start):
+            if left >= 0 and (x := offer(left)):
+                heappush(heap, x)
+    ends, at = [], 0
+    while at < n:
+        at = after[at]
+        ends.append(at)
+    return ends
+
+
+def _best_ends(line: str, vocabulary: Vocabulary) -> list[int]:
+    """Ends of the pieces of the cheapest path; of equal sums the greater list of ids."""
+    table, n = vocabulary.table, len(line)
+    best: list[tuple[float, int]] = [(0.0, 0)]  # score, start of the last piece
+
+    def path(end: int, start: int) -> list[int]:
+        out = []
+        while end:
+            found = table.get(line[start:end])
+            own = [found[0]] if found else [vocabulary.byte_ids[b] for b in line[start:end].replace(INNER_MARK, MARK).encode()]
+            out += reversed(own)
+            end, start = start, best[start][1]
+        return out[::-1]
+
+    for end in range(1, n + 1):
+        arriving = []
+        for start in range(max(0, end - MOST_PIECE_CHARS), end):
+            found = table.get(line[start:end])
+            if found:
+                arriving.append((best[start][0] - -found[1], start))
+            elif end - start == 1:
+                size = len(line[start:end].replace(INNER_MARK, MARK).encode())
+                arriving.append((best[start][0] - vocabulary.byte_price * size, start))
+        top = max(arriving)[0]
+        tied = [x for x in arriving if x[0] == top]
+        best.append(tied[0] if len(tied) == 1 else max(tied, key=lambda x: path(end, x[1])))
+    ends, at = [], n
+    while at:
+        ends.append(at)
+        at = best[at][1]
+    return ends[::-1]
+
+
+def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``word, lead, n``: how often each word occurs; words are counted per task before the shuffle."""
     schema = pa.schema([("word", pa.string()), ("lead", pa.bool_()), ("n", pa.int64())])
 
@@ -119,7 +237,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 if max(map(len, words)) <= MOST_WORD_CHARS:
                     whole.update(words)
                 else:
-                    for word, lead in units(text):
+                    for word, lead in units(text, vocabulary):
                         (whole if lead else parts)[word] += 1
             if len(whole) > DISTINCT_AT_A_TIME:
                 yield from counted()
@@ -150,7 +268,8 @@ def edges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFr
     longest = F.least(F.lit(MOST_PIECE_CHARS), F.length("line") - F.col("at") + 1)
     spans = (
         words.withColumn("line", line)
-        .select("*", F.explode(F.sequence(F.lit(1), F.length("line"))).alias("at"))
+        # A long part has one row, and no lattice.
+        .select("*", F.explode(F.sequence(F.lit(1), F.when(_is_long(), 1).otherwise(F.length("line")))).alias("at"))
         .select("*", F.explode(F.sequence(F.lit(1), longest)).alias("size"))
         .withColumn("piece", F.substring("line", F.col("at"), F.col("size")))
     )
@@ -164,6 +283,10 @@ def edges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFr
     return joined.select(*words.columns, edge.alias("edge"))
 
 
+def _is_long() -> Column:
+    return F.length("word") > MOST_WORD_CHARS
+
+
 def _size(listed: Column) -> Column:
     return F.array_max(F.transform(listed, lambda e: e["end"]))
 
@@ -217,7 +340,14 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     keys = ["row", "word", "lead", "n"]
     grouped = edges(numbered, pieces, vocabulary).groupBy(*keys).agg(F.collect_list("edge").alias("edges"))
     fold = merged_pairs if vocabulary.merges else best_path
-    return grouped.select("word", "lead", "n", fold(F.col("edges")).alias("ids"))
+
+    @F.pandas_udf("array<int>")
+    def whole(words: pd.Series, leads: pd.Series) -> pd.Series:
+        found = (w and encode_long(marked(w, y), vocabulary) for w, y in zip(words, leads, strict=True))
+        return pd.Series(list(found), dtype=object)
+
+    long = whole(F.when(_is_long(), F.col("word")), "lead")
+    return grouped.select("word", "lead", "n", F.when(_is_long(), long).otherwise(fold(F.col("edges"))).alias("ids"))
 
 
 def decoded(ids: Column, lead: Column, vocabulary: Vocabulary) -> Column:
@@ -246,11 +376,11 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 20):
             rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            found = [(d, k, i, *u) for d, k, text in rows for i, u in enumerate(units(text))]
+            found = [(d, k, i, *u) for d, k, text in rows for i, u in enumerate(units(text, vocabulary))]
             yield record_batch(list(zip(*found, strict=True)), schema)
 
     placed = keyed.select("doc_id", "text_key", "text").mapInArrow(place, ddl)
-    encoded = encode_words(word_counts(docs), vocabulary).select("word", "lead", "ids")
+    encoded = encode_words(word_counts(docs, vocabulary), vocabulary).select("word", "lead", "ids")
     met = placed.join(encoded, ["word", "lead"]).groupBy("doc_id", "text_key")
     lists = met.agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("x"))
     return lists.select("doc_id", "text_key", F.flatten("x.ids").alias("ids"))
