@@ -82,6 +82,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", predicted)
 
 
+def op10_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and what they decode to, as digests."""
+    vocabulary = lattice.load_vocabulary(tokenizer_file("piece_bpe_32k.model"), merges=True)
+    return lattice.encode_documents(table(spark, sf_dir, "documents"), vocabulary).drop("ids")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The encoding of every distinct word of the documents, how often it occurs, and its decoding."""
     vocabulary = lattice.load_vocabulary(tokenizer_file("piece_bpe_32k.model"), merges=True)
@@ -110,6 +116,7 @@ QUERIES: dict[str, Query] = {
         op7_lm_scoring,
         op8_warc,
         op9_quality_classifier,
+        op10_documents,
         op10_sentencepiece,
     )
 }

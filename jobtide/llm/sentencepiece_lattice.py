@@ -32,13 +32,16 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +58,9 @@ MOST_PIECE_CHARS = 16
 MOST_WORD_CHARS = 256
 DISTINCT_AT_A_TIME = 400_000
 TEXT_PER_PARTITION = 4 << 20
+#: Words that are asked for at a time, and bytes of text in a block of documents.
+ASKED_AT_A_TIME = 300_000
+BLOCK_BYTES = 8 << 20
 _CUT = re.compile(r"(?<=[^ ]) ")
 
 
@@ -333,7 +339,7 @@ def merged_pairs(listed: Column) -> Column:
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``word, lead, n, ids`` of distinct words."""
+    """``word, lead, n, ids`` of distinct words; ``n`` is passed on as it is."""
     pieces = piece_table(words.sparkSession, vocabulary)
     numbered = words.filter("lead OR word <> ''").withColumn("row", F.monotonically_increasing_id())
     # The row number is a short key to sort by; the word keeps the grouping where the words are.
@@ -350,10 +356,15 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return grouped.select("word", "lead", "n", F.when(_is_long(), long).otherwise(fold(F.col("edges"))).alias("ids"))
 
 
+def _shown(vocabulary: Vocabulary) -> dict[int, bytes]:
+    """The bytes that an id stands for."""
+    shown = {i: p.replace(MARK, " ").encode() for p, i, _ in vocabulary.pieces}
+    return shown | {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+
+
 def decoded(ids: Column, lead: Column, vocabulary: Vocabulary) -> Column:
     """The text that a list of ids stands for; with ``lead`` the first word mark is taken off."""
-    shown = {i: p.replace(MARK, " ").encode() for p, i, _ in vocabulary.pieces}
-    shown |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+    shown = _shown(vocabulary)
 
     @F.pandas_udf("string")
     def decode(lists: pd.Series, leads: pd.Series) -> pd.Series:
@@ -363,24 +374,84 @@ def decoded(ids: Column, lead: Column, vocabulary: Vocabulary) -> Column:
     return decode(ids, lead)
 
 
+def _blocks(docs: DataFrame, size: int) -> DataFrame:
+    n = max(1, -(-size // BLOCK_BYTES))
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block")
+    return texts_of(docs).select(block, "doc_id", "text").repartition("block")
+
+
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``doc_id, text_key, ids``: every text as one list of ids, through the words' encodings.
+    """``doc_id, n_ids, ids, ids_crc32, decoded_sha256`` of every row of ``docs``.
 
-    Every occurrence of a word is a row of the join; equal rows of ``docs`` give one result.
+    Documents are dealt to blocks of bounded size.  A block asks once for each of its words, each
+    distinct word is encoded once, and block and answers meet in one task, which puts the ids of a
+    text together, and decodes them.  ``ids_crc32``: of the ids as little-endian words of four bytes.
     """
-    keyed = texts_of(docs).withColumn("text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "text_key"])
-    ddl = "doc_id long, text_key long, pos long, word string, lead boolean"
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
-    schema = pa.schema([(x.split()[0], k) for x, k in zip(ddl.split(", "), kinds, strict=True)])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 20):
-            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            found = [(d, k, i, *u) for d, k, text in rows for i, u in enumerate(units(text, vocabulary))]
-            yield record_batch(list(zip(*found, strict=True)), schema)
-
-    placed = keyed.select("doc_id", "text_key", "text").mapInArrow(place, ddl)
-    encoded = encode_words(word_counts(docs, vocabulary), vocabulary).select("word", "lead", "ids")
-    met = placed.join(encoded, ["word", "lead"]).groupBy("doc_id", "text_key")
-    lists = met.agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("x"))
-    return lists.select("doc_id", "text_key", F.flatten("x.ids").alias("ids"))
+    size = text_bytes(docs)
+    blocks = _blocks(docs, size)
+    asked_schema = pa.schema([("block", pa.int64()), ("word", pa.string()), ("lead", pa.bool_())])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each word of a block once, or again after so many words that they are sent on."""
+        of_block: dict[tuple[int, bool], set[str]] = {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for (block, lead), found in of_block.items():
+                n = len(found)
+                yield record_batch([np.full(n, block), list(found), np.full(n, lead)], asked_schema)
+            of_block.clear()
+
+        for part in slices(batches, 100):
+            for block, text in zip(part.column("block").to_pylist(), part.column("text").to_pylist(), strict=True):
+                words = words_of(text)
+                if max(map(len, words)) <= MOST_WORD_CHARS:
+                    of_block.setdefault((block, True), set()).update(words)
+                else:
+                    for unit, lead in units(text, vocabulary):
+                        of_block.setdefault((block, lead), set()).add(unit)
+            if sum(map(len, of_block.values())) > ASKED_AT_A_TIME:
+                yield from sent()
+        yield from sent()
+
+    # All columns, so that questions and encodings read the same shuffled texts.
+    asked = blocks.mapInArrow(ask, "block long, word string, lead boolean")
+    asked = asked.repartition(-(-size // TEXT_PER_PARTITION) or 1, "word", "lead")
+    # A word remembers who asked: at most every block.
+    encoded = encode_words(asked.groupBy("word", "lead").agg(F.collect_set("block").alias("n")), vocabulary)
+    answers = encoded.select(F.explode("n").alias("block"), "word", "lead", "ids")
+    shown = _shown(vocabulary)
+    fields = [("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32()))]
+    schema = pa.schema([*fields, ("ids_crc32", pa.int64()), ("decoded_sha256", pa.string())])
+
+    def put_together(rows: pa.Table, known: pa.Table) -> pa.Table:
+        ids = known.column("ids").combine_chunks()
+        own = np.asarray(ids.flatten()).astype("<i4").tobytes()
+        ends = (np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)) * 4).tolist()
+        keys = zip(known.column("word").to_pylist(), known.column("lead").to_pylist(), strict=True)
+        of_word: dict[str, bytes] = {}
+        of_part: dict[str, bytes] = {}
+        for (word, lead), a, z in zip(keys, [0, *ends], ends, strict=False):
+            (of_word if lead else of_part)[word] = own[a:z]
+        out: list[list] = [[], [], [], []]
+        offsets = [0]
+        for text in rows.column("text"):
+            text = text.as_py()
+            words = words_of(text)
+            if max(map(len, words)) <= MOST_WORD_CHARS:
+                raw = b"".join(map(of_word.__getitem__, words))
+            else:
+                raw = b"".join((of_word if lead else of_part)[u] for u, lead in units(text, vocabulary))
+            found = np.frombuffer(raw, dtype="<i4")
+            # The first mark is not a blank of the text.
+            back = b"".join(map(shown.__getitem__, found.tolist()))[1:]
+            offsets.append(offsets[-1] + len(found))
+            for column, x in zip(out, (len(found), found, zlib.crc32(raw), hashlib.sha256(back).hexdigest()), strict=True):
+                column.append(x)
+        values = pa.array(np.concatenate([np.zeros(0, "<i4"), *out[1]]), pa.int32())
+        lists = pa.LargeListArray.from_arrays(np.array(offsets, dtype=np.int64), values).cast(pa.list_(pa.int32()))
+        doc_id = rows.column("doc_id").combine_chunks().cast(pa.int64())
+        columns = [doc_id, pa.array(out[0], pa.int64()), lists, pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())]
+        return pa.Table.from_arrays(columns, schema=schema)
+
+    ddl = "doc_id long, n_ids long, ids array<int>, ids_crc32 long, decoded_sha256 string"
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(put_together, ddl)

@@ -1,13 +1,17 @@
 """Operators on inputs where doing less than the whole job shows."""
 
 import base64
+import hashlib
 import random
+import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from jobtide.llm import sentencepiece_lattice as lattice
+from jobtide.llm.queries import QUERIES
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -57,3 +61,20 @@ def test_long_parts_are_encoded_as_by_the_folds(spark, vocabulary):
     for own in (vocabulary, unigram):
         for r in lattice.encode_words(rows, own).collect():
             assert lattice.encode_long(lattice.marked(r.word, True), own) == r.ids
+
+
+def test_every_document_is_encoded_and_decoded(spark, sf_dir, plain_rows, library):
+    rows = {r.doc_id: r for r in QUERIES["op10_documents"](spark, sf_dir).collect()}
+    assert len(rows) == len(plain_rows)
+    for d, text in plain_rows:
+        got, ids = rows[d], library.encode(text or "")
+        assert got.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+        if text:
+            assert (got.n_ids, got.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+
+
+def test_repeated_and_missing_rows_are_encoded_each(frame, odd_rows, vocabulary):
+    rows = lattice.encode_documents(frame(odd_rows), vocabulary).collect()
+    want = [(str(d), hashlib.sha256((t or "").encode()).hexdigest()) for d, t in odd_rows]
+    assert sorted((str(r.doc_id), r.decoded_sha256) for r in rows) == sorted(want)
+    assert all(r.n_ids == len(r.ids) for r in rows)
