@@ -3,21 +3,20 @@
 Counts of words and word pairs are exact sums over the whole training part.  The
 filter keeps a count as its level on a logarithmic scale: an n-gram of level q is
 entered with 1, 2 .. q, and a lookup asks for these in turn until one is missing.
-It is built in slices, each by the task that owns the slice's n-grams, collected
-and broadcast; ``FILTER_BYTES`` bounds its size, and the number of slices follows
-the input.  Tasks count what they read first, and send the counts of a slice as
-one packed row.  Where a slice would
-outgrow its share, it leaves out the n-grams of the smallest counts, which are
-then scored by their smoothing like unseen ones.
+It is built in slices, each by the task that owns the slice's n-grams, and written
+to a table in the shared folder; the number of slices follows the input, and no
+count is left out.  Tasks count what they read first, and send the counts of a
+slice as one packed row.
 
 Probability of w after v, smoothed towards the single word:
 
     (min(c(v w), c(v)) + MU * p(w)) / (c(v) + MU),   p(w) = (c(w) + 1) / (N + V + 1)
 
-The exact counts that the base score needs are too many to broadcast.  Documents
-are dealt to blocks of bounded size; a block asks once for each of its words, the
-answers join by word, and block and answers meet in one task.  A frequent word is
-one row per block, not one per occurrence.
+Neither the filter nor the exact counts that the base score needs can be broadcast.
+Documents are dealt to blocks of bounded size; a block asks once for each of its
+words and pairs, in one packed row for each group of slices.  A group's slices meet
+all questions for them in one task, and the answers, in the order of the questions,
+meet the block.
 
 Words are told apart by 63 bits of XXH64, word pairs by a mix of both words'.
 
@@ -45,8 +44,9 @@ FOLDS, HELD_OUT_FOLD = 7, 2
 BASE = 1.5
 LEVELS = 80
 BITS_PER_ENTRY, PROBES = 12, 6
-FILTER_BYTES = 48 << 20
 TEXT_PER_SLICE, LEAST_SLICES, MOST_SLICES = 2 << 20, 64, 1 << 20
+#: Slices that are asked together; fewer where that would leave few groups.
+SLICES_PER_GROUP, LEAST_GROUPS = 32, 64
 MU = 300.0
 #: Bytes of text in a block, and tokens counted at a time.
 BLOCK_BYTES = 8 << 20
@@ -166,8 +166,11 @@ def _places(h: np.ndarray, level: np.ndarray, probe: int, bits: np.ndarray) -> n
     return _mixed(h ^ (level.astype(_U) * _U(0x9E3779B97F4A7C15)) ^ _U((probe + 1) << 56)) % bits
 
 
-def build_slice(h: np.ndarray, c: np.ndarray, most_bytes: int) -> bytes:
-    """The smallest level that is kept, and the bits of one slice, for distinct n-grams and their counts."""
+def build_slice(h: np.ndarray, c: np.ndarray, most_bytes: float = math.inf) -> bytes:
+    """The smallest level that is kept, and the bits of one slice, for distinct n-grams and their counts.
+
+    The operator builds without a bound on the bytes, and keeps all levels.
+    """
     q = level_of(c)
     cut = 1
     while int(q.sum()) * BITS_PER_ENTRY > most_bytes * 8:
@@ -198,8 +201,8 @@ class CountFilter:
         self.data = np.frombuffer(b"".join(body), dtype=np.uint8)
         self.shown = level_counts()
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        """The count that the filter holds for each n-gram."""
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        """The level that the filter holds for each n-gram."""
         own = slice_of(h, self.n_slices).astype(np.int64)
         level = np.zeros(len(h), dtype=np.int64)
         live = np.flatnonzero(self.bits[own] > 0)
@@ -214,14 +217,19 @@ class CountFilter:
             level[hit] = at
             more = at < LEVELS
             live, ask = hit[more], at[more] + 1
-        return self.shown[level]
+        return level
+
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        """The count that the filter holds for each n-gram."""
+        return self.shown[self.levels(h)]
 
 
-def train(docs: DataFrame, size: int) -> tuple[CountFilter, DataFrame]:
-    """The filter, and ``h, c`` of every training word."""
+def train(docs: DataFrame, size: int) -> tuple[int, DataFrame]:
+    """The number of slices, and ``slice, bits, words, n_words, n_tokens`` of each; ``words``: exact counts, packed."""
     n_slices = min(max(size // TEXT_PER_SLICE, LEAST_SLICES), MOST_SLICES)
-    ddl = "slice int, bits binary, h long, c long"
-    schema = pa.schema([("slice", pa.int32()), ("bits", pa.binary()), ("h", pa.int64()), ("c", pa.int64())])
+    ddl = "slice int, bits binary, words binary, n_words long, n_tokens long"
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    schema = pa.schema([(x.split()[0], k) for x, k in zip(ddl.split(", "), kinds, strict=True)])
 
     def build(rows: pa.Table) -> pa.Table:
         seen = [unpacked(blob) for blob in rows.column("counts").to_pylist()]
@@ -231,16 +239,20 @@ def train(docs: DataFrame, size: int) -> tuple[CountFilter, DataFrame]:
         starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         h, c = h[starts], np.add.reduceat(c, starts)
         words = (h & _U(1)) == 1
-        n = int(words.sum())
-        bits = build_slice(h, c, FILTER_BYTES // n_slices)
-        columns = [[rows.column("slice")[0].as_py()] + [None] * n, [bits] + [None] * n]
-        columns += [pa.array([None], pa.int64()).to_pylist() + x[words].tolist() for x in (h.view(np.int64), c)]
+        blob = zstandard.compress(h[words].astype("<u8").tobytes() + c[words].astype("<i8").tobytes(), 1)
+        columns = [[rows.column("slice")[0].as_py()], [build_slice(h, c)], [blob], [int(words.sum())], [int(c[words].sum())]]
         return pa.Table.from_batches([record_batch(columns, schema)])
 
-    built = stored(ngram_counts(docs, n_slices).groupBy("slice").applyInArrow(build, ddl), "ngrams")
-    # Bounded: FILTER_BYTES in all.
-    parts = {r["slice"]: bytes(r["bits"]) for r in built.filter("bits IS NOT NULL").select("slice", "bits").collect()}
-    return CountFilter(parts, n_slices), built.filter("h IS NOT NULL").select("h", "c")
+    return n_slices, stored(ngram_counts(docs, n_slices).groupBy("slice").applyInArrow(build, ddl), "ngrams")
+
+
+def asked_ngrams(texts: list[str]) -> np.ndarray:
+    """The distinct words, pairs and the end token of some texts, ascending."""
+    found = [np.array([END], dtype=_U)]
+    for at in range(0, len(texts), 500):
+        words, before, _ = joined_tokens(texts[at : at + 500])
+        found.append(np.unique(np.concatenate((words, pair_hashes(before, words)))))
+    return np.unique(np.concatenate(found))
 
 
 def _blocks(docs: DataFrame, size: int) -> DataFrame:
@@ -252,27 +264,54 @@ def _blocks(docs: DataFrame, size: int) -> DataFrame:
 def score(spark: SparkSession, docs: DataFrame, mu: float = MU) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``."""
     size = text_bytes(docs)
-    model, words = train(docs, size)
-    totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    n_slices, built = train(docs, size)
+    n_groups = min(max(n_slices // SLICES_PER_GROUP, LEAST_GROUPS), n_slices)
+    totals = built.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     n_train, n_distinct = int(totals[0]), int(totals[1])
-    shared = spark.sparkContext.broadcast(model)
     blocks = _blocks(docs, size)
-    asked_schema = pa.schema([("block", pa.int64()), ("h", pa.int64())])
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each word of a block once per batch of rows."""
-        for batch in batches:
-            of_block: dict[int, list[bytes]] = {}
-            for part in slices([batch]):
-                for block, text in zip(part.column("block").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    of_block.setdefault(block, []).append(token_hashes(text))
-            for block, found in of_block.items():
-                h = np.unique(np.frombuffer(b"".join(found), dtype="<u8")).view(np.int64)
-                yield record_batch([np.full(len(h), block), h], asked_schema)
+    group_of = lambda h: slice_of(h, n_slices) % _U(n_groups)
+    asked_schema = pa.schema([("block", pa.int64()), ("group", pa.int32()), ("asked", pa.binary())])
+    answer_schema = pa.schema([(x, pa.int64() if x == "block" else pa.int32() if x == "group" else pa.binary()) for x in ("block", "group", "levels", "words")])
+
+    def ask(rows: pa.Table) -> pa.Table:
+        h = asked_ngrams(rows.column("text").to_pylist())
+        group = group_of(h)
+        order = np.argsort(group, kind="stable")  # within a group, hashes still ascend
+        numbers, starts = np.unique(group[order], return_index=True)
+        parts = np.split(h[order], starts[1:])
+        blobs = [packed(x, np.zeros(len(x), dtype=np.int64)) for x in parts]
+        columns = [[rows.column("block")[0].as_py()] * len(parts), numbers.astype(np.int32), blobs]
+        return pa.Table.from_batches([record_batch(columns, asked_schema)])
+
+    def answer(questions: pa.Table, held: pa.Table) -> pa.Table:
+        if not questions.num_rows:
+            return answer_schema.empty_table()
+        parts = dict(zip(held.column("slice").to_pylist(), held.column("bits").to_pylist(), strict=True))
+        lm = CountFilter(parts, n_slices)
+        known = [np.frombuffer(zstandard.decompress(x), dtype="<u8") for x in held.column("words").to_pylist()]
+        exact_h = np.concatenate([np.zeros(0, _U), *(x[: len(x) // 2] for x in known)])
+        exact_c = np.concatenate([np.zeros(0, _U), *(x[len(x) // 2 :] for x in known)])
+        order = np.argsort(exact_h)
+        exact_h, exact_c = exact_h[order], exact_c[order]
+        out: list[list] = [[], []]
+        for blob in questions.column("asked"):
+            h, _ = unpacked(blob.as_py())
+            w = h[(h & _U(1)) == 1]
+            c = np.zeros(len(w), dtype="<i8")
+            if len(exact_h):
+                at = np.minimum(np.searchsorted(exact_h, w), len(exact_h) - 1)
+                c = np.where(exact_h[at] == w, exact_c[at], _U(0)).astype("<i8")
+            out[0].append(zstandard.compress(lm.levels(h).astype(np.uint8).tobytes(), 1))
+            out[1].append(zstandard.compress(c.tobytes(), 1))
+        columns = [questions.column("block").to_pylist(), questions.column("group").to_pylist(), *out]
+        return pa.Table.from_batches([record_batch(columns, answer_schema)])
 
     # All columns, so that questions and scores read the same shuffled texts.
-    asked = blocks.mapInArrow(ask, "block long, h long")
-    answers = asked.join(words, "h").select("block", "h", "c")
+    asked = blocks.groupBy("block").applyInArrow(ask, "block long, group int, asked binary")
+    held = built.select((F.col("slice") % n_groups).alias("group"), "slice", "bits", "words")
+    answers = asked.groupBy("group").cogroup(held.groupBy("group")).applyInArrow(
+        answer, "block long, group int, levels binary, words binary"
+    )
     ddl = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     fields = [("doc_id", pa.int64()), ("held_out", pa.bool_())]
     fields += [(x, pa.int64()) for x in ("n_tokens", "n_known", "train_tokens")]
@@ -280,21 +319,28 @@ def score(spark: SparkSession, docs: DataFrame, mu: float = MU) -> DataFrame:
     spread = float(n_train + n_distinct + 1)
 
     def scored(rows: pa.Table, known: pa.Table) -> pa.Table:
-        lm = shared.value
         if not rows.num_rows:
             return schema.empty_table()
-        w, before, starts = joined_tokens(rows.column("text").to_pylist())
-        each, back = np.unique(np.concatenate((w, [_U(END)])), return_inverse=True)
-        exact = np.zeros(len(each), dtype=np.int64)
-        h = known.column("h").to_numpy().view(_U)
-        exact[np.searchsorted(each, h)] = known.column("c").to_numpy()
-        single = lm.counts(each)
-        w_at = back[:-1]
-        v_at = np.concatenate((back[-1:], w_at[:-1]))
-        p = (single[w_at] + 1) / spread
-        seen = single[v_at]
-        pairs, pair_back = np.unique(pair_hashes(before, w), return_inverse=True)
-        both = np.minimum(lm.counts(pairs)[pair_back], seen)
+        texts = rows.column("text").to_pylist()
+        every = asked_ngrams(texts)
+        level = np.zeros(len(every), dtype=np.uint8)
+        exact = np.zeros(len(every), dtype=np.int64)
+        group = group_of(every)
+        order = np.argsort(group, kind="stable")
+        numbers, starts = np.unique(group[order], return_index=True)
+        of_group = dict(zip(numbers.tolist(), np.split(order, starts[1:]), strict=True))
+        for g, levels, words in zip(*(known.column(x).to_pylist() for x in ("group", "levels", "words")), strict=True):
+            own = of_group[g]
+            level[own] = np.frombuffer(zstandard.decompress(levels), dtype=np.uint8)
+            exact[own[(every[own] & _U(1)) == 1]] = np.frombuffer(zstandard.decompress(words), dtype="<i8")
+        counted = level_counts()[level]
+        w, before, starts = joined_tokens(texts)
+        w_at = np.searchsorted(every, w)
+        end_at = np.searchsorted(every, np.array([END], dtype=_U))
+        v_at = np.concatenate((end_at, w_at[:-1]))
+        p = (counted[w_at] + 1) / spread
+        seen = counted[v_at]
+        both = np.minimum(counted[np.searchsorted(every, pair_hashes(before, w))], seen)
         total = lambda x: np.add.reduceat(x, starts)
         c = exact[w_at]
         base = total(np.log10((c + 1) / spread))

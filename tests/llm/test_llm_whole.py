@@ -2,14 +2,18 @@
 
 import base64
 import hashlib
+import math
 import random
 import zlib
+from collections import Counter
 
+import brute
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from jobtide.llm import language_model
 from jobtide.llm import sentencepiece_lattice as lattice
 from jobtide.llm.queries import QUERIES
 
@@ -78,3 +82,26 @@ def test_repeated_and_missing_rows_are_encoded_each(frame, odd_rows, vocabulary)
     want = [(str(d), hashlib.sha256((t or "").encode()).hexdigest()) for d, t in odd_rows]
     assert sorted((str(r.doc_id), r.decoded_sha256) for r in rows) == sorted(want)
     assert all(r.n_ids == len(r.ids) for r in rows)
+
+
+def test_no_count_is_dropped_however_full_the_filter(spark, sf_dir, documents, plain_rows, monkeypatch):
+    # Before, this bound made every slice drop its single occurrences, as a large input did.
+    monkeypatch.setattr(language_model, "FILTER_BYTES", 64 << 10, raising=False)
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in plain_rows}
+    tokens = {d: ["\n", *brute.words(t or ""), "\n"] for d, t in plain_rows}
+    single = Counter(w for d, ws in tokens.items() if not held[d] for w in ws[1:])
+    pairs = Counter(p for d, ws in tokens.items() if not held[d] for p in zip(ws, ws[1:]))
+    shown = language_model.level_counts()
+    level = lambda c: float(shown[language_model.level_of(np.array([c]))[0]]) if c else 0.0
+    spread, mu = sum(single.values()) + len(single) + 1, language_model.MU
+    off = []
+    for r in language_model.score(spark, documents).collect():
+        own = tokens[r.doc_id]
+        want = 0.0
+        for v, w in zip(own, own[1:]):
+            p = (level(single[w]) + 1) / spread
+            seen = level(single[v])
+            want += math.log10((min(level(pairs[v, w]), seen) + mu * p) / (seen + mu))
+        off.append(abs(r.score - want) / r.n_tokens)
+    # What is left are the filter's false positives.
+    assert sum(off) / len(off) < 0.02
