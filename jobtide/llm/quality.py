@@ -192,7 +192,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> LineFi
 
     # Bounded: `most` documents, a few hundred bytes a line, SAMPLE_LINES lines each.
     joined = texts_of(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality")
-    rows = joined.mapInArrow(features, ddl).collect()
+    # An id in very many rows is one row per task before it is shuffled; the smallest hash of a text counts.
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    texts = joined.groupBy("doc_id", "quality").agg(one).select("doc_id", "one.text", "quality")
+    rows = texts.mapInArrow(features, ddl).collect()
     y = [r.quality for r in rows]
     if len(set(y)) < 2:
         return float(sum(y)) / len(y) if y else 0.5

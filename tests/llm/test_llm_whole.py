@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from jobtide.llm import language_model
+from jobtide.llm import language_model, quality
 from jobtide.llm import sentencepiece_lattice as lattice
 from jobtide.llm.queries import QUERIES
 
@@ -105,3 +105,21 @@ def test_no_count_is_dropped_however_full_the_filter(spark, sf_dir, documents, p
         off.append(abs(r.score - want) / r.n_tokens)
     # What is left are the filter's false positives.
     assert sum(off) / len(off) < 0.02
+
+
+def collected_lines(monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda docs, labels: seen.extend(map(len, docs)) or 0.5)
+    return seen
+
+
+def not_held_out(n):
+    return [i for i in range(200) if zlib.crc32(str(i).encode()) % quality.HELD_OUT][:n]
+
+
+def test_a_repeated_id_is_one_text_of_the_sample(spark, frame, monkeypatch):
+    a, b = not_held_out(2)
+    seen = collected_lines(monkeypatch)
+    labels = spark.createDataFrame([(a, 0, 0), (b, 1, 0)], "doc_id long, quality int, toxic int")
+    quality.train(frame([(a, f"text {i}") for i in range(50)] + [(b, "one\ntwo")]), labels)
+    assert sorted(seen) == [1, 2]
