@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import record_batch, slices, texts_of
+from jobtide.llm.common import kept, record_batch, slices, texts_of
 
-#: Labelled documents that training reads at most, and lines of each: a bound on the fit, not on the scoring.
+#: Labelled documents that training reads at most, each whole, and the lines of all of them: a bound on the fit.
 SAMPLE_DOCS = 4000
-SAMPLE_LINES = 200
+SAMPLE_LINES = 800_000
 HELD_OUT = 5
 THRESHOLD = 0.3
 ROUNDS = 300
@@ -79,9 +79,9 @@ def line_features(line: str) -> list[float]:
     ]
 
 
-def document_features(text: str, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Features per line (own, previous, next, bias) and the lines' lengths plus one."""
-    lines = text.split("\n")[:most]
+    lines = text.split("\n")
     own = np.array([line_features(x) for x in lines])
     edge = np.zeros((1, N_OWN))
     before, after = np.concatenate((edge, own[:-1])), np.concatenate((own[1:], edge))
@@ -177,7 +177,8 @@ def held_out(doc_id: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> LineField | float:
     """The field, or the share of label 1 where there is nothing to tell apart.
 
-    The sample are the ``most`` labelled rows, not held out, with the smallest hash of their id.
+    The sample are the ``most`` labelled rows, not held out, with the smallest hash of their id,
+    each with all lines of one text; a document that would bring them above ``SAMPLE_LINES`` is left out.
     """
     usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     usable = usable.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(~held_out())
@@ -187,15 +188,25 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> LineFi
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [document_features(t, SAMPLE_LINES)[0] for t in batch.column(1).to_pylist()]
+            found = [document_features(t)[0] for t in batch.column(1).to_pylist()]
             yield record_batch([batch.column(2), [len(f) for f in found], [f.astype("<f4").tobytes() for f in found]], schema)
 
-    # Bounded: `most` documents, a few hundred bytes a line, SAMPLE_LINES lines each.
     joined = texts_of(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality")
     # An id in very many rows is one row per task before it is shuffled; the smallest hash of a text counts.
     one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
-    texts = joined.groupBy("doc_id", "quality").agg(one).select("doc_id", "one.text", "quality")
-    rows = texts.mapInArrow(features, ddl).collect()
+    texts = kept(joined.groupBy("doc_id", "quality").agg(one).select("doc_id", "one.text", "quality"))
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    # Bounded: `most` rows of two numbers.
+    sizes = texts.select("doc_id", n_lines.alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    over, total = [], 0
+    for r in sizes:
+        if total + r.n > SAMPLE_LINES:
+            over.append(r.doc_id)
+        else:
+            total += r.n
+    whole = texts.filter(~F.col("doc_id").isin(over)) if over else texts
+    # Bounded: SAMPLE_LINES lines in all, a few hundred bytes each.
+    rows = whole.mapInArrow(features, ddl).collect()
     y = [r.quality for r in rows]
     if len(set(y)) < 2:
         return float(sum(y)) / len(y) if y else 0.5

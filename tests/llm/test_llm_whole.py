@@ -117,6 +117,14 @@ def not_held_out(n):
     return [i for i in range(200) if zlib.crc32(str(i).encode()) % quality.HELD_OUT][:n]
 
 
+def test_training_reads_every_line(spark, frame, monkeypatch):
+    a, b = not_held_out(2)
+    seen = collected_lines(monkeypatch)
+    labels = spark.createDataFrame([(a, 0, 0), (b, 1, 0)], "doc_id long, quality int, toxic int")
+    quality.train(frame([(a, "bad\n" * 499 + "end"), (b, "good")]), labels)
+    assert sorted(seen) == [1, 500]
+
+
 def test_a_repeated_id_is_one_text_of_the_sample(spark, frame, monkeypatch):
     a, b = not_held_out(2)
     seen = collected_lines(monkeypatch)
