@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import exact_dedup, fingerprints, language_model, line_dedup, packing, quality
+from jobtide.llm import conversation_repair, exact_dedup, fingerprints, language_model, line_dedup, packing, quality
 from jobtide.llm import sentencepiece_lattice as lattice
 from jobtide.llm import simhash_dedup, url_filter, warc
 from jobtide.llm.common import ship, table, working_folder
@@ -96,6 +96,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("word", "lead", "n", "ids", F.size("ids").alias("n_pieces"), text)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -118,5 +122,6 @@ QUERIES: dict[str, Query] = {
         op9_quality_classifier,
         op10_documents,
         op10_sentencepiece,
+        op11_conversation_repair,
     )
 }
