@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from jobtide.llm import conversation_repair, exact_dedup, fingerprints, language_model, line_dedup, packing, quality
 from jobtide.llm import sentencepiece_lattice as lattice
-from jobtide.llm import simhash_dedup, url_filter, warc
+from jobtide.llm import simhash_dedup, token_alignment, url_filter, warc
 from jobtide.llm.common import ship, table, working_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [tokenizer_file(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_alignment.align(table(spark, sf_dir, "documents"), *files)
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -123,5 +128,6 @@ QUERIES: dict[str, Query] = {
         op10_documents,
         op10_sentencepiece,
         op11_conversation_repair,
+        op13_token_alignment,
     )
 }
