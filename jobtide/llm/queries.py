@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import conversation_repair, exact_dedup, fingerprints, language_model, line_dedup, packing, quality
+from jobtide.llm import conversation_repair, exact_dedup, fingerprints, html_extraction, language_model
+from jobtide.llm import line_dedup, packing, quality
 from jobtide.llm import sentencepiece_lattice as lattice
 from jobtide.llm import simhash_dedup, token_alignment, url_filter, warc
 from jobtide.llm.common import ship, table, working_folder
@@ -100,6 +101,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"), html_extraction.trained())
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = [tokenizer_file(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return token_alignment.align(table(spark, sf_dir, "documents"), *files)
@@ -128,6 +133,7 @@ QUERIES: dict[str, Query] = {
         op10_documents,
         op10_sentencepiece,
         op11_conversation_repair,
+        op12_html_extraction,
         op13_token_alignment,
     )
 }
