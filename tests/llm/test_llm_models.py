@@ -135,7 +135,7 @@ def test_filter_holds_levels():
     h = np.unique(rng.integers(1, 1 << 62, 40_000).astype(np.uint64))
     c = rng.integers(1, 2000, len(h))
     own = language_model.slice_of(h, 64)
-    parts = {int(s): language_model.build_slice(h[own == s], c[own == s], 1 << 20) for s in np.unique(own)}
+    parts = {int(s): language_model.build_slice(h[own == s], c[own == s]) for s in np.unique(own)}
     held = language_model.CountFilter(parts, 64)
     shown = language_model.level_counts()[language_model.level_of(c)]
     found = held.counts(h)
@@ -151,13 +151,21 @@ def test_packed_counts_come_back():
     assert (back == h).all() and (counts == c).all()
 
 
-def test_a_full_slice_leaves_out_the_smallest_counts():
-    h = np.arange(1, 4001).astype(np.uint64) * np.uint64(2)
-    c = np.where(np.arange(4000) < 100, 500, 1)
-    part = language_model.build_slice(h, c, most_bytes=4096)
-    assert len(part) <= 4097 and part[0] > 1
-    held = language_model.CountFilter({0: part}, 1)
-    assert (held.counts(h[:100]) > 100).all() and (held.counts(h[100:]) > 0).mean() < 0.05
+def test_token_hashes_tell_words_apart():
+    rng = random.Random(8)
+    long = ["y" * n for n in (63, 64, 65, 66, 1000)] + ["y" * 64 + "z", "ab" * 40, "ba" * 40]
+    words = list({"".join(rng.choice("ab\x00é漢.") for _ in range(rng.randrange(1, 9))) for _ in range(20_000)}) + long
+    texts = ["", " \t", *(" ".join(rng.choices(words, k=rng.randrange(40))) for _ in range(3000)), " ".join(words).upper(), "\x0bA\x0c b\r"]
+    seen = {}
+    for some in (texts, texts[:1], texts[2:9]):
+        h, before, starts = language_model.joined_tokens(some)
+        want = [brute.words(t) + ["\n"] for t in some]
+        assert starts.tolist() == [sum(map(len, want[:i])) for i in range(len(want))]
+        flat = [w for own in want for w in own]
+        assert len(flat) == len(h) and (before[1:] == h[:-1]).all() and before[0] == language_model.END
+        for w, x in zip(flat, h.tolist()):
+            assert seen.setdefault(w, x) == x and x % 2 == 1
+    assert len(set(seen.values())) == len(seen)
 
 
 # Quality

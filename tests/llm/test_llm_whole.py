@@ -93,7 +93,7 @@ def test_no_count_is_dropped_however_full_the_filter(spark, sf_dir, documents, p
     pairs = Counter(p for d, ws in tokens.items() if not held[d] for p in zip(ws, ws[1:]))
     shown = language_model.level_counts()
     level = lambda c: float(shown[language_model.level_of(np.array([c]))[0]]) if c else 0.0
-    spread, mu = sum(single.values()) + len(single) + 1, language_model.MU
+    spread = sum(single.values()) + len(single) + 1
     off = []
     for r in language_model.score(spark, documents).collect():
         own = tokens[r.doc_id]
@@ -101,6 +101,7 @@ def test_no_count_is_dropped_however_full_the_filter(spark, sf_dir, documents, p
         for v, w in zip(own, own[1:]):
             p = (level(single[w]) + 1) / spread
             seen = level(single[v])
+            mu = 1 + language_model.SPREAD * seen**language_model.POWER
             want += math.log10((min(level(pairs[v, w]), seen) + mu * p) / (seen + mu))
         off.append(abs(r.score - want) / r.n_tokens)
     # What is left are the filter's false positives.
