@@ -32,7 +32,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 from operator import itemgetter
 
 import numpy as np
@@ -48,8 +48,8 @@ from jobtide.llm.common import record_batch, slices, stored, text_bytes, texts_o
 RUN_RECORDS, RUN_DOCS = 4_000_000, 1 << 18
 BUCKET_BYTES = 1 << 30
 LEAST_BUCKETS, MOST_BUCKETS = 12, 1024
-#: Parts remembered by a worker, and the longest of them.
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 200
+#: Parts remembered by a worker, the longest of them, and parts aligned at once.
+REMEMBERED, LONGEST_REMEMBERED, LEARNT_AT_A_TIME = 400_000, 200, 50_000
 MARK = "▁"
 
 
@@ -80,65 +80,91 @@ class Aligner(dict):
         ]
         #: Only where no piece goes on behind a later word mark is a blank a cut for both.
         self.cuts = not any(MARK in model.id_to_piece(i).lstrip(MARK) for i in range(self.n_b))
-        self.n_pairs = len(self.a_bytes) * self.n_b
-
-    def __missing__(self, part: str) -> tuple | None:
-        found = self.aligned(part)
-        if len(part) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[part] = found
-        return found
-
-    def aligned(self, part: str) -> tuple | None:
-        text = " " + part
-        # Marks that the two libraries may class differently are left to the one that is asked for.
-        a = self.merge(text) if part.isalnum() and part.isascii() else self.whole.encode(text, add_special_tokens=False).ids
-        b = self.b_encode(part, num_threads=1)
-        raw = text.encode()
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
-            return None
-        links, groups = [], []
-        i = j = a_from = b_from = 0
-        a_end, b_end, n_b = len(a_bytes[0]), len(b_bytes[0]), self.n_b
-        while True:
-            links.append(a[i] * n_b + b[j])
-            if a_end == b_end:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[a_from:i]))}|{','.join(map(str, b[b_from:j]))}")
-                a_from, b_from = i, j
-                if i == len(a):
-                    break
-                a_end += len(a_bytes[i])
-                b_end += len(b_bytes[j])
-            elif a_end < b_end:
-                i += 1
-                a_end += len(a_bytes[i])
+        n_a = len(self.a_bytes)
+        self.n_pairs = n_a * self.n_b
+        self.a_size, self.b_size = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
+        # How an id is written in a group, before another of its side, and at the end of its side.
+        shown = [f"{i}{mark}" for n, ends in ((n_a, ",|"), (self.n_b, ",;")) for i in range(n) for mark in ends]
+        self.shown = np.array(shown, dtype=object)
+
+    def _a_ids(self, part: str) -> list[int]:
+        # White space and controls, which the two libraries may class differently, are left to the one that is asked for.
+        plain = " " not in part and part.isprintable()
+        return self.merge(" " + part) if plain else self.whole.encode(" " + part, add_special_tokens=False).ids
+
+    def learn(self, parts: list[str]) -> None:
+        """Aligns parts that are not remembered, all at once."""
+        raw = [(" " + p).encode() for p in parts]
+        a, b = list(map(self._a_ids, parts)), self.b_encode(parts, num_threads=1)
+        a_all, b_all = list(chain.from_iterable(a)), list(chain.from_iterable(b))
+        whole = b"".join(raw)
+        spelled = all(b"".join(map(x.__getitem__, ids)) == whole for x, ids in ((self.a_bytes, a_all), (self.b_bytes, b_all)))
+        part_end = np.cumsum(list(map(len, raw)))
+        n_a, n_b = np.array(list(map(len, a))), np.array(list(map(len, b)))
+        if spelled and n_a.all() and n_b.all():
+            a_ids, b_ids = np.array(a_all), np.array(b_all)
+            a_end, b_end = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
+            spelled = all((end[np.cumsum(n) - 1] == part_end).all() for end, n in ((a_end, n_a), (b_end, n_b)))
+        if not spelled:
+            spells = [all(b"".join(map(x.__getitem__, ids)) == r for x, ids in ((self.a_bytes, i), (self.b_bytes, j))) for r, i, j in zip(raw, a, b, strict=True)]
+            self.update((p, None) for p, ok in zip(parts, spells, strict=True) if not ok)
+            if any(spells):
+                self.learn([p for p, ok in zip(parts, spells, strict=True) if ok])
+            return
+        # Ends of both sides, ascending; a place where both end stands there twice.
+        both = np.sort(np.concatenate((a_end, b_end)))
+        again = np.concatenate((both[1:] == both[:-1], [False]))
+        shared, ends = both[again], both[~again]
+        links = (a_ids[np.searchsorted(a_end, ends)] * self.n_b + b_ids[np.searchsorted(b_end, ends)]).astype(link_type(self.n_pairs))
+        # Side by side within its group stands what a token is written as.
+        a_group, b_group = np.searchsorted(shared, a_end), np.searchsorted(shared, b_end)
+        a_before = np.concatenate(([0], np.searchsorted(a_end, shared, "right")))
+        b_before = np.concatenate(([0], np.searchsorted(b_end, shared, "right")))
+        written = np.empty(len(a_ids) + len(b_ids), dtype=object)
+        a_place = np.arange(len(a_ids)) + b_before[a_group]
+        b_place = np.arange(len(b_ids)) + a_before[b_group + 1]
+        written[a_place] = self.shown[2 * a_ids + (a_end == shared[a_group])]
+        written[b_place] = self.shown[2 * (len(self.a_bytes) + b_ids) + (b_end == shared[b_group])]
+        shown = written.tolist()
+        raw_links, width = links.tobytes(), links.itemsize
+        link_end, group_end = (np.searchsorted(x, part_end, "right").tolist() for x in (ends, shared))
+        at = link = group = 0
+        for part, x, y, k, g in zip(parts, n_a.tolist(), n_b.tolist(), link_end, group_end, strict=True):
+            text = "".join(shown[at : at + x + y])[:-1]
+            self[part] = (x, y, g - group, raw_links[link * width : k * width], text)
+            at, link, group = at + x + y, k, g
+
+    def documents(self, texts: list[str]) -> list[tuple[int, int, int, bytes, str]]:
+        """Of each text: tokens of both, groups, links and the groups' hash."""
+        split = [packing._parts(t) if self.cuts else (t, []) for t in texts]
+        asked = {p for text, (head, rest) in zip(texts, split, strict=True) if text for p in (head, *rest)}
+        if len(self) + len(asked) > REMEMBERED:
+            self.clear()
+        missing = [p for p in asked if p not in self]
+        for i in range(0, len(missing), LEARNT_AT_A_TIME):
+            self.learn(missing[i : i + LEARNT_AT_A_TIME])
+        out = []
+        for text, (head, rest) in zip(texts, split, strict=True):
+            found = [self[head], *map(self.__getitem__, rest)] if text else [None]
+            if None in found:
+                out.append((0, 0, 0, b"", ""))
             else:
-                j += 1
-                b_end += len(b_bytes[j])
-        return len(a), len(b), len(groups), np.array(links, "<i8").tobytes(), ";".join(groups)
-
-    def document(self, text: str) -> tuple[int, int, int, bytes, str]:
-        """Tokens of both, groups, links and the groups' hash."""
-        nothing = (0, 0, 0, b"", "")
-        if not text:
-            return nothing
-        if self.cuts:
-            head, rest = packing._parts(text)
-            found = [self[head], *map(self.__getitem__, rest)]
-        else:
-            found = [self[text]]
-        if None in found:
-            return nothing
-        a, b, n, links, groups = zip(*found, strict=True)
-        return sum(a), sum(b), sum(n), b"".join(links), hashlib.sha256(";".join(groups).encode()).hexdigest()
+                a, b, n, links, groups = zip(*found, strict=True)
+                digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+                out.append((sum(a), sum(b), sum(n), b"".join(links), digest))
+        for p in missing:
+            if len(p) > LONGEST_REMEMBERED:
+                del self[p]
+        return out
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
+def link_type(n_pairs: int) -> str:
+    return "<u4" if n_pairs < 1 << 32 else "<i8"
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays of one length as one zstd block, byte planes apart."""
     planes = [np.ascontiguousarray(x, dtype="<i8").view("u1").reshape(-1, 8).T for x in arrays]
@@ -151,6 +177,7 @@ def unpacked(block: bytes, n_arrays: int) -> list[np.ndarray]:
 
 
 DOC_FIELDS = ("doc_id", "n_a", "n_b", "n_groups", "n_links")
+_DOC_NAMES, _N_LINKS = (*DOC_FIELDS, "groups_sha256"), 4
 _DOC_TYPE = pa.struct([*((n, pa.int64()) for n in DOC_FIELDS), ("groups_sha256", pa.string())])
 RUN_SCHEMA = pa.schema(
     [("run", pa.int64()), ("bucket", pa.int32()), ("heads", pa.binary()), ("tails", pa.binary()), ("docs", pa.list_(_DOC_TYPE))]
@@ -172,15 +199,19 @@ class Run:
 
     def __init__(self, n_b: int, n_pairs: int, buckets: int) -> None:
         self.n_b, self.n_pairs, self.buckets = n_b, n_pairs, buckets
+        self.link_type = link_type(n_pairs)
+        self.width = np.dtype(self.link_type).itemsize
         self.docs: list[tuple] = []
         self.records: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
     def add(self, docs: list[tuple], links: list[bytes]) -> None:
         """``docs``: rows as in ``DOC_FIELDS`` and the hash; ``links``: pairs of each."""
-        own = np.frombuffer(b"".join(links), "<i8")
-        ordinal = np.repeat(np.arange(len(self.docs), len(self.docs) + len(docs)), [len(x) // 8 for x in links])
-        found, times = np.unique(ordinal * self.n_pairs + own, return_counts=True)
+        own = np.frombuffer(b"".join(links), self.link_type)
+        ordinal = np.repeat(np.arange(len(self.docs), len(self.docs) + len(docs)), [d[_N_LINKS] for d in docs])
+        every = np.sort(ordinal * self.n_pairs + own)
+        first = np.flatnonzero(np.concatenate((np.ones(min(len(every), 1), dtype=bool), every[1:] != every[:-1])))
+        found, times = every[first], np.diff(first, append=len(every))
         self.docs += docs
         self.records.append((found, times))
         self.size += len(found)
@@ -202,8 +233,9 @@ class Run:
         ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
         begin = 0
         for end in ends.tolist() if len(bucket) else ():
-            pairs, n = np.unique(pair[begin:end], return_counts=True)
-            heads = packed(np.diff(pairs, prepend=0), n)
+            own = pair[begin:end]
+            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            heads = packed(np.diff(own[first], prepend=0), np.diff(first, append=len(own)))
             tails = packed(np.diff(ordinal[begin:end], prepend=0), times[begin:end])
             rows.append((run, int(bucket[begin]), heads, tails, None))
             begin = end
@@ -212,9 +244,6 @@ class Run:
             yield record_batch([[x] for x in row], RUN_SCHEMA)
 
 
-_DOC_NAMES = (*DOC_FIELDS, "groups_sha256")
-
-
 def bucket_of(first_id: np.ndarray, buckets: int) -> np.ndarray:
     return ((first_id * 2_654_435_761) >> 16) % buckets
 
@@ -228,12 +257,10 @@ def spill(docs: DataFrame, byte_level: str, pieces: str, buckets: int) -> DataFr
         number = TaskContext.get().partitionId() << 32
         now = Run(aligner.n_b, aligner.n_pairs, buckets)
         for batch in slices(batches, 200):
-            rows, links = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                a, b, n_groups, own, groups = aligner.document(text)
-                rows.append((doc_id, a, b, n_groups, len(own) // 8, groups))
-                links.append(own)
-            now.add(rows, links)
+            found = aligner.documents(batch.column(1).to_pylist())
+            ids = batch.column(0).to_pylist()
+            rows = [(d, a, b, n, len(own) // now.width, groups) for d, (a, b, n, own, groups) in zip(ids, found, strict=True)]
+            now.add(rows, [x[3] for x in found])
             if now.full():
                 yield from now.spilled(number)
                 number += 1

@@ -110,8 +110,8 @@ def test_many_small_runs_count_like_one(frame, plain_rows, libraries, monkeypatc
         aligner, rows = ta.Aligner(a, b), []
         for n, row in enumerate(docs.select("doc_id", "text").collect()):
             run = ta.Run(aligner.n_b, aligner.n_pairs, buckets)
-            *counts, links, digest = aligner.document(row.text)
-            run.add([(row.doc_id, *counts, len(links) // 8, digest)], [links])
+            ((*counts, links, digest),) = aligner.documents([row.text])
+            run.add([(row.doc_id, *counts, len(links) // run.width, digest)], [links])
             rows += [r for batch in run.spilled(n) for r in batch.to_pylist()]
         return docs.sparkSession.createDataFrame(rows, ta.RUN_DDL)
 
@@ -123,10 +123,11 @@ def test_random_texts_are_cut_as_by_the_libraries(libraries):
     rng = random.Random(7)
     marks = list("abcXYZ019 .,!'-\n\t\r") + ["  ", " '", " ", "　", "é", "ß", "漢", "\U0001f600", "\x1c", "\x85", " ", "́", "'s", "<s>", "​"]
     aligner = ta.Aligner(BPE, PIECES)
-    for _ in range(4000):
-        text = "".join(rng.choice(marks) for _ in range(rng.randrange(1, 30)))
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
+    found = [x for i in range(0, 4000, 500) for x in aligner.documents(texts[i : i + 500])]
+    for text, own in zip(texts, found, strict=True):
         a, _, b, _ = spelled(text, libraries)
-        assert aligner.document(text)[:2] == (len(a), len(b)), repr(text)
+        assert own[:2] == (len(a), len(b)), repr(text)
         ids = [int(x) for g in ";".join(p[4] for p in _parts(aligner, text)).split(";") if g for x in g.split("|")[0].split(",")]
         assert not a or ids == a
 
