@@ -14,17 +14,22 @@ from jobtide.functions.sections import (
     with_blocks,
     with_requirement_section,
 )
-from jobtide.functions.text import HIDDEN_LT, INVISIBLE, RESERVED, plain_text, replace_each, strip, with_computed
+from jobtide.functions.text import CUT, HIDDEN_LT, INVISIBLE, RESERVED, plain_text, replace_each, strip, with_computed
 
 _SELECTOR = re.compile(r"^([a-z][a-z0-9]*)(?:\.([\w-]+)|#([\w-]+)|\[([\w-]+)='([^']*)'\])?$")
 
 
-# What an opening tag may hold after its name; ">" may stand in quotes.
-_REST = r"""(?:"[^"]*+"|'[^']*+'|[^>"'])*"""
+# The rest of an opening tag; ">" may stand in quotes.  Possessive loops take a tag of any length
+# without going deeper for each of its characters.
+_PART = r"""(?:"[^"]*+"|'[^']*+'|[^>"'])"""
+_REST = rf"{_PART}*+>"
 
 
 def selector_pattern(selector: str) -> tuple[str, str]:
-    """``(tag, opening-tag pattern)`` of ``tag``, ``tag.class``, ``tag#id`` or ``tag[attr='v']``."""
+    """``(tag, opening-tag pattern)`` of ``tag``, ``tag.class``, ``tag#id`` or ``tag[attr='v']``.
+
+    Of an attribute that stands twice in a tag the first counts.
+    """
     parts = _SELECTOR.match(selector)
     if not parts:
         raise ValueError(f"Unsupported selector: {selector}")
@@ -32,14 +37,16 @@ def selector_pattern(selector: str) -> tuple[str, str]:
     wanted = re.escape(css_class or element_id or value or "")
     bare = rf"{wanted}(?=[\s>])"
     if css_class:
-        one_of = r"""(?:[^{0}]*\s)?{1}(?:\s[^{0}]*)?"""
-        inner = rf"""\sclass\s*=\s*(?:"{one_of.format('"', wanted)}"|'{one_of.format("'", wanted)}'|{bare})"""
+        name = "class"
+        listed = r"""(?:(?!{1}[\s{0}])[^\s{0}]*+\s++)*+{1}(?:\s[^{0}]*+)?+"""
+        values = rf"""(?:"{listed.format('"', wanted)}"|'{listed.format("'", wanted)}'|{bare})"""
     elif element_id or attribute:
         name = "id" if element_id else re.escape(attribute)
-        inner = rf"""\s{name}\s*=\s*(?:"{wanted}"|'{wanted}'|{bare})"""
+        values = rf"""(?:"{wanted}"|'{wanted}'|{bare})"""
     else:
-        return tag, rf"(?i)<{tag}(?:\s{_REST})?>"
-    return tag, rf"(?i)<{tag}\b{_REST}?{inner}{_REST}>"
+        return tag, rf"(?i)<{tag}(?=[\s>]){_REST}"
+    before = rf"(?:(?!\s{name}\s*+=){_PART})*+"
+    return tag, rf"(?i)<{tag}(?=[\s>]){before}\s{name}\s*+=\s*+{values}{_REST}"
 
 
 def with_main_container(
@@ -49,29 +56,26 @@ def with_main_container(
 
     The element ends at the closing tag that balances its opening tag, or at the
     end of the page if it is never closed.  Tags in comments and scripts count for
-    nothing.
+    nothing.  The page is cut once, before every tag that a selector may ask for.
     """
     # A tag that is not one starts with a reserved character until the end.
     plain = F.translate(F.col(html_col), RESERVED, "")
     hidden = replace_each(plain, INVISIBLE, lambda m: F.translate(m, "<", HIDDEN_LT))
-    pages = with_computed(pages, _page=hidden)
-    html = F.col("_page")
-    candidates = []
-    for selector in selectors:
-        tag, pattern = selector_pattern(selector)
-        # From the opening tag to the end of the page; the longest starts first.
-        onward = F.nullif(F.regexp_extract(html, f"{pattern}(?s).*", 0), F.lit(""))
-        candidates.append(
-            F.when(
-                onward.isNotNull(),
-                F.struct(F.length(onward).alias("size"), F.lit(tag).alias("tag"), onward.alias("onward")),
-            )
-        )
-    staged = with_computed(pages, _hit=F.array_max(F.array(*candidates)))
-    rest = F.regexp_replace(F.col("_hit.onward"), f"^<{_REST}>", "")
-    close = F.concat(F.lit("(?i)</"), F.col("_hit.tag"), F.lit(r"\s*>"))
-    opens = F.concat(F.lit("(?i)<"), F.col("_hit.tag"), F.lit(r"[\s>]"))
-    staged = with_computed(staged, _rest=rest, _pieces=F.split(rest, close))
+    patterns = [selector_pattern(s) for s in selectors]
+    tags = "|".join(sorted({tag for tag, _ in patterns}))
+    wanted = r"\A(?:" + "|".join(pattern.removeprefix("(?i)") for _, pattern in patterns) + ")"
+    parts = F.split(hidden, rf"(?i)(?=<(?:{tags})[\s>])", -1)
+    pages = with_computed(pages, _parts=parts)
+    first = F.array_position(F.transform("_parts", lambda p: p.rlike(f"(?i){wanted}")), True)
+    staged = with_computed(pages, _at=F.nullif(F.coalesce(first, F.lit(0)), F.lit(0)).cast("int"))
+    opened = F.try_element_at("_parts", F.col("_at"))
+    inner = F.regexp_replace(opened, rf"(?i)\A<(?:{tags}){_REST}", "")
+    after = F.slice("_parts", F.col("_at") + 1, F.size("_parts"))
+    tag = F.lower(F.regexp_extract(opened, r"\A<(\w+)", 1))
+    close = F.concat(F.lit("(?i)</"), F.col("_tag"), F.lit(r"\s*>"))
+    opens = F.concat(F.lit("(?i)<"), F.col("_tag"), F.lit(r"[\s>]"))
+    staged = with_computed(staged, _tag=tag, _rest=F.concat(inner, F.array_join(after, "")))
+    staged = with_computed(staged, _pieces=F.split("_rest", close))
 
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("last"))
 
@@ -84,12 +88,12 @@ def with_main_container(
         )
 
     staged = staged.withColumn("_last", F.aggregate("_pieces", start, step)["last"])
-    closed = F.array_join(F.slice("_pieces", F.lit(1), F.col("_last")), "\x1f")
-    inner = F.replace(closed, F.lit("\x1f"), F.concat(F.lit("</"), F.col("_hit.tag"), F.lit(">")))
+    closed = F.array_join(F.slice("_pieces", F.lit(1), F.col("_last")), CUT)
+    closed = F.replace(closed, F.lit(CUT), F.concat(F.lit("</"), F.col("_tag"), F.lit(">")))
     # Without a balancing tag every piece belongs to the element.
-    value = F.when(F.col("_last") > 0, inner).otherwise(F.col("_rest"))
+    value = F.when(F.col("_last") > 0, closed).otherwise(F.col("_rest"))
     shown = F.translate(strip(value), HIDDEN_LT, "<")
-    return with_computed(staged, **{out_col: shown}).drop("_page", "_hit", "_rest", "_pieces", "_last")
+    return with_computed(staged, **{out_col: shown}).drop("_parts", "_at", "_tag", "_rest", "_pieces", "_last")
 
 
 def page_text(pages: DataFrame, html_col: str, out_col: str = "plain_text") -> DataFrame:

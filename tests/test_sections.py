@@ -205,3 +205,36 @@ def test_containers(spark, html, expected):
 
     df = spark.createDataFrame([(html,)], "html string")
     assert with_main_container(df, "html", selectors=["div.description"]).first().container == expected
+
+
+@pytest.mark.parametrize(
+    "tag",
+    ["<div" + " a" * 20_000 + ">", "<div " + "x='1' " * 20_000 + ">", "<div class='" + "y " * 20_000 + "'>", "<" * 20_000, "<div " + '"' * 20_001],
+)
+def test_a_tag_of_any_length_costs_no_stack(spark, tag):
+    from jobtide.functions.text import plain_text
+    from jobtide.operators import pages
+
+    df = spark.createDataFrame([(f"{tag}<div class='x description y'>found <b>it</b></div>",)], "html string")
+    found = "found <b>it</b>" if tag.endswith(">") or tag.startswith("<<") else None
+    got = pages.with_main_container(df, "html").first().container
+    assert got == found or found is None
+    assert df.select(plain_text(F.col("html")).alias("t")).first().t is not None
+    for rows in (pages.list_items(df, [], "html"), pages.section_headers(df, [], "html"), pages.text_reduction(df, "html")):
+        rows.collect()
+
+
+def test_attributes_in_other_values_are_none(spark):
+    rows = [
+        ("<div title=' class=\"description\"'>no</div><div class=description>yes</div>", "yes"),
+        ("<div class='a' class='description'>no</div>", None),
+        ("<div class='description-long'>no</div><div class='long description'>yes</div>", "yes"),
+        ("<div class='descriptions'>no</div>", None),
+        ("<DIV\nCLASS = \"description\" id=x>yes<DIV>in</DIV></DIV>no", "yes<DIV>in</div>"),
+        ("<divider class='description'>no</divider>", None),
+    ]
+    df = spark.createDataFrame(rows, "html string, expected string")
+    from jobtide.operators.pages import with_main_container
+
+    got = with_main_container(df, "html", selectors=["div.description"])
+    assert got.filter("NOT (container <=> expected)").collect() == []
