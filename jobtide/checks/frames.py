@@ -15,11 +15,15 @@ from jobtide.operators.requirements import terms_frame
 from jobtide.operators.roles import taxonomy_frame
 from jobtide.operators.upsert import first_per_key, with_load_time
 from jobtide.plans import pipeline
-from jobtide.plans.store import run_stored
+from jobtide.plans.rollups import rolled_up
+from jobtide.plans.store import open_store, run_stored
 from jobtide.schemas import KEY
 from jobtide.session import shared_folder
 from jobtide.sources.landing import timestamp
 
+#: The store of each application and input.
+_STORES: dict[tuple[str, str], str] = {}
+
 
 class Frames:
     """Lazy tables over one folder of given Parquet tables."""
@@ -48,14 +52,28 @@ class Frames:
         return self.spark.sql(sql.replace(f"FROM {source}", f"FROM {view}"))
 
     @cached_property
+    def store_folder(self) -> str:
+        """A store that took the postings in two batches, of half of the keys and of all, the second one twice.
+
+        One store per application and input: it is written to the shared folder, and questions read it there.
+        """
+        place = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if place not in _STORES:
+            folder = f"{shared_folder(self.spark)}/store-{uuid4().hex}"
+            half = F.pmod(F.xxhash64("source_job_id"), F.lit(2)) == 0
+            for batch, part in (("half", half), ("all", F.lit(True)), ("all", F.lit(True))):
+                postings, descriptions = self.postings.filter(part), self.descriptions.filter(part)
+                run_stored(self.spark, folder, postings, descriptions, X.ROLES, X.TERMS, X.AS_OF, batch=batch)
+            _STORES[place] = folder
+        return _STORES[place]
+
+    @property
     def stored(self) -> dict[str, DataFrame]:
-        """The tables after the stored pipeline took the same batch twice."""
-        folder = f"{shared_folder(self.spark)}/store-{uuid4().hex}"
-        for _ in range(2):
-            tables = run_stored(
-                self.spark, folder, self.postings, self.descriptions, X.ROLES, X.TERMS, X.AS_OF
-            )
-        return tables
+        """The tables of that store."""
+        return open_store(self.spark, self.store_folder).tables()
+
+    def rolled_up(self, name: str) -> DataFrame:
+        return rolled_up(self.spark, self.store_folder, name)
 
     @cached_property
     def postings(self) -> DataFrame:

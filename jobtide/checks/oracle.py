@@ -631,8 +631,30 @@ ORACLE_SQL: dict[str, str] = {
     + f"""SELECT source, source_job_id, job_title FROM meta_roles WHERE match_method = '{V.NO_MATCH}'
         ORDER BY md5('42:' || source || ':' || source_job_id), source, source_job_id LIMIT 20""",
 }
-ORACLE_SQL["init_catalog"] = """SELECT unnest(['jobs_raw', 'descriptions_raw', 'jobs', 'job_requirements']) AS table_name,
-    0 AS n_rows"""
+ORACLE_SQL["init_catalog"] = with_("jobs_raw", "descriptions", "jobs", "requirements") + """
+    SELECT 'jobs_raw' AS table_name, count(*) AS n_rows FROM jobs_raw
+    UNION ALL SELECT 'descriptions_raw', count(*) FROM descriptions UNION ALL SELECT 'jobs', count(*) FROM jobs
+    UNION ALL SELECT 'job_requirements', count(*) FROM requirements"""
+ORACLE_SQL |= {
+    f"rolled_up_{name}": ORACLE_SQL[whole]
+    for name, whole in {
+        "months": "postings_by_month",
+        "first_fetch": "first_fetch",
+        "roles": "role_distribution",
+        "match_methods": "match_method_distribution",
+        "mapped_months": "mapped_by_month",
+        "seniority": "seniority_distribution",
+        "tools": "top_tools_by_role",
+        "requiring_tool": "jobs_requiring_tool",
+    }.items()
+}
+ORACLE_SQL["rolled_up_extraction_status"] = (
+    with_("requirements") + "SELECT extraction_status, count(*) AS n FROM requirements GROUP BY 1"
+)
+ORACLE_SQL["ingest_counts"] = ORACLE_SQL["ingest_metrics"]
+ORACLE_SQL["quarantined_rows"] = with_("postings") + """
+    SELECT 'source_job_id not null' AS broken_rule, count(*) AS n_rows, CAST(sum(seq) AS BIGINT) AS seq_sum
+    FROM postings WHERE redirect_url IS NULL HAVING count(*) > 0"""
 ORACLE_SQL["stored_jobs"] = ORACLE_SQL["curated_jobs"]
 ORACLE_SQL["stored_requirements"] = ORACLE_SQL["job_requirements"]
 ORACLE_SQL["stored_top_tools"] = ORACLE_SQL["top_tools_by_role"]

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from jobtide.checks import fixtures as X
 from jobtide.checks.frames import Frames
-from jobtide.fixed_values import DESCRIPTION_SELECTORS, NO_MATCH
+from jobtide.fixed_values import DESCRIPTION_SELECTORS, NO_MATCH, TECHNICAL_TOOL
 from jobtide.functions import requirements as req
 from jobtide.functions import sections, titles
 from jobtide.functions.text import normalize_text
 from jobtide.operators import analytics, pages, postings, roles, upsert
 from jobtide.operators import requirements as requirement_ops
 from jobtide.operators.items import requirement_items
-from jobtide.plans import store
+from jobtide.plans import ingest, store
 from jobtide.schemas import JOBS_RAW, KEY, TABLES
 from jobtide.session import shared_folder
 from jobtide.sources import tables
@@ -120,13 +120,35 @@ def _stream(f: Frames) -> DataFrame:
 
 
 def _init_catalog(f: Frames) -> DataFrame:
-    """Tables created twice, in the catalog and in a folder, and how many rows they hold."""
+    """A filled store made known to the catalog, twice, and how many rows its tables hold there."""
     name = f"store_{uuid4().hex}"
     for _ in range(2):
-        store.register_store(f.spark, f"{shared_folder(f.spark)}/{name}", name)
+        store.register_store(f.spark, f.store_folder, name)
     return tables.table_counts({t: f.spark.table(f"`{name}`.`{t}`") for t in TABLES})
 
 
+def _ingested(f: Frames, rows: DataFrame, landed: DataFrame | None = None, payload: str | None = None):
+    """The counts of a write into a new store, which holds the keys of ``landed`` already; and the store."""
+    opened = store.open_store(f.spark, f"{shared_folder(f.spark)}/store-{uuid4().hex}")
+    if landed is not None:
+        opened.add("descriptions_raw", landed.select(*KEY, "redirect_url"), "landed", X.AS_OF, ["redirect_url"])
+    added = opened.add("descriptions_raw", rows, "next", X.AS_OF, ["redirect_url"], payload)
+    return added.counts, opened
+
+
+def _ingest_counts(f: Frames) -> DataFrame:
+    counts, _ = _ingested(f, f.descriptions, f.landed, "html_description")
+    names = ("candidates", "missed", "already_present", "inserted")
+    return f.spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+def _quarantined(f: Frames) -> DataFrame:
+    _, opened = _ingested(f, _description_batch(f))
+    broken = ingest.quarantined(f.spark, opened.folder, "descriptions_raw")
+    brought = F.get_json_object("brought", "$.seq").cast("long")
+    return broken.groupBy("broken_rule").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(brought).alias("seq_sum"))
+
+
 def _metrics(f: Frames) -> DataFrame:
     return upsert.ingest_metrics(f.descriptions, f.landed, "html_description")
 
@@ -175,6 +197,19 @@ QUERIES: dict[str, Query] = {
     "stored_top_tools": lambda f: analytics.top_tools_by_role(
         requirement_items(f.stored["job_requirements"]), f.stored["jobs"]
     ),
+    # answers kept up to date by batch
+    "rolled_up_months": lambda f: _months(f.rolled_up("postings_by_month").drop("first_fetch")),
+    "rolled_up_first_fetch": lambda f: _texts(
+        f.rolled_up("postings_by_month").agg(F.min("first_fetch").alias("first_fetch")), "first_fetch"
+    ),
+    "rolled_up_roles": lambda f: f.rolled_up("role_distribution"),
+    "rolled_up_match_methods": lambda f: f.rolled_up("match_method_distribution"),
+    "rolled_up_mapped_months": lambda f: f.rolled_up("mapped_by_month"),
+    "rolled_up_extraction_status": lambda f: f.rolled_up("extraction_status_counts"),
+    "rolled_up_seniority": lambda f: f.rolled_up("seniority_distribution"),
+    "rolled_up_tools": lambda f: f.rolled_up("items_by_role").filter(F.col("item_type") == TECHNICAL_TOOL)
+    .select("role_title", F.col("item").alias("tool"), F.col("n_items").alias("n_jobs")),
+    "rolled_up_requiring_tool": lambda f: f.rolled_up("tools_required").filter("item = 'python'").drop("item"),
     # landing
     "land_postings": _land,
     "search_tasks": lambda f: postings.landed_per_task(f.taxonomy, f.postings),
@@ -191,6 +226,8 @@ QUERIES: dict[str, Query] = {
     "table_counts": lambda f: tables.table_counts(_base_tables(f)),
     "catalog_overview": _catalog,
     "ingest_metrics": _metrics,
+    "ingest_counts": _ingest_counts,
+    "quarantined_rows": _quarantined,
     "stream_ingest_keys": _stream,
     # postings and joins
     "posting_metadata": lambda f: _texts(postings.posting_metadata(f.jobs_raw, f.descriptions), "posted_at"),

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from jobtide.functions.text import valid_json
 from jobtide.schemas import DEFAULT_TIME, KEY, TABLES, required_columns
+from jobtide.session import shared_folder
+from jobtide.sources.keyed import held_keys
 from jobtide.sources.landing import timestamp
 
 # A batch of at most this many keys is sent to every executor rather than
@@ -127,8 +129,16 @@ UPSERTS = {
 def new_rows(
     batch: DataFrame, target: DataFrame, table: str, as_of: datetime | Column, arrival: Sequence[str]
 ) -> DataFrame:
-    """What a batch adds to a base table: checked, in the table's types, first of its key."""
-    return UPSERTS[table](batch, target, as_of, arrival, has_few_keys(batch))
+    """What a batch adds to a base table: checked, in the table's types, first of its key.
+
+    The batch is computed once, to the checkpoint folder; of the target, the files are read
+    that may hold keys of a small batch.
+    """
+    spark = batch.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    batch = batch.checkpoint()
+    return UPSERTS[table](batch, held_keys(batch, target), as_of, arrival)
 
 
 def append_new_rows(

@@ -1,47 +1,84 @@
 """The pipeline with its results stored: land, curate, extract, each into its table.
 
-A table is a folder of Parquet files.  Every step reads what the step before has
-stored, so nothing is computed twice, and appends through the table's checked
-builder, so a run that is repeated adds nothing.
+A store is a folder of base tables, bucketed alike on their key (``sources/keyed.py``), with
+rollups of what each batch has added.  Every step reads what the step before has stored, so
+nothing is computed twice, and a batch that is repeated adds nothing.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
+from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from jobtide.operators.requirements import Term
 from jobtide.operators.roles import Role
-from jobtide.operators.upsert import append_new_rows
+from jobtide.plans import rollups
+from jobtide.plans.ingest import Added, ingest
 from jobtide.plans.pipeline import curated_jobs, job_requirements
-from jobtide.schemas import TABLES
-from jobtide.sources.tables import read_table
+from jobtide.schemas import KEY, TABLES
+from jobtide.session import drop_folder, folder_exists
+from jobtide.sources import keyed
 
+#: Buckets of a new store; one that is there keeps its own.
+BUCKETS = 16
 
-def open_store(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The base tables under ``folder``; those that are not there yet are created empty."""
-    tables = {}
-    for name, schema in TABLES.items():
-        path = f"{folder}/{name}"
-        try:
-            tables[name] = read_table(spark, name, path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            spark.createDataFrame([], schema).write.parquet(path)
-            tables[name] = read_table(spark, name, path)
-    return tables
 
+@dataclass(frozen=True)
+class Store:
+    """The base tables under ``folder``, known to the catalog as ``database``."""
 
-def register_store(spark: SparkSession, folder: str, database: str) -> None:
-    """Make the stored tables known to the catalog, where they outlive the session."""
-    open_store(spark, folder)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark: SparkSession
+    folder: str
+    database: str
+    buckets: int
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.table(keyed.table_name(self.database, name))
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: self.table(name) for name in TABLES}
+
+    def add(
+        self,
+        table: str,
+        rows: DataFrame,
+        batch: str,
+        as_of: datetime | Column,
+        arrival: Sequence[str],
+        payload: str | None = None,
+    ) -> Added:
+        return ingest(
+            self.spark, self.folder, self.database, table, rows, batch, as_of, arrival, self.buckets, payload
+        )
+
+    def forget(self, batch: str) -> None:
+        """Drop what a finished batch has staged; it can be repeated no more."""
+        drop_folder(self.spark, f"{self.folder}/batches/{batch}")
+
+
+def open_store(spark: SparkSession, folder: str, database: str | None = None, buckets: int = BUCKETS) -> Store:
+    """The store at ``folder``; tables that are not there yet are created empty.
+
+    The number of buckets is written beside the tables, so every session reads them alike.
+    """
+    layout = f"{folder}/layout"
+    if not folder_exists(spark, layout):
+        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("ignore").parquet(layout)
+    buckets = spark.read.schema("buckets int").parquet(layout).first()[0]
+    database = database or "store_" + hashlib.sha256(folder.encode()).hexdigest()[:12]
     for name in TABLES:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` USING parquet LOCATION '{folder}/{name}'")
+        keyed.register(spark, database, name, f"{folder}/{name}", buckets)
+    return Store(spark, folder, database, buckets)
+
+
+def register_store(spark: SparkSession, folder: str, database: str) -> None:
+    """Make the stored tables known to the catalog under a name, where they outlive the session."""
+    open_store(spark, folder, database)
 
 
 def run_stored(
@@ -53,21 +90,40 @@ def run_stored(
     terms: Sequence[Term] | DataFrame,
     as_of: datetime | Column,
     arrival: Sequence[str] = ("seq",),
+    batch: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Store a batch of postings and descriptions and all that follows from it; the tables as they are then."""
-
-    def append(name: str, rows: DataFrame, order: Sequence[str]) -> None:
-        target = open_store(spark, folder)[name]
-        append_new_rows(rows, target, f"{folder}/{name}", name, as_of, list(order))
-
-    append("jobs_raw", postings, arrival)
-    append("descriptions_raw", descriptions, ["redirect_url"])
-    now = open_store(spark, folder)
-    append("jobs", curated_jobs(now["jobs_raw"], now["descriptions_raw"], taxonomy), ["posted_at"])
-    now = open_store(spark, folder)
-    append(
-        "job_requirements",
-        job_requirements(now["jobs"], now["descriptions_raw"], terms, done=now["job_requirements"]),
-        ["error"],
-    )
-    return open_store(spark, folder)
+    """Store a batch of postings and descriptions and all that follows from it; the tables as they are then.
+
+    ``batch`` names it: under a name given before, the batch is repeated and adds nothing.
+    """
+    store, batch = open_store(spark, folder), batch or uuid4().hex
+    added = {
+        "jobs_raw": store.add("jobs_raw", postings, batch, as_of, arrival).rows,
+        "descriptions_raw": store.add("descriptions_raw", descriptions, batch, as_of, ["redirect_url"]).rows,
+    }
+    now = store.tables()
+    todo = now["jobs_raw"].join(now["jobs"].select(*KEY), KEY, "left_anti")  # in place: the buckets are the same
+    jobs = curated_jobs(todo.select(*now["jobs_raw"].columns), now["descriptions_raw"], taxonomy)
+    added["jobs"] = store.add("jobs", jobs, batch, as_of, ["posted_at"]).rows
+    now = store.tables()
+    requirements = job_requirements(now["jobs"], now["descriptions_raw"], terms, done=now["job_requirements"])
+    added["job_requirements"] = store.add("job_requirements", requirements, batch, as_of, ["error"]).rows
+    added["items"] = rollups.added_items(added["job_requirements"], roles_of(store, added))
+    rollups.roll_up(folder, batch, added)
+    return store.tables()
+
+
+def roles_of(store: Store, added: dict[str, DataFrame]) -> DataFrame:
+    """Key and role of the jobs that the added requirements belong to.
+
+    These are jobs of the same batch; only where some are of earlier ones (a batch that was
+    broken off between the two tables) are their keys looked up in the store.
+    """
+    jobs = added["jobs"].select(*KEY, "role_title")
+    older = added["job_requirements"].select(*KEY).join(jobs, KEY, "left_anti")
+    if older.isEmpty():
+        return jobs
+    held = store.table("jobs").select(*KEY, "role_title")
+    ids = keyed.pushed_ids(older)
+    held = held if ids is None else held.filter(held[keyed.ID].isin(ids))
+    return jobs.unionByName(held.join(older, KEY, "left_semi"))

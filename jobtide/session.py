@@ -44,3 +44,20 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="jobtide-")
     spark.conf.set(CHECKPOINT_CONF, folder)
     return folder
+
+
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    """Is there such a folder, on whatever file system it names?"""
+    files, path = _path(spark, folder)
+    return files.exists(path)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder with all tables in it, such as that of a run; one that is not there is no error."""
+    files, path = _path(spark, folder)
+    files.delete(path, True)

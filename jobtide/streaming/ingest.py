@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.operators.upsert import new_rows
-from jobtide.schemas import TABLES
+from jobtide.schemas import KEY, TABLES
+from jobtide.sources.keyed import BLOOM
 
 BATCH = "batch_id"
 
@@ -51,7 +52,9 @@ def ingest_stream(
                 raise
             target = spark.createDataFrame([], schema)
         new = new_rows(prepare(batch), target, table, as_of, arrival)
-        new.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        # Sorted, and with Bloom filters of the ids: a later batch finds its keys without reading all.
+        placed = new.repartition(*KEY).sortWithinPartitions(*KEY)
+        placed.write.options(**BLOOM).mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return (
         rows.writeStream.foreachBatch(write)
