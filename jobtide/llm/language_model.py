@@ -52,7 +52,7 @@ LEVELS = 80
 BITS_PER_ENTRY, PROBES = 12, 6
 TEXT_PER_SLICE, LEAST_SLICES = 2 << 20, 64
 #: Slices that are asked together; fewer where that would leave few groups.
-SLICES_PER_GROUP, LEAST_GROUPS = 16, 16
+SLICES_PER_GROUP, LEAST_GROUPS = 8, 8
 SPREAD, POWER = 2.0, 0.8
 #: Bytes of text in a block, and tokens counted at a time.
 BLOCK_BYTES = 8 << 20
