@@ -28,6 +28,29 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP2 = f"""
+WITH texts AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n,
+        translate(coalesce(text, ''), {SPACES}, '') AS key FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY key) AS group_size,
+    row_number() OVER best = 1 AS kept, sha256(key) AS text_sha256
+FROM texts WINDOW best AS (PARTITION BY key ORDER BY n DESC, doc_id)
+"""
+
+OP8 = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS digest FROM pages
+),
+judged AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS last FROM payloads)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+    CASE WHEN size >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN size >= 1000 AND page_id <> last THEN last END AS refers_to, true AS complete
+FROM judged
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": OP1,
+    "op2_exact_dedup": OP2,
+    "op8_warc": OP8,
 }

@@ -54,7 +54,6 @@ MARK = "\u2581"
 INNER_MARK = "\uf8ff"
 #: Price of a byte above the dearest piece, as in unigram models.
 BYTE_PRICE = 10.0
-MOST_PIECE_CHARS = 16
 MOST_WORD_CHARS = 256
 DISTINCT_AT_A_TIME = 400_000
 TEXT_PER_PARTITION = 4 << 20
@@ -84,6 +83,11 @@ class Vocabulary:
         """All two characters that stand side by side in a piece."""
         return frozenset(p[i : i + 2] for p, _, _ in self.pieces for i in range(len(p) - 1))
 
+    @cached_property
+    def longest(self) -> int:
+        """Characters of the longest piece, which bounds the substrings of a word."""
+        return max((len(p) for p, _, _ in self.pieces), default=1)
+
     @cached_property
     def table(self) -> dict[str, tuple[int, float]]:
         return {p: (i, s) for p, i, s in self.pieces}
@@ -99,7 +103,7 @@ def load_vocabulary(path: str, merges: bool) -> Vocabulary:
         if model.is_byte(i):
             byte_ids[int(piece[3:5], 16)] = i
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-            if len(piece) <= MOST_PIECE_CHARS and INNER_MARK not in piece:
+            if INNER_MARK not in piece:
                 pieces.append((piece, i, float(model.get_score(i))))
     return Vocabulary(tuple(pieces), tuple(byte_ids), merges)
 
@@ -166,7 +170,7 @@ def _merged_ends(line: str, vocabulary: Vocabulary) -> list[int]:
     def offer(start: int) -> tuple[float, int, int, int] | None:
         middle = after[start]
         if middle < n:
-            found = table.get(line[start : after[middle]]) if after[middle] - start <= MOST_PIECE_CHARS else None
+            found = table.get(line[start : after[middle]]) if after[middle] - start <= vocabulary.longest else None
             if found:
                 return -found[1], start, middle, after[middle]
         return None
@@ -206,7 +210,7 @@ def _best_ends(line: str, vocabulary: Vocabulary) -> list[int]:
 
     for end in range(1, n + 1):
         arriving = []
-        for start in range(max(0, end - MOST_PIECE_CHARS), end):
+        for start in range(max(0, end - vocabulary.longest), end):
             found = table.get(line[start:end])
             if found:
                 arriving.append((best[start][0] - -found[1], start))
@@ -271,7 +275,7 @@ def edges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFr
         F.sequence(F.lit(1), F.length(raw), F.lit(2)),
         lambda i: F.element_at(byte_ids, F.conv(F.substring(raw, i, F.lit(2)), 16, 10).cast("int") + 1),
     )
-    longest = F.least(F.lit(MOST_PIECE_CHARS), F.length("line") - F.col("at") + 1)
+    longest = F.least(F.lit(vocabulary.longest), F.length("line") - F.col("at") + 1)
     spans = (
         words.withColumn("line", line)
         # A long part has one row, and no lattice.
@@ -376,7 +380,8 @@ def decoded(ids: Column, lead: Column, vocabulary: Vocabulary) -> Column:
 
 def _blocks(docs: DataFrame, size: int) -> DataFrame:
     n = max(1, -(-size // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block")
+    # Equal rows are dealt apart as well, by where they are read.
+    block = F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n)).alias("block")
     return texts_of(docs).select(block, "doc_id", "text").repartition("block")
 
 
@@ -416,9 +421,9 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     # All columns, so that questions and encodings read the same shuffled texts.
     asked = blocks.mapInArrow(ask, "block long, word string, lead boolean")
     asked = asked.repartition(-(-size // TEXT_PER_PARTITION) or 1, "word", "lead")
-    # A word remembers who asked: at most every block.
-    encoded = encode_words(asked.groupBy("word", "lead").agg(F.collect_set("block").alias("n")), vocabulary)
-    answers = encoded.select(F.explode("n").alias("block"), "word", "lead", "ids")
+    # Each word is encoded once, where its questions are; those who asked meet the ids afterwards, in the same place.
+    encoded = encode_words(asked.groupBy("word", "lead").agg(F.count(F.lit(1)).alias("n")), vocabulary)
+    answers = asked.join(encoded.drop("n"), ["word", "lead"]).select("block", "word", "lead", "ids")
     shown = _shown(vocabulary)
     fields = [("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32()))]
     schema = pa.schema([*fields, ("ids_crc32", pa.int64()), ("decoded_sha256", pa.string())])

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm.common import lower_ascii
+from jobtide.llm.labelled_urls import labelled_urls as labelled_rows
 
 #: host and path of each rule, and what it says.
 RULES = {
@@ -28,24 +29,6 @@ RULES = {
     "org/fr/": "allow",
 }
 
-#: The labelled table: names of hosts one would block and one would keep.
-BLOCKED_NAMES = """
-    adult-video ads-network ads-track adult-x bet-now best-casino big-bets casino-win casino-royal cheap-loans cheap-meds
-    cheap-pills click-farm click-track diet-pills easy-loans fast-pills free-bets free-casino free-spins hot-adult
-    hot-singles instant-win jackpot-win link-farm lottery-win lucky-casino mega-spam online-bets online-casino
-    payday-loans pills-online poker-win porn-tube promo-spam sex-cams slots-win spam-farm spam-mail track-ads
-    viagra-shop win-big xxx-tube adult-chat casino-bets
-""".split()
-KEPT_NAMES = """
-    archive astronomy bakery botany bridge cathedral chemistry children city-hall college concert cooking council
-    dictionary earth eastern engineering father festival forest garden gathering geology harbour heron history
-    hospital journal kitchen language library lighthouse literature mathematics meadow mother mountain museum nation
-    nature northern observatory ocean orchestra other painting philosophy poetry press railway research river school
-    science society southern station textile theatre theory thesis thinking thread threshold together tradition
-    translation university village weather western whether winter within without writing
-""".split()
-HOSTS = ("{}.example.com", "www.{}.example.org", "blog.{}.example.net")
-PATHS = ("/en/{}", "/de/{}.html", "/fr/{}/", "/es/{}")
 GRAMS = (3, 4)
 BUCKETS = 1 << 14
 
@@ -69,14 +52,8 @@ def rule_of(host: str = "host", path: str = "path", rules: dict[str, str] | None
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """``host, path, label``: every name under each kind of host, with paths dealt in turn."""
-    rows = []
-    for label, names in ((1.0, BLOCKED_NAMES), (0.0, KEPT_NAMES)):
-        for i, name in enumerate(names):
-            for j, host in enumerate(HOSTS):
-                rows.append((host.format(name), PATHS[(i + j) % len(PATHS)].format(37 * i + j), label))
-    listed = F.array(*(F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(y).alias("label")) for h, p, y in rows))
-    return spark.range(1).select(F.inline(listed))
+    """``name, host, path, label`` of the labelled table."""
+    return spark.createDataFrame(labelled_rows(), "name string, host string, path string, label double")
 
 
 def with_features(urls: DataFrame) -> DataFrame:
@@ -95,7 +72,7 @@ def with_features(urls: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame) -> LogisticRegressionModel:
     """``labelled``: ``host, path, label`` (1: block)."""
-    fitted = LogisticRegression(maxIter=100, regParam=0.01, standardization=False, probabilityCol="probability")
+    fitted = LogisticRegression(maxIter=100, regParam=0.0003, standardization=False, probabilityCol="probability")
     return fitted.fit(with_features(labelled).select("features", "label").coalesce(1))
 
 
