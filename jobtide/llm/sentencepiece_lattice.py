@@ -422,7 +422,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     asked = blocks.mapInArrow(ask, "block long, word string, lead boolean")
     asked = asked.repartition(-(-size // TEXT_PER_PARTITION) or 1, "word", "lead")
     # Each word is encoded once, where its questions are; those who asked meet the ids afterwards, in the same place.
-    encoded = encode_words(asked.groupBy("word", "lead").agg(F.count(F.lit(1)).alias("n")), vocabulary)
+    encoded = encode_words(asked.groupBy("word", "lead").agg(F.count("block").alias("n")), vocabulary)
     answers = asked.join(encoded.drop("n"), ["word", "lead"]).select("block", "word", "lead", "ids")
     shown = _shown(vocabulary)
     fields = [("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32()))]

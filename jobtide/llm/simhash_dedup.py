@@ -13,6 +13,11 @@ but a few bits has few distinct fingerprints.  Within a key, rows are linked by
 a spanning forest of the close pairs instead of all pairs: the components, which
 are what is asked for, are the same.
 
+``without_near_duplicates`` cleans a corpus by the same search, with parameters of its own:
+fingerprints over the set of words find candidates, which must share four fifths of their
+shingles of five words to be linked.  With judged links a spanning forest is not enough, as
+the links it leaves out may be the true ones, so each text also meets its closest under every key.
+
 Defined cases: a null text is empty; a text without words has fingerprint zero,
 which links like any other.  Rows without ``doc_id`` are linked, but lend no
 name; a component of such rows alone has a null name.  Repeated rows share a
@@ -26,8 +31,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide.llm.common import kept, record_batch, slices, texts_of
 from jobtide.llm.components import components
@@ -123,7 +129,18 @@ def _forest(members: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
                 yield from ((int(root), int(x)) for x in found)
 
 
-def _link_runs(radius: int):
+def _nearest(members: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
+    """Of every distinct fingerprint the closest other one, if it is within the radius."""
+    for at in range(0, len(members), 256):
+        apart = np.bitwise_count(members[at : at + 256, None] ^ members[None, :])
+        rows = np.arange(len(apart))
+        apart[rows, at + rows] = 255
+        best = apart.argmin(axis=1)
+        for i in np.flatnonzero(apart[rows, best] <= radius).tolist():
+            yield int(members[at + i]), int(members[best[i]])
+
+
+def _link_runs(radius: int, nearest: bool = False):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +156,10 @@ def _link_runs(radius: int):
             ones = np.add.reduceat(hit, starts) if len(rows) else hit
             size = ends - starts
             useful = (size > 1) & ((wild[starts] == 0) | ((ones > 0) & (ones < size)))
-            pairs = [p for a, z in zip(starts[useful], ends[useful], strict=True) for p in _forest(fp[a:z], radius)]
+            runs = list(zip(starts[useful].tolist(), ends[useful].tolist(), strict=True))
+            pairs = [p for a, z in runs for p in _forest(fp[a:z], radius)]
+            if nearest:
+                pairs += [p for a, z in runs if z - a > 2 for p in _nearest(fp[a:z], radius)]
             found = np.array(pairs, dtype=np.uint64).reshape(-1, 2).view(np.int64)
             return record_batch([found[:, 0], found[:, 1]], schema)
 
@@ -159,10 +179,11 @@ def _link_runs(radius: int):
     return link
 
 
-def close_links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE) -> DataFrame:
+def close_links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE, nearest: bool = False) -> DataFrame:
     """``a, b``: links that join the same fingerprints as all pairs within the radius would.
 
-    ``nodes``: distinct fingerprints in ``fp``.
+    ``nodes``: distinct fingerprints in ``fp``.  With ``nearest`` there is also, under every key, a
+    link from each fingerprint to its closest one: what to ask for if links are judged afterwards.
     """
     index = _indexed(nodes, segment_keys(radius))
     rest = {(_signed(m), _signed(w)): r for m, w, r in segment_keys(radius)}
@@ -175,7 +196,7 @@ def close_links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE) -> D
         last = hot is None or hot.isEmpty()
         calm = index if last else index.join(hot, key, "left_anti")
         links = kept(
-            calm.repartition(*key).sortWithinPartitions(*key).mapInArrow(_link_runs(radius), "a long, b long").distinct()
+            calm.repartition(*key).sortWithinPartitions(*key).mapInArrow(_link_runs(radius, nearest), "a long, b long").distinct()
         )
         found = links if found is None else found.union(links)
         if last:
@@ -213,3 +234,126 @@ def near_classes(docs: DataFrame, words: int = 3, radius: int = RADIUS, dense: i
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     classes = named.join(smallest, "label").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+#: Near duplicates of a corpus: words per shingle, the least share of shingles in common, and the bits in which
+#: fingerprints over the sets of words may differ to be looked at.
+GROUP_WORDS, SIMILARITY, GROUP_RADIUS = 5, 0.8, 7
+
+
+def shingle_set(text: str, words: int = GROUP_WORDS) -> tuple[int, np.ndarray]:
+    """A fingerprint over the set of words, and the ascending hashes of the distinct shingles."""
+    found = text.encode().lower().split()
+    if not found:
+        return 0, np.zeros(0, dtype=np.uint64)
+    digest = xxhash.xxh64_intdigest
+    each = np.unique(np.array([digest(w, SEED) for w in set(found)], dtype=np.uint64))
+    votes = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(each), 1 << 16):
+        part = each[at : at + (1 << 16)]
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    fp = int(np.packbits(votes * 2 > len(each), bitorder="little").view(np.uint64)[0])
+    n = max(1, len(found) - words + 1)
+    hashes = np.array([digest(b" ".join(found[i : i + words]), SEED) for i in range(n)], dtype=np.uint64)
+    hashes.sort()
+    return fp, hashes[np.concatenate(([True], hashes[1:] != hashes[:-1]))]
+
+
+def node_of(shingles: np.ndarray) -> int:
+    """One number for texts with the same shingles, signed."""
+    return int(np.array([xxhash.xxh3_64_intdigest(shingles.tobytes(), SEED)], dtype=np.uint64).view(np.int64)[0])
+
+
+def shared_part(a: bytes, b: bytes) -> float:
+    """Of the shingles of two texts, the share that both have; texts without any are alike."""
+    if not (a or b):
+        return 1.0
+    both = np.sort(np.concatenate((np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64))))
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared / (len(both) - shared)
+
+
+def without_near_duplicates(
+    docs: DataFrame,
+    words: int = GROUP_WORDS,
+    similarity: float = SIMILARITY,
+    radius: int = GROUP_RADIUS,
+    dense: int = DENSE,
+) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns; texts are as they were.
+
+    Texts are linked if the fingerprints over their words are within the radius, found by
+    deletion-variant signatures, and they share ``similarity`` of their shingles.  Groups are
+    what links connect.  Of a group the smallest ``doc_id`` stays; rows without one come last,
+    and of rows with one id, or without, the smallest text.  Texts with the same set of shingles
+    are one group, whatever their ids; so are empty and null texts.
+    """
+    prints_schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("fp", pa.int64()), ("size", pa.int64())])
+    sets_schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, np.ndarray]]]]:
+        for batch in slices(batches):
+            yield batch, [shingle_set(t, words) for t in batch.column("text").to_pylist()]
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in each(batches):
+            fps = np.array([fp for fp, _ in found], dtype=np.uint64).view(np.int64)
+            columns = [batch.column("doc_id"), [node_of(x) for _, x in found], fps, [len(x) for _, x in found]]
+            yield record_batch(columns, prints_schema)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, found in each(batches):
+            yield record_batch([[node_of(x) for _, x in found], [x.tobytes() for _, x in found]], sets_schema)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(c).to_pylist() for c in ("a_shingles", "b_shingles"))
+            near = pa.array([shared_part(x, y) >= similarity for x, y in zip(a, b, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(near)
+
+    texts = texts_of(docs)
+    found = kept(texts.mapInArrow(prints, "doc_id long, node long, fp long, size long"))
+    nodes = kept(found.groupBy("node").agg(F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("doc_id").alias("first_id")))
+    pairs = kept(_node_pairs(nodes, close_links(nodes.select("fp").distinct(), radius, dense, nearest=True)))
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    known = texts.mapInArrow(sets, "node long, shingles binary").join(asked, "node", "left_semi")
+    known = kept(known.dropDuplicates(["node"]))
+    side = lambda c: known.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_shingles"))
+    links = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(judged, "a long, b long")
+    labels = components(kept(links))
+    named = nodes.join(labels, nodes.node == labels.node, "left").select(
+        nodes.node, "first_id", F.coalesce("label", nodes.node).alias("label")
+    )
+    # Of each group the node with the smallest id; ids are missing only where no row of the group has one.
+    first = named.groupBy("label").agg(F.min(F.struct(F.col("first_id").isNull().alias("lacks"), "first_id", "node")).alias("f"))
+    stay = first.select(F.col("f.node").alias("_node"))
+    names = docs.columns
+    order = Window.partitionBy("_node").orderBy(F.asc_nulls_last("doc_id"), F.asc_nulls_last("text"))
+
+    def noted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            own = [node_of(shingle_set(t or "", words)[1]) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int64())], names=[*names, "_node"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType())])
+    rows = docs.mapInArrow(noted, schema).join(stay, "_node", "left_semi")
+    return rows.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").select(*names)
+
+
+def _node_pairs(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``a, b``: nodes to compare, for links of fingerprints and for nodes that share one.
+
+    Nodes that share a fingerprint are ranked by size, and meet their neighbours in rank; across a
+    link, ranks meet: so many pairs as nodes, not all of both sides.
+    """
+    order = Window.partitionBy("fp").orderBy("size", "node")
+    ranked = nodes.select("fp", "node", F.row_number().over(order).alias("rank"), F.lead("node").over(order).alias("next"))
+    within = ranked.filter("next IS NOT NULL").select(F.col("node").alias("a"), F.col("next").alias("b"))
+    top = ranked.groupBy("fp").agg(F.max("rank").alias("top"))
+    both = links.union(links.select("b", "a")).distinct()
+    left = both.join(ranked.select(F.col("fp").alias("a"), F.col("node").alias("a_node"), "rank"), "a")
+    met = left.join(top.select(F.col("fp").alias("b"), "top"), "b").withColumn("rank", F.least("rank", "top"))
+    right = ranked.select(F.col("fp").alias("b"), F.col("node").alias("b_node"), "rank")
+    across = met.join(right, ["b", "rank"]).select("a_node", "b_node")
+    pairs = within.union(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.filter("a <> b").distinct()

@@ -83,3 +83,29 @@ def near_components(prints: dict[int, int], radius: int = 3) -> dict[int, int]:
                 x, y = sorted((root(a), root(b)))
                 label[y] = x
     return {d: root(d) for d in ids}
+
+
+def similar_components(texts: dict[int, str], k: int = 5, least: float = 0.8) -> dict[int, int]:
+    """Of each document the smallest one reachable over pairs that share so many of their shingles; all pairs are tried."""
+    sets = {}
+    for d, t in texts.items():
+        found = words(t or "")
+        sets[d] = {tuple(found[i : i + k]) for i in range(max(1, len(found) - k + 1))} if found else set()
+    label = {d: d for d in sets}
+
+    def root(d):
+        while label[d] != d:
+            d = label[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            x, y = sets[a], sets[b]
+            if min(len(x), len(y)) < least * max(len(x), len(y)):
+                continue
+            shared = len(x & y)
+            if shared >= least * (len(x) + len(y) - shared):
+                p, q = sorted((root(a), root(b)))
+                label[q] = p
+    return {d: root(d) for d in ids}

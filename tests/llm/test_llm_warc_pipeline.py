@@ -1,9 +1,10 @@
 import hashlib
+import random
 
 import brute
 import pytest
 
-from jobtide.llm import quality, warc
+from jobtide.llm import quality, simhash_dedup, warc
 from jobtide.llm.queries import QUERIES, tokenizer_file
 
 PAGES = "page_id long, url string, html string, digest string, top long, segment long"
@@ -106,14 +107,59 @@ def test_pipeline_stages_match_brute_force(spark, sf_dir, plain_rows):
     assert {d: brute.sha(t) for d, t in rows.items()} == {d: x[2] for d, x in brute.line_dedup(good).items()}
     third = stages["simhash_near_dedup"](spark, second, sf_dir)
     assert third.columns == docs.columns
-    named = brute.near_components({d: brute.fingerprint64(t) for d, t in rows.items()})
     left = {r.doc_id: r.text for r in third.collect()}
+    named = brute.similar_components(rows)
     assert left == {d: t for d, t in rows.items() if named[d] == d}
     packed = stages["packing"](spark, third, sf_dir).groupBy("doc_id").sum("length").collect()
     tokenizer = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
     assert {r[0]: r[1] for r in packed} == {d: len(tokenizer.encode(t).ids) + 1 for d, t in left.items()}
 
 
+def test_near_duplicates_are_found_and_others_stay(spark):
+    """Over all pairs of a larger table: nothing is merged that links do not connect, nine tenths of the copies go."""
+    rows = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rng = random.Random(9)
+    long = [d for d, t in rows.items() if t and 60 < len(t.split()) < 400]
+    for i, d in enumerate(rng.sample(long, 60)):  # copies with some words changed, left out or added
+        words = rows[d].split()
+        for _ in range(max(1, len(words) * (i % 4) // 100)):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice(([], ["other"], [words[at], "more"]))
+        rows[10_000 + i] = " ".join(words)
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(5)
+    left = {r.doc_id for r in simhash_dedup.without_near_duplicates(docs).collect()}
+    named = brute.similar_components(rows)
+    first = {d for d in rows if named[d] == d}
+    assert first <= left
+    assert len(left - first) <= 0.1 * (len(rows) - len(first)) and len(rows) - len(first) > 100
+
+
+def test_near_duplicates_on_odd_rows(spark):
+    base = " ".join(f"word{i}" for i in range(100))
+    near, far = base + " more", base.replace("word5 ", "x ")
+    same_words = " ".join(reversed(base.split()))
+    rows = [(5, base), (3, near), (None, base), (3, "z"), (7, "z"), (8, None), (9, ""), (None, " "), (10, same_words), (11, far)]
+    rows += [(20 + i, "spam " * (i + 6)) for i in range(40)] + [(70, "a b"), (71, "A  b"), (72, "b a"), (5, base)]
+    docs = spark.createDataFrame([(*r, "k", 1) for r in rows], "doc_id long, text string, node string, size int").repartition(3)
+    got = sorted((r.doc_id, r.text) for r in simhash_dedup.without_near_duplicates(docs).collect())
+    assert got == [(3, near), (3, "z"), (8, None), (10, same_words), (20, "spam " * 6), (70, "a b"), (72, "b a")]
+    nameless = spark.createDataFrame([(None, "b c"), (None, "b c"), (None, "d")], "doc_id long, text string")
+    assert sorted(r.text for r in simhash_dedup.without_near_duplicates(nameless).collect()) == ["b c", "d"]
+    assert simhash_dedup.without_near_duplicates(docs.limit(0)).columns == docs.columns
+
+
+def test_dense_keys_are_split_for_the_stage_too(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghij") * 3 for _ in range(12)) for _ in range(300)]
+    texts += [t + " end" for t in texts[:30]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = {r.doc_id for r in simhash_dedup.without_near_duplicates(docs).collect()}
+    split = {r.doc_id for r in simhash_dedup.without_near_duplicates(docs, dense=20).collect()}
+    named = brute.similar_components(dict(enumerate(texts)))
+    first = {d for d in named if named[d] == d}
+    assert first <= plain and first <= split and len(split ^ plain) <= 3
+
+
 def test_pipeline_runs_whole(spark, sf_dir):
     import corpus_pipeline as P
 
