@@ -6,10 +6,14 @@ bit is set if more than half of the weight says so.  The votes are sums in one
 aggregation, two counters to a long: a Spark string is below 2 GB, so no counter
 passes 2 ** 30.
 
-Search: fingerprints within the radius agree in at least ``BLOCKS - radius`` of
-``BLOCKS`` blocks.  Each choice of so many blocks is one permuted table, keyed by
-their bits; stated queries meet all fingerprints by equality in every table, and
-the whole fingerprints verify.  Equal fingerprints are one entry with a count.
+Search: of ``(radius + 1) / 2`` blocks, one differs in at most one bit between
+fingerprints within the radius.  Each block is the key of one permuted table, in
+which every fingerprint has one entry; stated queries ask it for their own block
+and for the block with each of its bits turned, by equality, and the whole
+fingerprints verify.  So all within the radius are found.  Equal fingerprints are
+one entry with a count.  The radius was measured: of the pairs of different texts
+with four fifths of their five-word shingles in common (sf0.1, 48 pairs), 0.96 lie
+within 17 bits, 0.90 within 15 and none within 3; unrelated texts differ in 40 or more.
 
 The next document of each is found without a global sort of texts: ids are
 range-partitioned, and the last of a range follows on to the first of the next
@@ -25,17 +29,13 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.llm.common import SPACE_PATTERN, SPACES, kept, texts_of
 
 BITS = 128
-RADIUS = 3
-#: Two more than the radius, so that a table's key has about 50 bits.
-BLOCKS = RADIUS + 2
+RADIUS = 17
 QUERY_STEP = 100
 
 
@@ -185,31 +185,37 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     )
 
 
-def block_tables(radius: int = RADIUS, blocks: int = BLOCKS) -> list[tuple[int, int]]:
-    """The masks, in both halves, of each permuted table."""
-    edges = [BITS * i // blocks for i in range(blocks + 1)]
-    parts = [(1 << z) - (1 << a) for a, z in zip(edges, edges[1:], strict=False)]
-    masks = [sum(some) for some in combinations(parts, blocks - radius)]
+def _halves(mask: int) -> tuple[int, int]:
+    """A mask of all bits as two signed numbers, high and low."""
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    return [(signed(m >> 64), signed(m & (1 << 64) - 1)) for m in masks]
+    return signed(mask >> 64), signed(mask & (1 << 64) - 1)
 
 
-def _in_tables(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
-    masks = [
-        F.struct(F.lit(i).alias("t"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
-        for i, (a, b) in enumerate(block_tables(radius, blocks))
-    ]
-    rows = prints.withColumn("m", F.explode(F.array(*masks)))
-    return rows.withColumn(
-        "key", F.xxhash64("m.t", F.col("hi").bitwiseAND(F.col("m.a")), F.col("lo").bitwiseAND(F.col("m.b")))
-    ).drop("m")
+def block_tables(radius: int = RADIUS) -> list[list[int]]:
+    """The bits of the key of each permuted table."""
+    n = (radius + 2) // 2
+    edges = [BITS * i // n for i in range(n + 1)]
+    return [list(range(a, z)) for a, z in zip(edges, edges[1:], strict=False)]
+
+
+def _keyed(prints: DataFrame, radius: int, turned: bool) -> DataFrame:
+    """One row per table with the key of its block; with ``turned`` also for each bit of the block, turned."""
+    asked = []
+    for t, bits in enumerate(block_tables(radius)):
+        block = sum(1 << b for b in bits)
+        for change in [0, *(1 << b for b in bits)] if turned else [0]:
+            masks = (*_halves(block), *_halves(change))
+            asked.append(F.struct(F.lit(t).alias("t"), *(F.lit(m).cast("long").alias(n) for m, n in zip(masks, "abxy", strict=True))))
+    rows = prints.withColumn("m", F.explode(F.array(*asked)))
+    half = lambda c, mask, change: F.col(c).bitwiseXOR(F.col(change)).bitwiseAND(F.col(mask))
+    return rows.withColumn("key", F.xxhash64("m.t", half("hi", "m.a", "m.x"), half("lo", "m.b", "m.y"))).drop("m")
 
 
-def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``hi, lo, n_near`` for each distinct query print: rows of ``prints`` within the radius, equal ones too."""
     classes = prints.groupBy("hi", "lo").agg(F.count("*").alias("n"))
-    asked = _in_tables(queries.select("hi", "lo").distinct(), radius, blocks)
-    held = _in_tables(classes, radius, blocks).select("key", F.col("hi").alias("o_hi"), F.col("lo").alias("o_lo"), "n")
+    asked = _keyed(queries.select("hi", "lo").distinct(), radius, turned=True)
+    held = _keyed(classes, radius, turned=False).select("key", F.col("hi").alias("o_hi"), F.col("lo").alias("o_lo"), "n")
     differ = F.bit_count(F.col("hi").bitwiseXOR(F.col("o_hi"))) + F.bit_count(F.col("lo").bitwiseXOR(F.col("o_lo")))
     met = asked.join(held, "key").filter(differ <= radius).dropDuplicates(["hi", "lo", "o_hi", "o_lo"])
     return met.groupBy("hi", "lo").agg(F.sum("n").alias("n_near"))

@@ -1,3 +1,5 @@
+import random
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -22,10 +24,28 @@ def test_edited_texts_and_likeness(spark, sf_dir, plain_rows):
     asked = [r for r in rows if r.doc_id % 100 == 0]
     assert all((r.n_near is not None) == (r.doc_id % 100 == 0) for r in rows)
     for q in asked:
-        near = sum((int(q.fingerprint, 16) ^ int(r.fingerprint, 16)).bit_count() <= 3 for r in rows) - 1
+        near = sum((int(q.fingerprint, 16) ^ int(r.fingerprint, 16)).bit_count() <= fingerprints.RADIUS for r in rows) - 1
         assert q.n_near == near
 
 
+def test_the_search_finds_near_copies(spark):
+    """Of pairs with four fifths of their five-word shingles in common, nine tenths are within the radius."""
+    rng = random.Random(5)
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    long = [d for d, t in sorted(texts.items()) if t and 60 < len(t.split()) < 400]
+    rows = []
+    for i, d in enumerate(rng.sample(long, 80)):
+        words = texts[d].split()
+        for at in rng.sample(range(len(words)), max(1, len(words) // 60)):
+            words[at] = "other"
+        sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (texts[d].split(), words)]
+        if len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1]):
+            rows += [(100 * i, texts[d]), (100 * i + 1, " ".join(words))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = fingerprints.with_near_counts(fingerprints.document_fingerprints(docs)).filter("doc_id % 100 = 0").collect()
+    assert len(found) > 40 and sum(r.n_near >= 1 for r in found) >= 0.9 * len(found)
+
+
 def test_fingerprints_on_odd_rows(frame, odd_rows):
     rows = fingerprints.with_near_counts(fingerprints.document_fingerprints(frame(odd_rows))).collect()
     assert len(rows) == len(odd_rows)
@@ -63,16 +83,16 @@ def test_votes_match_brute_force(spark):
 
 
 def test_tables_find_every_pair_in_the_radius(spark):
-    import random
-
     rng = random.Random(3)
     base = [rng.getrandbits(128) for _ in range(40)]
     flip = lambda x, k: x ^ sum(1 << b for b in rng.sample(range(128), k))
-    prints = base + [flip(x, i % 6) for i, x in enumerate(base)]
+    prints = base + [flip(x, i) for i, x in enumerate(base)] + [flip(x, 12 + i % 8) for i, x in enumerate(base)]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     frame = spark.createDataFrame([(signed(p >> 64), signed(p % 2**64)) for p in prints], "hi long, lo long")
-    got = {(r.hi % 2**64 << 64) + r.lo % 2**64: r.n_near for r in fingerprints.near_counts(frame, frame).collect()}
-    assert got == {p: sum((p ^ q).bit_count() <= 3 for q in prints) for p in prints}
+    for radius in (0, 1, 2, 3, 16, 17, 18):
+        found = fingerprints.near_counts(frame, frame, radius).collect()
+        got = {(r.hi % 2**64 << 64) + r.lo % 2**64: r.n_near for r in found}
+        assert got == {p: sum((p ^ q).bit_count() <= radius for q in prints) for p in prints}
 
 
 @pytest.fixture(scope="module")
