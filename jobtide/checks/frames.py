@@ -138,6 +138,12 @@ class Frames:
     def items(self) -> DataFrame:
         return requirement_items(self.requirements)
 
+    @cached_property
+    def role_items(self) -> DataFrame:
+        """The same items, each with the role of its job."""
+        carried = pipeline.job_requirements(self.jobs, self.descriptions, X.TERMS, also=["role_title"])
+        return requirement_items(carried)
+
     @cached_property
     def titles(self) -> DataFrame:
         """Every landed title, null where the payload names none."""

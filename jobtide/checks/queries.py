@@ -189,7 +189,7 @@ def _histogram(df: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # the flagship
-    "top_tools_by_role": lambda f: analytics.top_tools_by_role(f.items, f.jobs),
+    "top_tools_by_role": lambda f: analytics.top_tools_by_role(f.role_items, f.jobs),
     # stored tables
     "init_catalog": _init_catalog,
     "stored_jobs": lambda f: _texts(f.stored["jobs"].drop("created_at"), "posted_at"),
@@ -292,10 +292,10 @@ QUERIES: dict[str, Query] = {
     "job_requirements": lambda f: _texts(f.requirements, *LISTS),
     "requirement_items": lambda f: f.items,
     # analytics
-    "jobs_requiring_tool": lambda f: analytics.jobs_requiring_tool(f.items, f.jobs, "python"),
-    "topk_tools_by_role": lambda f: analytics.topk_tools_by_role(f.items, f.jobs),
-    "top_concepts_by_role": lambda f: analytics.top_concepts_by_role(f.items, f.jobs),
-    "certification_demand": lambda f: analytics.certification_demand(f.items, f.jobs),
+    "jobs_requiring_tool": lambda f: analytics.jobs_requiring_tool(f.role_items, f.jobs, "python"),
+    "topk_tools_by_role": lambda f: analytics.topk_tools_by_role(f.role_items, f.jobs),
+    "top_concepts_by_role": lambda f: analytics.top_concepts_by_role(f.role_items, f.jobs),
+    "certification_demand": lambda f: analytics.certification_demand(f.role_items, f.jobs),
     "role_distribution": lambda f: analytics.distribution(f.jobs, "role_title"),
     "match_method_distribution": lambda f: analytics.distribution(f.jobs, "role_match_method"),
     "extraction_status_counts": lambda f: analytics.distribution(
@@ -318,9 +318,9 @@ QUERIES: dict[str, Query] = {
     "reduction_histogram": lambda f: _histogram(
         analytics.histogram(pages.text_reduction(f.descriptions, "html_description"), F.col("reduction_pct"), 100)
     ),
-    "role_similarity": lambda f: analytics.role_similarity(f.items, f.jobs),
-    "career_gap": lambda f: analytics.career_gap(f.items, f.jobs, "data analyst"),
-    "role_skill_gap": lambda f: analytics.role_skill_gap(f.items, f.jobs),
+    "role_similarity": lambda f: analytics.role_similarity(f.role_items, f.jobs),
+    "career_gap": lambda f: analytics.career_gap(f.role_items, f.jobs, "data analyst"),
+    "role_skill_gap": lambda f: analytics.role_skill_gap(f.role_items, f.jobs),
     # first rows and samples
     "limit_jobs": lambda f: analytics.first_rows(f.jobs, 10, *KEY).select(*KEY, "job_title"),
     "sample_unmapped": lambda f: analytics.seeded_sample(

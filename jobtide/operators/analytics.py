@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 
 from jobtide.fixed_values import CERTIFICATION, TECHNICAL_CONCEPT, TECHNICAL_TOOL
 from jobtide.schemas import KEY
+from jobtide.session import computed_once
 
 MONTH_LABEL = "MMM-yy"
 
 
+def with_role(items: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Items with the role of their job; such as carry it already are not joined."""
+    if "role_title" in items.columns:
+        return items
+    return items.join(jobs.select(*KEY, "role_title"), KEY)
+
+
 def items_by_role(items: DataFrame, jobs: DataFrame, item_type: str, name: str) -> DataFrame:
     """``(role_title, <name>, n_jobs)``: how often items of a type occur per role."""
-    wanted = items.filter(F.col("item_type") == item_type).select(*KEY, F.col("item_value_norm").alias(name))
-    return (
-        wanted.join(jobs.select(*KEY, "role_title"), KEY)
-        .groupBy("role_title", name)
-        .agg(F.count(F.lit(1)).alias("n_jobs"))
-    )
+    wanted = with_role(items.filter(F.col("item_type") == item_type), jobs)
+    return wanted.groupBy("role_title", F.col("item_value_norm").alias(name)).agg(F.count(F.lit(1)).alias("n_jobs"))
 
 
 def top_tools_by_role(items: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -40,11 +44,10 @@ def topk_tools_by_role(items: DataFrame, jobs: DataFrame, k: int = 3) -> DataFra
 
 def jobs_requiring_tool(items: DataFrame, jobs: DataFrame, tool: str) -> DataFrame:
     """``(role_title, n_jobs)``: jobs per role that ask for ``tool``, most first."""
-    wanted = items.filter(F.col("item_value_norm") == tool).select(*KEY)
+    wanted = with_role(items.filter(F.col("item_value_norm") == tool), jobs)
     job_key = F.concat(F.col("source"), F.lit(":"), F.col("source_job_id"))
     return (
-        wanted.join(jobs.select(*KEY, "role_title"), KEY)
-        .groupBy("role_title")
+        wanted.groupBy("role_title")
         .agg(F.countDistinct(job_key).alias("n_jobs"))
         .orderBy(F.col("n_jobs").desc())
     )
@@ -142,15 +145,12 @@ def unmapped_rate(mapped: DataFrame, no_match: str) -> DataFrame:
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """``(bin, lower, upper, n)``: equal-width bins over the range, last edge closed.
 
-    Values are counted before anything else, so costly values are computed once
-    and the range comes from the counts.  Empty bins are listed; if all values
-    are equal they fall into bin 0.
+    The values are computed once, as one narrow column, from which range and bins are read:
+    what is shuffled are a row per task for the range and one per task and bin.  Empty bins
+    are listed; if all values are equal they fall into bin 0.
     """
-    counts = df.select(value.cast("double").alias("_v")).filter("_v is not null").groupBy("_v").count()
-    # The range mentions the counts as well, so that both uses are one plan and
-    # share one shuffle.
-    counted = F.when(F.col("count") > 0, F.col("_v"))
-    ends = counts.agg(F.struct(F.min(counted).alias("low"), F.max(counted).alias("high"))).scalar()
+    values = computed_once(df.select(value.cast("double").alias("_v")).filter("_v is not null"))
+    ends = values.agg(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high"))).scalar()
 
     def with_edges(frame: DataFrame) -> DataFrame:
         width = (F.col("_ends.high") - F.col("_ends.low")) / F.lit(float(bins))
@@ -158,7 +158,7 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
 
     position = F.floor((F.col("_v") - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)))
     bin_of = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
-    per_bin = with_edges(counts).groupBy(bin_of.alias("bin")).agg(F.sum("count").alias("n"))
+    per_bin = with_edges(values).groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = with_edges(df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")))
     return grid.filter("_low is not null").join(per_bin, "bin", "left").select(
         "bin",
@@ -174,13 +174,8 @@ def _item_role_sets(items: DataFrame, jobs: DataFrame) -> DataFrame:
     Pairs of item and role are made distinct first; a set holds at most every
     role of the taxonomy, however often an item occurs.
     """
-    pairs = (
-        items.filter(F.col("item_value_norm").isNotNull())
-        .select(*KEY, F.col("item_value_norm").alias("item"))
-        .join(jobs.select(*KEY, "role_title"), KEY)
-        .select("item", "role_title")
-        .distinct()
-    )
+    named = with_role(items.filter(F.col("item_value_norm").isNotNull()), jobs)
+    pairs = named.select(F.col("item_value_norm").alias("item"), "role_title").distinct()
     return pairs.groupBy("item").agg(F.array_sort(F.collect_set("role_title")).alias("roles"))
 
 
@@ -218,8 +213,9 @@ def role_skill_gap(items: DataFrame, jobs: DataFrame) -> DataFrame:
     """``(from_role, to_role, missing_item)``: the gaps between all pairs of roles.
 
     The result has a row per pair of roles and item; ``career_gap`` answers for one start.
+    The role sets, one row per item, are computed once: they are asked for all roles as well.
     """
-    sets = _item_role_sets(items, jobs)
+    sets = computed_once(_item_role_sets(items, jobs))
     every_role = sets.select(F.explode("roles").alias("role")).agg(F.collect_set("role")).scalar()
     lacking = sets.withColumn("_without", F.array_except(every_role, F.col("roles")))
     return lacking.select("item", "roles", F.explode("_without").alias("from_role")).select(

@@ -222,7 +222,7 @@ def job_descriptions(jobs: DataFrame, descriptions: DataFrame) -> DataFrame:
     return jobs.select(*KEY, "job_title", "role_title").join(html, KEY)
 
 
-def _finish(extracted: DataFrame) -> DataFrame:
+def _finish(extracted: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Status, seniority and column order shared by both ways of extraction."""
     return extracted.withColumn("seniority", infer_seniority(F.col("job_title"), F.col("min_years"))).select(
         *KEY,
@@ -232,11 +232,12 @@ def _finish(extracted: DataFrame) -> DataFrame:
         "seniority",
         "extraction_status",
         "error",
+        *also,
     )
 
 
-def build_requirements(described: DataFrame, terms: DataFrame | Sequence[Term]) -> DataFrame:
-    """One requirements row per described job, from the gazetteer.
+def build_requirements(described: DataFrame, terms: DataFrame | Sequence[Term], also: Sequence[str] = ()) -> DataFrame:
+    """One requirements row per described job, from the gazetteer; ``also``: columns of the job to carry along.
 
     The page is cut down to its section before anything is looked up in it.  A
     job without section text is kept as skipped, with empty lists.
@@ -247,7 +248,8 @@ def build_requirements(described: DataFrame, terms: DataFrame | Sequence[Term])
     return _finish(
         found.withColumn("extraction_status", F.when(missing, SKIPPED).otherwise(VALIDATED)).withColumn(
             "error", F.when(missing, "No requirement section extracted")
-        )
+        ),
+        also,
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from jobtide.functions.text import valid_json
 from jobtide.schemas import DEFAULT_TIME, KEY, TABLES, required_columns
-from jobtide.session import shared_folder
+from jobtide.session import computed_once
 from jobtide.sources.keyed import held_keys
 from jobtide.sources.landing import timestamp
 
@@ -134,10 +134,7 @@ def new_rows(
     The batch is computed once, to the checkpoint folder; of the target, the files are read
     that may hold keys of a small batch.
     """
-    spark = batch.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    batch = batch.checkpoint()
+    batch = computed_once(batch)
     return UPSERTS[table](batch, held_keys(batch, target), as_of, arrival)
 
 

@@ -31,8 +31,15 @@ def curated_jobs(
 
 
 def job_requirements(
-    jobs: DataFrame, descriptions: DataFrame, terms: DataFrame | Sequence[Term], done: DataFrame | None = None
+    jobs: DataFrame,
+    descriptions: DataFrame,
+    terms: DataFrame | Sequence[Term],
+    done: DataFrame | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows for the ``job_requirements`` table; jobs already validated in ``done`` are left out."""
+    """Rows for the ``job_requirements`` table; jobs already validated in ``done`` are left out.
+
+    ``also``: columns of the job to carry along, such as the role, which spares a later join.
+    """
     todo = jobs if done is None else extraction_backlog(jobs, done)
-    return build_requirements(job_descriptions(todo, descriptions), terms)
+    return build_requirements(job_descriptions(todo, descriptions), terms, also)

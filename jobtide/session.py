@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -46,6 +46,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def computed_once(frame: DataFrame) -> DataFrame:
+    """The frame, computed now and kept in the checkpoint folder, which outlives executors."""
+    spark = frame.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return frame.checkpoint()
+
+
 def _path(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
