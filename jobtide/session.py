@@ -69,3 +69,21 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     """Remove a folder with all tables in it, such as that of a run; one that is not there is no error."""
     files, path = _path(spark, folder)
     files.delete(path, True)
+
+
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no such folder."""
+    files, path = _path(spark, folder)
+    return [x.getPath().getName() for x in files.listStatus(path)] if files.exists(path) else []
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    files, path = _path(spark, folder)
+    return files.getContentSummary(path).getLength()
+
+
+def move_folder(spark: SparkSession, folder: str, to: str) -> None:
+    """Give a folder another name; there must be none of that name."""
+    files, path = _path(spark, folder)
+    if not files.rename(path, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not move {folder} to {to}")
