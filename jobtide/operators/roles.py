@@ -131,11 +131,32 @@ def map_titles(df: DataFrame, taxonomy: Sequence[Role] | DataFrame, title_col: s
     return _with_outcome(staged).drop("_exact", "_words", "_flexible", "_keyword")
 
 
+def tokens_of(text: Column) -> Column:
+    """Words and what stands between them, in turn, in lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+|\W+"), F.lit(0))
+
+
+def holds_tokens(tokens: Column, wanted: Column) -> Column:
+    """Do ``wanted`` tokens stand in ``tokens`` as whole words?
+
+    Tokens are maximal, so words that are equal begin and end where the title's do.  What is no
+    word at an end of ``wanted`` must touch a word there: it may not be the title's own end.
+    """
+    n, m = F.size(tokens), F.size(wanted)
+    is_word = lambda token: token.rlike(r"^(?U)\w")
+    first, last = is_word(F.get(wanted, F.lit(0))), is_word(F.get(wanted, m - 1))
+    starts = F.when((m > 0) & (m <= n), F.sequence(F.lit(1), n - m + 1)).otherwise(F.array().cast("array<int>"))
+    return F.exists(
+        starts, lambda i: (F.slice(tokens, i, m) == wanted) & (first | (i > 1)) & (last | (i + m - 1 < n))
+    )
+
+
 def alias_index(taxonomy: DataFrame) -> DataFrame:
-    """One row per alias with its words and the rarest of them as its join key."""
+    """One row per alias with its tokens, its words and the rarest of them as its join key."""
     aliases = taxonomy.select("position", "name", F.posexplode("aliases").alias("alias_position", "alias"))
     # An alias of symbols alone has no word; it is met as what stands between two words.
     aliases = aliases.filter("alias <> ''").withColumn("words", words_of(F.col("alias")))
+    aliases = aliases.withColumn("tokens", tokens_of(F.col("alias")))
     symbols = aliases.filter(F.size("words") == 0).withColumn("rarest", F.col("alias"))
     aliases = aliases.filter(F.size("words") > 0)
     spelled = aliases.select("position", "alias_position", F.explode("words").alias("word"))
@@ -153,19 +174,21 @@ def matched_by_join(titles: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
     A title meets an alias only through that alias's rarest word, never through
     words such as "engineer" that fill the table.  Containing the words is
-    needed for the whole alias as well, so one join serves both steps.
+    needed for the whole alias as well, so one join serves both steps.  A whole alias is
+    told by slices of the title's tokens: no pattern is built for a row.
     """
     index = alias_index(taxonomy)
     if index.count() <= BROADCAST_ALIASES:
         index = F.broadcast(index)
     words = titles.withColumn("_words", words_of(F.col("cleaned_title")))
+    words = words.withColumn("_tokens", tokens_of(F.col("cleaned_title")))
     between = F.array_distinct(F.regexp_extract_all(F.col("cleaned_title"), F.lit(BETWEEN_WORDS), F.lit(0)))
-    spelled = words.select("cleaned_title", "_words", F.explode(F.array_union("_words", between)).alias("rarest"))
+    spelled = words.select("cleaned_title", "_words", "_tokens", F.explode(F.array_union("_words", between)).alias("rarest"))
     met = spelled.join(index, "rarest").filter(F.size(F.array_except("words", "_words")) == 0)
-    pattern = F.concat(F.lit(r"(?iU)\b\Q"), F.col("alias"), F.lit(r"\E\b"))
+    whole = holds_tokens(F.col("_tokens"), F.col("tokens"))
     ranked = F.struct("position", "alias_position", "name")
     best = met.groupBy("cleaned_title").agg(
-        F.min(F.when(F.rlike(F.col("cleaned_title"), pattern), ranked)).alias("_exact"), F.min(F.when(F.size("words") > 0, ranked)).alias("_flexible")
+        F.min(F.when(whole, ranked)).alias("_exact"), F.min(F.when(F.size("words") > 0, ranked)).alias("_flexible")
     )
     return best.select(
         "cleaned_title", F.col("_exact.name").alias("_exact"), F.col("_flexible.name").alias("_flexible")

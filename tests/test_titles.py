@@ -207,3 +207,35 @@ def test_filter_on_role_does_not_repeat_the_rules(frames):
     """The costly expression stands in the plan once, below the filter."""
     plan = R.mapped_only(R.map_titles(frames.titles, ROLES))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("stagaire") == 2  # the guard and the rule itself
+
+
+def test_tokens_stand_where_the_pattern_finds_the_alias(spark):
+    import random
+
+    from jobtide.operators.roles import holds_tokens, tokens_of
+
+    rng = random.Random(11)
+    marks = ["a", "B", "ab", "é", "1", "_", " ", "-", "+", "+", ".", " ", "/", "#"]
+    rows = [("".join(rng.choices(marks, k=rng.randrange(12))), "".join(rng.choices(marks, k=rng.randrange(1, 5)))) for _ in range(6000)]
+    df = spark.createDataFrame(rows, "title string, alias string")
+    pattern = F.concat(F.lit(r"(?iU)\b\Q"), F.col("alias"), F.lit(r"\E\b"))
+    both = df.select("title", "alias", F.rlike("title", pattern).alias("a"), holds_tokens(tokens_of(F.col("title")), tokens_of(F.col("alias"))).alias("b"))
+    assert both.filter("a <> b").collect() == []
+    assert both.filter("a").count() > 200
+
+
+def test_a_hundred_thousand_aliases(spark):
+    """No pattern per row, and no title meets all aliases."""
+    from jobtide.operators.roles import map_titles_by_join
+
+    roles = [(i, f"role {i}", [f"Kind{i} of Work", f"worker {i} night-shift"], []) for i in range(50_000)]
+    taxonomy = spark.createDataFrame(roles, "position int, name string, aliases array<string>, search_term array<string>").repartition(8)
+    titles = [(i, f"kind{i} of work" if i % 2 else f"night-shift worker {i}") for i in range(0, 50_000, 25)]
+    df = spark.createDataFrame([*titles, (-1, "kind of work"), (-2, None)], "id int, title string")
+    mapped = map_titles_by_join(df, taxonomy)
+    plan = mapped._jdf.queryExecution().optimizedPlan().toString()
+    assert "CartesianProduct" not in plan and "\\Q" not in plan
+    got = {r.id: (r.matched_role, r.match_method) for r in mapped.collect()}
+    assert len(got) == len(titles) + 2
+    for i, title in titles:
+        assert got[i][0] == f"role {i}", title
