@@ -651,6 +651,9 @@ ORACLE_SQL |= {
 ORACLE_SQL["rolled_up_extraction_status"] = (
     with_("requirements") + "SELECT extraction_status, count(*) AS n FROM requirements GROUP BY 1"
 )
+ORACLE_SQL["catalog_listing"] = f"""SELECT table_name,
+    CASE table_name WHEN 'job_requirement_items' THEN 'view' ELSE 'table' END AS kind, n_rows
+    FROM ({ORACLE_SQL["table_counts"]})"""
 ORACLE_SQL["ingest_counts"] = ORACLE_SQL["ingest_metrics"]
 ORACLE_SQL["quarantined_rows"] = with_("postings") + """
     SELECT 'source_job_id not null' AS broken_rule, count(*) AS n_rows, CAST(sum(seq) AS BIGINT) AS seq_sum

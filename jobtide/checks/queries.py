@@ -127,6 +127,13 @@ def _init_catalog(f: Frames) -> DataFrame:
     return tables.table_counts({t: f.spark.table(f"`{name}`.`{t}`") for t in TABLES})
 
 
+def _catalog_listing(f: Frames) -> DataFrame:
+    name = f"store_{uuid4().hex}"
+    for _ in range(2):
+        store.register_store(f.spark, f.store_folder, name)
+    return tables.catalog_listing(f.spark, name)
+
+
 def _ingested(f: Frames, rows: DataFrame, landed: DataFrame | None = None, payload: str | None = None):
     """The counts of a write into a new store, which holds the keys of ``landed`` already; and the store."""
     opened = store.open_store(f.spark, f"{shared_folder(f.spark)}/store-{uuid4().hex}")
@@ -192,6 +199,7 @@ QUERIES: dict[str, Query] = {
     "top_tools_by_role": lambda f: analytics.top_tools_by_role(f.role_items, f.jobs),
     # stored tables
     "init_catalog": _init_catalog,
+    "catalog_listing": _catalog_listing,
     "stored_jobs": lambda f: _texts(f.stored["jobs"].drop("created_at"), "posted_at"),
     "stored_requirements": lambda f: _texts(f.stored["job_requirements"].drop("extracted_at"), *LISTS),
     "stored_top_tools": lambda f: analytics.top_tools_by_role(

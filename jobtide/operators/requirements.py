@@ -36,6 +36,7 @@ from jobtide.functions.sections import with_requirement_section
 from jobtide.functions.text import strip, valid_json, with_computed
 from jobtide.functions.titles import infer_seniority
 from jobtide.schemas import KEY
+from jobtide.session import computed_once
 
 MAX_INLINE_TERMS = 500
 # Gazetteer rows that may be broadcast to meet the phrases.
@@ -134,6 +135,8 @@ def with_terms_by_join(df: DataFrame, text_col: str, terms: DataFrame) -> DataFr
     n_terms, longest = index.agg(F.count(F.lit(1)), F.coalesce(F.max("n_words"), F.lit(1))).first()
     index = index.drop("n_words")
     numbered = df.select(F.struct(*df.columns).alias("_whole"), F.monotonically_increasing_id().alias("_row"), text_col)
+    # Stored with their numbers: a task that is lost later gives a row no other number than before.
+    numbered = computed_once(numbered)
     staged = with_computed(numbered, _words=tokens(F.col(text_col))).drop(text_col)
     opened = staged.select("_row", "_whole", F.posexplode_outer(phrases(F.col("_words"), longest)).alias("_at", "phrase"))
     first = F.coalesce(F.col("_at"), F.lit(0)) == 0

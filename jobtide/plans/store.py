@@ -23,6 +23,7 @@ from jobtide.plans.pipeline import curated_jobs, job_requirements
 from jobtide.schemas import KEY, TABLES
 from jobtide.session import drop_folder, folder_exists
 from jobtide.sources import keyed
+from jobtide.sources.tables import create_item_view
 
 #: Buckets of a new store; one that is there keeps its own.
 BUCKETS = 16
@@ -77,8 +78,9 @@ def open_store(spark: SparkSession, folder: str, database: str | None = None, bu
 
 
 def register_store(spark: SparkSession, folder: str, database: str) -> None:
-    """Make the stored tables known to the catalog under a name, where they outlive the session."""
+    """Make the stored tables, and the view of their items, known to the catalog, where they outlive the session."""
     open_store(spark, folder, database)
+    create_item_view(spark, database)
 
 
 def run_stored(

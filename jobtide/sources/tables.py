@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.fixed_values import COUNTABLE_TABLES
+from jobtide.fixed_values import CERTIFICATION, COUNTABLE_TABLES, TECHNICAL_CONCEPT, TECHNICAL_TOOL
 from jobtide.operators.items import requirement_items
 from jobtide.schemas import KEY, TABLES
 
@@ -67,3 +67,38 @@ def catalog_overview(spark: SparkSession) -> DataFrame:
     tables = {name: spark.table(name) for name in COUNTABLE_TABLES if name in present}
     schema_name = F.lit(spark.catalog.currentDatabase()).alias("schema_name")
     return table_counts(tables).select(schema_name, "table_name", "n_rows")
+
+
+#: The item view in SQL, for users of the catalog: the same rows as ``requirement_items``.
+ITEM_VIEW = """
+SELECT source, source_job_id, item_type, item_value,
+    lower(regexp_replace(item_value, r'(?U)^\\s+|(?<!\\s)\\s+$', '')) AS item_value_norm
+FROM (
+    SELECT source, source_job_id, inline(array(
+        named_struct('item_type', '{tool}', 'items', technical_tools),
+        named_struct('item_type', '{concept}', 'items', technical_concepts),
+        named_struct('item_type', '{certification}', 'items', certifications)))
+    FROM {requirements}
+) LATERAL VIEW explode(items) AS item_value
+"""
+
+
+def create_item_view(spark: SparkSession, database: str) -> None:
+    """A view of the items in a registered database; one that is there is replaced."""
+    name = "`" + database.replace("`", "``") + "`"
+    body = ITEM_VIEW.format(
+        tool=TECHNICAL_TOOL, concept=TECHNICAL_CONCEPT, certification=CERTIFICATION, requirements=f"{name}.job_requirements"
+    )
+    spark.sql(f"CREATE OR REPLACE VIEW {name}.job_requirement_items AS {body}")
+
+
+def catalog_listing(spark: SparkSession, database: str) -> DataFrame:
+    """``(table_name, kind, n_rows)`` of the known relations of a database; ``kind`` tells tables from views.
+
+    Views of the session alone belong to no database and are not listed.
+    """
+    found = [t for t in spark.catalog.listTables(database) if not t.isTemporary and t.name in COUNTABLE_TABLES]
+    kinds = {t.name: "view" if t.tableType == "VIEW" else "table" for t in found}
+    counts = table_counts({name: spark.table(f"`{database}`.`{name}`") for name in kinds})
+    kind = F.create_map(*(F.lit(x) for pair in kinds.items() for x in pair))[F.col("table_name")]
+    return counts.select("table_name", kind.alias("kind"), "n_rows")

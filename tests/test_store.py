@@ -209,3 +209,13 @@ def test_what_a_batch_staged_can_be_dropped(spark, folder):
     assert not folder_exists(spark, f"{folder}/batches/1") and opened.table("jobs_raw").count() == 3
     drop_folder(spark, folder)
     assert not folder_exists(spark, folder)
+
+
+def test_the_item_view_gives_the_items(spark, frames):
+    from jobtide.operators.items import requirement_items
+
+    store.register_store(spark, frames.store_folder, "item_view_db")
+    view = spark.table("item_view_db.job_requirement_items")
+    items = requirement_items(frames.stored["job_requirements"])
+    assert view.columns == items.columns and items.count() > 0
+    assert view.exceptAll(items).count() == 0 and items.exceptAll(view).count() == 0
