@@ -217,7 +217,8 @@ def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) ->
     asked = _keyed(queries.select("hi", "lo").distinct(), radius, turned=True)
     held = _keyed(classes, radius, turned=False).select("key", F.col("hi").alias("o_hi"), F.col("lo").alias("o_lo"), "n")
     differ = F.bit_count(F.col("hi").bitwiseXOR(F.col("o_hi"))) + F.bit_count(F.col("lo").bitwiseXOR(F.col("o_lo")))
-    met = asked.join(held, "key").filter(differ <= radius).dropDuplicates(["hi", "lo", "o_hi", "o_lo"])
+    # Spark's estimate of the exploded questions is far too low: neither side may be broadcast on it.
+    met = asked.join(held.hint("merge"), "key").filter(differ <= radius).dropDuplicates(["hi", "lo", "o_hi", "o_lo"])
     return met.groupBy("hi", "lo").agg(F.sum("n").alias("n_near"))
 
 
