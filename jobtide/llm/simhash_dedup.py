@@ -15,8 +15,9 @@ are what is asked for, are the same.
 
 ``without_near_duplicates`` cleans a corpus by the same search, with parameters of its own:
 fingerprints over the set of words find candidates, which must share four fifths of their
-shingles of five words to be linked.  With judged links a spanning forest is not enough, as
-the links it leaves out may be the true ones, so each text also meets its closest under every key.
+shingles of five words to be linked.  No distance of fingerprints is sure to hold all such
+pairs, so what the search has not connected is completed exactly: texts that share so much
+have one of their first shingles in common, the rare ones being first (prefix filter).
 
 Defined cases: a null text is empty; a text without words has fingerprint zero,
 which links like any other.  Rows without ``doc_id`` are linked, but lend no
@@ -26,6 +27,7 @@ fingerprint.  Other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,18 +131,7 @@ def _forest(members: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
                 yield from ((int(root), int(x)) for x in found)
 
 
-def _nearest(members: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
-    """Of every distinct fingerprint the closest other one, if it is within the radius."""
-    for at in range(0, len(members), 256):
-        apart = np.bitwise_count(members[at : at + 256, None] ^ members[None, :])
-        rows = np.arange(len(apart))
-        apart[rows, at + rows] = 255
-        best = apart.argmin(axis=1)
-        for i in np.flatnonzero(apart[rows, best] <= radius).tolist():
-            yield int(members[at + i]), int(members[best[i]])
-
-
-def _link_runs(radius: int, nearest: bool = False):
+def _link_runs(radius: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +149,6 @@ def _link_runs(radius: int, nearest: bool = False):
             useful = (size > 1) & ((wild[starts] == 0) | ((ones > 0) & (ones < size)))
             runs = list(zip(starts[useful].tolist(), ends[useful].tolist(), strict=True))
             pairs = [p for a, z in runs for p in _forest(fp[a:z], radius)]
-            if nearest:
-                pairs += [p for a, z in runs if z - a > 2 for p in _nearest(fp[a:z], radius)]
             found = np.array(pairs, dtype=np.uint64).reshape(-1, 2).view(np.int64)
             return record_batch([found[:, 0], found[:, 1]], schema)
 
@@ -179,11 +168,10 @@ def _link_runs(radius: int, nearest: bool = False):
     return link
 
 
-def close_links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE, nearest: bool = False) -> DataFrame:
+def close_links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE) -> DataFrame:
     """``a, b``: links that join the same fingerprints as all pairs within the radius would.
 
-    ``nodes``: distinct fingerprints in ``fp``.  With ``nearest`` there is also, under every key, a
-    link from each fingerprint to its closest one: what to ask for if links are judged afterwards.
+    ``nodes``: distinct fingerprints in ``fp``.
     """
     index = _indexed(nodes, segment_keys(radius))
     rest = {(_signed(m), _signed(w)): r for m, w, r in segment_keys(radius)}
@@ -196,7 +184,7 @@ def close_links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE, near
         last = hot is None or hot.isEmpty()
         calm = index if last else index.join(hot, key, "left_anti")
         links = kept(
-            calm.repartition(*key).sortWithinPartitions(*key).mapInArrow(_link_runs(radius, nearest), "a long, b long").distinct()
+            calm.repartition(*key).sortWithinPartitions(*key).mapInArrow(_link_runs(radius), "a long, b long").distinct()
         )
         found = links if found is None else found.union(links)
         if last:
@@ -253,8 +241,12 @@ def shingle_set(text: str, words: int = GROUP_WORDS) -> tuple[int, np.ndarray]:
         part = each[at : at + (1 << 16)]
         votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     fp = int(np.packbits(votes * 2 > len(each), bitorder="little").view(np.uint64)[0])
+    line = b" ".join(found)
+    ends = np.cumsum([len(w) + 1 for w in found])
     n = max(1, len(found) - words + 1)
-    hashes = np.array([digest(b" ".join(found[i : i + words]), SEED) for i in range(n)], dtype=np.uint64)
+    starts = np.concatenate(([0], ends[: n - 1])).tolist()
+    spans = zip(starts, (ends[min(words, len(found)) - 1 :] - 1).tolist(), strict=True)
+    hashes = np.array([digest(line[a:b], SEED) for a, b in spans], dtype=np.uint64)
     hashes.sort()
     return fp, hashes[np.concatenate(([True], hashes[1:] != hashes[:-1]))]
 
@@ -273,6 +265,148 @@ def shared_part(a: bytes, b: bytes) -> float:
     return shared / (len(both) - shared)
 
 
+#: Bits of the map that tells which nodes are asked for.
+MARKS = 1 << 26
+
+
+def marks_of(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of the nodes, of fixed size: of a node that is not marked nothing is asked."""
+    at = nodes.select((F.pmod("node", F.lit(MARKS)) + 1).alias("at"))
+    found = at.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    marks = np.zeros(MARKS // 8, dtype=np.uint8)
+    for part, bits in found.collect():
+        marks[(part - 1) * len(bits) : part * len(bits)] = np.frombuffer(bits, dtype=np.uint8)
+    return marks
+
+
+def marked(marks: np.ndarray, node: int) -> bool:
+    at = node % MARKS
+    return bool(marks[at >> 3] >> (at & 7) & 1)
+
+
+#: Shingles that a task meets so often among so many are counted as frequent, and so many of the most frequent are known
+#: by name.  That orders the shingles of a text, and decides nothing.
+OFTEN, COUNTED, MOST_FREQUENT = 4, 1 << 22, 200_000
+
+
+def frequent_shingles(texts: DataFrame, words: int = GROUP_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts have, ascending, and the rank of each, the most frequent last."""
+    schema = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def often() -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            return record_batch([found[n >= OFTEN].view(np.int64), n[n >= OFTEN]], schema)
+
+        for batch in slices(batches):
+            held += [shingle_set(t, words)[1] for t in batch.column("text").to_pylist()]
+            size += sum(len(x) for x in held[-batch.num_rows :])
+            if size >= COUNTED:
+                yield often()
+                held, size = [], 0
+        if held:
+            yield often()
+
+    many = texts.mapInArrow(counted, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rows = many.orderBy(F.col("n").desc(), "shingle").limit(MOST_FREQUENT).select("shingle").collect()
+    found = np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], (len(found) - order).astype(np.int64)
+
+
+def first_shingles(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """So many shingles, the rare ones first, that two texts with ``similarity`` have one of them in common."""
+    n = len(shingles)
+    if not n:
+        return shingles
+    known, ranks = frequent
+    rank = np.zeros(n, dtype=np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        rank = np.where(known[at] == shingles, ranks[at], 0)
+    return shingles[np.lexsort((shingles, rank))][: n - math.ceil(similarity * n - 1e-9) + 1]
+
+
+def _apart(similarity: float):
+    """Pairs of a run of ``shingle, node, label, size, at`` that may be similar and are in different groups."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    share = similarity / (1 + similarity)
+
+    def pairs_of(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All pairs whose sizes fit, a block at a time; ``at`` is where the shingle stands in the text's order."""
+        if len(rows) < 2 or (rows[:, 2] == rows[0, 2]).all():
+            return
+        rows = rows[np.argsort(rows[:, 3], kind="stable")]
+        node, label, size, at = rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4]
+        ends = np.searchsorted(size, size / similarity + 1e-6, side="right")
+        step = max(1, (1 << 20) // len(rows))
+        for low in range(0, len(rows), step):
+            i, j = np.arange(low, min(low + step, len(rows))), np.arange(low, ends[min(low + step, len(rows)) - 1])
+            left = np.minimum((size - at)[i, None], (size - at)[None, j])  # what can be shared from here on
+            near = (label[i, None] != label[None, j]) & (i[:, None] < j[None, :])
+            near &= left >= share * (size[i, None] + size[None, j]) - 1e-6
+            x, y = np.nonzero(near)
+            if len(x):
+                a, b = node[i[x]], node[j[y]]
+                yield record_batch([np.minimum(a, b), np.maximum(a, b)], schema)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by shingle.  Only the run at a batch's end is carried over."""
+        held: list[np.ndarray] = []
+        for batch in batches:
+            rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if not len(rows):
+                continue
+            cuts = np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1
+            runs = np.split(rows, cuts)
+            if held and held[0][0, 0] != runs[0][0, 0]:
+                yield from pairs_of(np.concatenate(held))
+                held = []
+            for run in runs[:-1]:
+                yield from pairs_of(np.concatenate([*held, run]) if held else run)
+                held = []
+            held.append(runs[-1])
+        if held:
+            yield from pairs_of(np.concatenate(held))
+
+    return met
+
+
+def unconnected_pairs(
+    texts: DataFrame, labels: DataFrame, words: int = GROUP_WORDS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """``a, b``: nodes of different groups, among them every pair that shares ``similarity`` of its shingles.
+
+    ``labels``: ``node, label``, the group of every node.  Texts meet under each of their first
+    shingles; groups that are connected already are not compared within.
+    """
+    frequent = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, words))
+    schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("first", pa.binary())])
+    opened = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("label", pa.int64()), ("size", pa.int64()), ("at", pa.int64())])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingle_set(t, words)[1] for t in batch.column("text").to_pylist()]
+            firsts = [first_shingles(x, frequent.value, similarity).tobytes() for x in sets]
+            yield record_batch([[node_of(x) for x in sets], [len(x) for x in sets], firsts], schema)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [np.frombuffer(x, dtype=np.int64) for x in batch.column("first").to_pylist()]
+            n = [len(x) for x in found]
+            columns = [np.repeat(batch.column(c).to_numpy(), n) for c in ("node", "label", "size")]
+            at = np.concatenate([np.arange(k) for k in n])
+            yield record_batch([np.concatenate(found), *columns, at], opened)
+
+    firsts = texts.mapInArrow(first, "node long, size long, first binary").dropDuplicates(["node"]).join(labels, "node")
+    rows = firsts.select("node", "label", "size", "first").mapInArrow(
+        each, "shingle long, node long, label long, size long, at long"
+    )
+    return rows.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_apart(similarity), "a long, b long").distinct()
+
+
 def without_near_duplicates(
     docs: DataFrame,
     words: int = GROUP_WORDS,
@@ -282,9 +416,10 @@ def without_near_duplicates(
 ) -> DataFrame:
     """One row of each group of near duplicates, with all its columns; texts are as they were.
 
-    Texts are linked if the fingerprints over their words are within the radius, found by
-    deletion-variant signatures, and they share ``similarity`` of their shingles.  Groups are
-    what links connect.  Of a group the smallest ``doc_id`` stays; rows without one come last,
+    Texts are linked if they share ``similarity`` of their shingles, whatever their fingerprints.
+    Most links are found by deletion-variant signatures of the fingerprints over their words, and
+    judged by the shingles; pairs that are not connected by these are met by their first shingles,
+    and judged alike.  Groups are what links connect.  Of a group the smallest ``doc_id`` stays; rows without one come last,
     and of rows with one id, or without, the smallest text.  Texts with the same set of shingles
     are one group, whatever their ids; so are empty and null texts.
     """
@@ -301,9 +436,16 @@ def without_near_duplicates(
             columns = [batch.column("doc_id"), [node_of(x) for _, x in found], fps, [len(x) for _, x in found]]
             yield record_batch(columns, prints_schema)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, found in each(batches):
-            yield record_batch([[node_of(x) for _, x in found], [x.tobytes() for _, x in found]], sets_schema)
+    def sets_of(marks):
+        """Shingles of the nodes that are marked: others are not moved."""
+
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, found in each(batches):
+                named = [(node_of(x), x) for _, x in found]
+                named = [(node, x.tobytes()) for node, x in named if marked(marks.value, node)]
+                yield record_batch([[n for n, _ in named], [x for _, x in named]], sets_schema)
+
+        return sets
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,16 +456,26 @@ def without_near_duplicates(
     texts = texts_of(docs)
     found = kept(texts.mapInArrow(prints, "doc_id long, node long, fp long, size long"))
     nodes = kept(found.groupBy("node").agg(F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("doc_id").alias("first_id")))
-    pairs = kept(_node_pairs(nodes, close_links(nodes.select("fp").distinct(), radius, dense, nearest=True)))
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    known = texts.mapInArrow(sets, "node long, shingles binary").join(asked, "node", "left_semi")
-    known = kept(known.dropDuplicates(["node"]))
-    side = lambda c: known.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_shingles"))
-    links = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(judged, "a long, b long")
-    labels = components(kept(links))
-    named = nodes.join(labels, nodes.node == labels.node, "left").select(
-        nodes.node, "first_id", F.coalesce("label", nodes.node).alias("label")
-    )
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """Pairs of nodes that share enough."""
+        pairs = kept(pairs)
+        asked = kept(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+        marks = docs.sparkSession.sparkContext.broadcast(marks_of(asked))
+        known = texts.mapInArrow(sets_of(marks), "node long, shingles binary").join(asked, "node", "left_semi")
+        known = kept(known.dropDuplicates(["node"]))
+        side = lambda c: known.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_shingles"))
+        return kept(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(judged, "a long, b long"))
+
+    def groups(links: DataFrame) -> DataFrame:
+        labels = components(links).withColumnRenamed("label", "_label")
+        return nodes.join(labels, nodes.node == labels.node, "left").select(
+            nodes.node, "first_id", F.coalesce("_label", nodes.node).alias("label")
+        )
+
+    links = links_of(_node_pairs(nodes, close_links(nodes.select("fp").distinct(), radius, dense)))
+    near = kept(groups(links))
+    rest = links_of(unconnected_pairs(texts, near.select("node", "label"), words, similarity))
+    named = near if rest.isEmpty() else groups(links.union(rest))
     # Of each group the node with the smallest id; ids are missing only where no row of the group has one.
     first = named.groupBy("label").agg(F.min(F.struct(F.col("first_id").isNull().alias("lacks"), "first_id", "node")).alias("f"))
     stay = first.select(F.col("f.node").alias("_node"))

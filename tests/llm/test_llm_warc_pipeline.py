@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import brute
+import numpy as np
 import pytest
 
 from jobtide.llm import quality, simhash_dedup, warc
@@ -134,6 +135,43 @@ def test_near_duplicates_are_found_and_others_stay(spark):
     assert len(left - first) <= 0.1 * (len(rows) - len(first)) and len(rows) - len(first) > 100
 
 
+def test_near_duplicates_are_linked_whatever_their_fingerprints(spark):
+    """Over all pairs: every link of four fifths counts, however far the fingerprints of its texts lie apart."""
+    rng = random.Random(21)
+    rows = {}
+    for i in range(120):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(28, 60))]
+        rows[i] = " ".join(words)
+        rows[1000 + i] = " ".join(words + [f"v{rng.randrange(400)}" for _ in range(i % 7)])
+        rows[2000 + i] = " ".join([f"u{rng.randrange(400)}" for _ in range(i % 5)] + words)
+    prints = {d: simhash_dedup.shingle_set(t)[0] for d, t in rows.items()}
+    named = brute.similar_components(rows)
+    far = [d for d in rows if named[d] != d and (prints[d] ^ prints[named[d]]).bit_count() > simhash_dedup.GROUP_RADIUS]
+    assert len(far) > 10
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in simhash_dedup.without_near_duplicates(docs).collect()} == {d for d in rows if named[d] == d}
+
+
+def test_first_shingles_of_similar_texts_meet(spark):
+    """Whatever shingles are known as frequent; and groups that are connected are not compared within."""
+    rng = np.random.default_rng(5)
+    known = np.unique(rng.integers(0, 400, 60, dtype=np.uint64))
+    ranks = 1 + rng.permutation(len(known))
+    for _ in range(300):
+        both = rng.choice(400, rng.integers(1, 60), replace=False).astype(np.uint64)
+        one = np.unique(both[: max(1, int(len(both) * rng.uniform(0.8, 1)))])
+        other = np.unique(both)
+        firsts = [simhash_dedup.first_shingles(x, (known, ranks), 0.8) for x in (one, other)]
+        if len(one) >= 0.8 * len(other):
+            assert set(firsts[0].tolist()) & set(firsts[1].tolist())
+    rows = [(i, " ".join(f"w{j}" for j in range(40)) + f" end{i}") for i in range(6)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = [simhash_dedup.node_of(simhash_dedup.shingle_set(t)[1]) for _, t in rows]
+    for groups, pairs in ((range(6), 15), ([0, 0, 0, 1, 1, 1], 9), ([0] * 6, 0)):
+        labels = spark.createDataFrame(list(zip(nodes, groups, strict=True)), "node long, label long")
+        assert simhash_dedup.unconnected_pairs(texts, labels).count() == pairs
+
+
 def test_near_duplicates_on_odd_rows(spark):
     base = " ".join(f"word{i}" for i in range(100))
     near, far = base + " more", base.replace("word5 ", "x ")
