@@ -100,26 +100,28 @@ def with_terms(df: DataFrame, text_col: str, terms: DataFrame | Sequence[Term])
     if head is None:
         frame = terms if isinstance(terms, DataFrame) else terms_frame(df.sparkSession, terms)
         return with_terms_by_join(df, text_col, frame)
-    longest = max((n_words for _, n_words, _, _ in head), default=1)
-    staged = with_computed(df, _words=tokens(F.col(text_col)))
-    staged = with_computed(staged, _phrases=phrases(F.col("_words"), longest))
+    staged = with_computed(df, _line=F.concat(F.lit(" "), F.array_join(tokens(F.col(text_col)), " "), F.lit(" ")))
     for item_type, field in _FIELD_OF_TYPE.items():
         names: dict[str, list[str]] = {}
         for phrase, _, kind, canonical in head:
             if kind == item_type:
                 names.setdefault(phrase, []).append(canonical)
-        staged = staged.withColumn(field, _inline_hits(F.col("_phrases"), names))
-    return staged.drop("_words", "_phrases")
+        staged = staged.withColumn(field, _inline_hits(F.col("_line"), names))
+    return staged.drop("_line")
 
 
-def _inline_hits(found: Column, names: dict[str, list[str]]) -> Column:
+def _inline_hits(line: Column, names: dict[str, list[str]]) -> Column:
+    """Sorted names of the phrases that stand in ``line``: tokens with one space before, between and after them.
+
+    No token holds a space, so a phrase between spaces is a run of whole tokens; the runs of a text are not listed.
+    """
     if not names:
         return F.array().cast("array<string>")
-    known = F.array(*[F.lit(p) for p in names])
+    known = F.array(*[F.lit(f" {p} ") for p in names])
     canonical = F.create_map(
-        *[x for p, cs in names.items() for x in (F.lit(p), F.array(*[F.lit(c) for c in cs]))]
+        *[x for p, cs in names.items() for x in (F.lit(f" {p} "), F.array(*[F.lit(c) for c in cs]))]
     )
-    hits = F.transform(F.array_intersect(found, known), lambda p: F.element_at(canonical, p))
+    hits = F.transform(F.filter(known, lambda p: F.contains(line, p)), lambda p: F.element_at(canonical, p))
     return F.array_sort(F.array_distinct(F.flatten(hits)))
 
 

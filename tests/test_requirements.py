@@ -180,3 +180,21 @@ def test_backlog_keeps_failed_and_skipped_jobs(spark):
         "source string, source_job_id string, extraction_status string",
     )
     assert sorted(r.source_job_id for r in R.extraction_backlog(jobs, done).collect()) == ["1", "2", "3"]
+
+
+def test_inline_terms_list_no_phrases_and_equal_the_join(spark):
+    """Every term is looked for in the line of tokens: runs of words are not built; null, repeats and line ends as before."""
+    from jobtide.operators.requirements import Term, terms_frame, with_terms, with_terms_by_join
+
+    terms = [
+        Term("c", "technical_tool", "C"), Term("c++", "technical_tool", "C++"), Term("sql", "technical_tool", "SQL"),
+        Term("Machine  Learning", "technical_concept", "ML"), Term("machine learning", "technical_concept", "Learning"),
+        Term("a a", "technical_concept", "AA"), Term(".net", "certification", ".NET"),
+    ]
+    texts = [None, "", "c++", "C, C++", "machine\nlearning", "Machine-learning sql", "machine learnings", "a a a", "aa a", "x.net .NET", "sqlc"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    found = with_terms(df, "text", terms)
+    by_join = with_terms_by_join(df, "text", terms_frame(spark, terms))
+    assert sorted(found.collect()) == sorted(by_join.collect(), key=lambda r: r.n)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" not in plan and "array_intersect(" not in plan
