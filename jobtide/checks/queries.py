@@ -26,6 +26,8 @@ from jobtide.streaming.ingest import ingest_stream, read_target
 
 Query = Callable[[Frames], DataFrame]
 LISTS = list(req.LIST_FIELDS)
+#: Micro-batches of the stream, and rows of one of their files.
+STREAM_BATCHES, STREAM_FILE_ROWS = 4, 250_000
 
 
 def _texts(df: DataFrame, *columns: str) -> DataFrame:
@@ -106,9 +108,11 @@ def _catalog(f: Frames) -> DataFrame:
 def _stream(f: Frames) -> DataFrame:
     orders = f.spark.read.parquet(f"{f.sf_dir}/orders.parquet")
     path = f"{shared_folder(f.spark)}/stream-{uuid4().hex}"
-    # Several files and micro-batches; postings of one key come in different ones.
-    orders.repartition(4, "o_orderkey").write.parquet(f"{path}_in")
-    landed = f.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}_in")
+    # Several files and micro-batches; postings of one key come in different ones.  A task sorts what
+    # it reads, so larger batches have more files, not larger ones.
+    files = -(-orders.count() // (STREAM_BATCHES * STREAM_FILE_ROWS)) or 1
+    orders.repartition(STREAM_BATCHES * files, "o_orderkey").write.parquet(f"{path}_in")
+    landed = f.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", files).parquet(f"{path}_in")
 
     def prepare(batch: DataFrame) -> DataFrame:
         batch.createOrReplaceTempView("jt_stream_orders")
