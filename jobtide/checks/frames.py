@@ -18,9 +18,12 @@ from jobtide.plans import pipeline
 from jobtide.plans.rollups import rolled_up
 from jobtide.plans.store import open_store, run_stored
 from jobtide.schemas import KEY
-from jobtide.session import shared_folder
+from jobtide.session import folder_bytes, shared_folder
 from jobtide.sources.landing import timestamp
 
+#: Bytes of a table's file that one task takes: the tasks grow in number with the table, not in size.
+TASK_BYTES = 1 << 20
+
 #: The store of each application and input.
 _STORES: dict[tuple[str, str], str] = {}
 
@@ -37,14 +40,18 @@ class Frames:
     def cores(self) -> int:
         return min(self.spark.sparkContext.defaultParallelism, 64)
 
-    def is_small(self, table: DataFrame) -> bool:
-        """Is the table read by fewer tasks than there are cores?"""
-        return table.rdd.getNumPartitions() < self.cores
+    def tasks(self, name: str) -> int:
+        """Into how many tasks a given table is to be dealt: one per core, and more where its file is large."""
+        return max(self.cores, -(-folder_bytes(self.spark, f"{self.sf_dir}/{name}.parquet") // TASK_BYTES))
+
+    def is_small(self, name: str) -> bool:
+        """Is the table read by fewer tasks than it is to be dealt into?"""
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").rdd.getNumPartitions() < self.tasks(name)
 
     def given(self, name: str) -> DataFrame:
-        """A given table.  One small file would keep one core busy and the rest idle."""
+        """A given table.  One small file would keep one core busy and the rest idle, and a few large ones a few."""
         table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return table.repartition(self.cores) if self.is_small(table) else table
+        return table.repartition(self.tasks(name)) if self.is_small(name) else table
 
     def derived(self, sql: str, source: str, frame: DataFrame) -> DataFrame:
         view = f"{self._tag}_{source}"
@@ -91,9 +98,9 @@ class Frames:
 
     @cached_property
     def spread_postings(self) -> DataFrame:
-        """Postings placed by key.  A fixed number of partitions keeps a small set spread."""
-        if self.is_small(self.spark.read.parquet(f"{self.sf_dir}/orders.parquet")):
-            return self.postings.repartition(self.cores, *KEY)
+        """Postings placed by key.  A stated number of partitions keeps a small set spread."""
+        if self.is_small("orders"):
+            return self.postings.repartition(self.tasks("orders"), *KEY)
         return self.postings
 
     @cached_property

@@ -1,10 +1,22 @@
 """Work that is dealt by the size of the input."""
 
+from jobtide.checks import frames as frames_module
 from jobtide.checks import queries
 from jobtide.checks.frames import Frames
 from jobtide.session import folder_names, shared_folder
 
 
+def test_a_larger_file_is_dealt_into_more_tasks_not_larger_ones(spark, sf_dir, monkeypatch):
+    few = Frames(spark, sf_dir)
+    rows = few.given("pages").count()
+    monkeypatch.setattr(frames_module, "TASK_BYTES", 4 << 10)
+    many = Frames(spark, sf_dir)
+    assert many.given("pages").rdd.getNumPartitions() > many.cores
+    assert many.given("pages").count() == rows
+    assert many.spread_postings.rdd.getNumPartitions() > many.cores
+    assert many.descriptions.exceptAll(few.descriptions).isEmpty()
+
+
 def test_a_larger_stream_has_more_files_in_as_many_batches(spark, sf_dir, monkeypatch):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     monkeypatch.setattr(queries, "STREAM_FILE_ROWS", -(-orders // 20))
