@@ -17,9 +17,9 @@ from jobtide.functions.text import normalize_text
 from jobtide.operators import analytics, pages, postings, roles, upsert
 from jobtide.operators import requirements as requirement_ops
 from jobtide.operators.items import requirement_items
-from jobtide.plans import ingest, store
+from jobtide.plans import ingest, pipeline, store
 from jobtide.schemas import JOBS_RAW, KEY, TABLES
-from jobtide.session import shared_folder
+from jobtide.session import computed_once, shared_folder
 from jobtide.sources import tables
 from jobtide.sources.landing import land_postings
 from jobtide.streaming.ingest import ingest_stream, read_target
@@ -98,6 +98,14 @@ def _base_tables(f: Frames) -> dict[str, DataFrame]:
     }
 
 
+def _table_counts(f: Frames) -> DataFrame:
+    """Rows of all tables; jobs and requirements, from which other tables follow, are computed once."""
+    jobs = computed_once(f.jobs)
+    requirements = computed_once(pipeline.job_requirements(jobs, f.descriptions, X.TERMS))
+    later = {"jobs": jobs, "job_requirements": requirements, "job_requirement_items": requirement_items(requirements)}
+    return tables.table_counts({"jobs_raw": f.jobs_raw, "descriptions_raw": f.descriptions, **later})
+
+
 def _catalog(f: Frames) -> DataFrame:
     known = _base_tables(f)
     known.pop("job_requirement_items")
@@ -235,7 +243,7 @@ QUERIES: dict[str, Query] = {
     "upsert_jobs": _upsert_jobs,
     "upsert_requirements": _upsert_requirements,
     "constraint_violations": _violations,
-    "table_counts": lambda f: tables.table_counts(_base_tables(f)),
+    "table_counts": _table_counts,
     "catalog_overview": _catalog,
     "ingest_metrics": _metrics,
     "ingest_counts": _ingest_counts,
