@@ -145,11 +145,15 @@ class Frames:
     def items(self) -> DataFrame:
         return requirement_items(self.requirements)
 
+    @cached_property
+    def role_requirements(self) -> DataFrame:
+        """The same requirements, each with the role of its job."""
+        return pipeline.job_requirements(self.jobs, self.descriptions, X.TERMS, also=["role_title"])
+
     @cached_property
     def role_items(self) -> DataFrame:
         """The same items, each with the role of its job."""
-        carried = pipeline.job_requirements(self.jobs, self.descriptions, X.TERMS, also=["role_title"])
-        return requirement_items(carried)
+        return requirement_items(self.role_requirements)
 
     @cached_property
     def titles(self) -> DataFrame:

@@ -322,8 +322,8 @@ QUERIES: dict[str, Query] = {
         requirement_ops.parse_responses(f.responses), "extraction_status"
     ),
     "seniority_distribution": lambda f: analytics.distribution(f.requirements, "seniority"),
-    "role_seniority": lambda f: analytics.role_seniority(f.requirements, f.jobs),
-    "experience_by_role": lambda f: analytics.experience_by_role(f.requirements, f.jobs),
+    "role_seniority": lambda f: analytics.role_seniority(f.role_requirements, f.jobs),
+    "experience_by_role": lambda f: analytics.experience_by_role(f.role_requirements, f.jobs),
     "salary_by_role": lambda f: analytics.salary_by_role(f.jobs),
     "postings_by_month": lambda f: _months(analytics.postings_by_month(f.jobs_raw)),
     "postings_by_month_flagged": lambda f: _months(analytics.postings_by_month_flagged(f.jobs_raw)),

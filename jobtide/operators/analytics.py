@@ -13,7 +13,7 @@ MONTH_LABEL = "MMM-yy"
 
 
 def with_role(items: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Items with the role of their job; such as carry it already are not joined."""
+    """Items, or requirements, with the role of their job; such as carry it already are not joined."""
     if "role_title" in items.columns:
         return items
     return items.join(jobs.select(*KEY, "role_title"), KEY)
@@ -71,13 +71,13 @@ def distribution(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def role_seniority(requirements: DataFrame, jobs: DataFrame) -> DataFrame:
-    levels = requirements.select(*KEY, "seniority").join(jobs.select(*KEY, "role_title"), KEY)
+    levels = with_role(requirements, jobs)
     return levels.groupBy("role_title", "seniority").agg(F.count(F.lit(1)).alias("n"))
 
 
 def experience_by_role(requirements: DataFrame, jobs: DataFrame) -> DataFrame:
     """Years asked for per role; jobs that state none count only in ``n_jobs``."""
-    years = requirements.select(*KEY, "min_years", "max_years").join(jobs.select(*KEY, "role_title"), KEY)
+    years = with_role(requirements, jobs)
     return years.groupBy("role_title").agg(
         F.count(F.lit(1)).alias("n_jobs"),
         F.count("min_years").alias("n_stated"),

@@ -1,5 +1,7 @@
 """Work that is dealt by the size of the input."""
 
+from pyspark.sql import functions as F
+
 from jobtide.checks import frames as frames_module
 from jobtide.checks import queries
 from jobtide.checks.frames import Frames
@@ -29,3 +31,13 @@ def test_a_larger_stream_has_more_files_in_as_many_batches(spark, sf_dir, monkey
     assert len(batches) == queries.STREAM_BATCHES
     expected = Frames(spark, sf_dir).postings.select("source", "source_job_id").distinct()
     assert keys.count() == expected.count() and keys.exceptAll(expected).isEmpty()
+
+
+def test_roles_of_requirements_are_not_derived_again(frames):
+    from jobtide.operators import analytics
+
+    carried = frames.role_requirements
+    for ask in (analytics.role_seniority, analytics.experience_by_role):
+        nothing = frames.jobs.filter(F.lit(False))
+        assert ask(carried, nothing).exceptAll(ask(frames.requirements, frames.jobs)).isEmpty()
+        assert ask(carried, nothing).count() == ask(frames.requirements, frames.jobs).count() > 0
