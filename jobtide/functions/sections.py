@@ -28,6 +28,7 @@ from jobtide.functions.text import (
     normalize_hidden,
     normalize_text,
     plain_text,
+    searched,
     with_computed,
 )
 
@@ -36,7 +37,10 @@ from jobtide.functions.text import (
 # list closed inside an entry, a heading's name, or nothing.
 GROUP, LIST, BLOCK, END = "\x1c", "\x1d", "\x1e", "\x1f"
 
-HEADER = r"(?iU)\b(?:" + "|".join(SKILL_HEADERS) + r")\b"
+# A header begins a word, so no ASCII letter stands before it, and with one of few letters (or
+# beyond ASCII, where one may count as the same in another case): most places are ruled out by that.
+_FIRST = "".join(sorted({c for h in SKILL_HEADERS for c in h[0].lower() + h[0].upper()}))
+HEADER = rf"(?U)(?<![A-Za-z])(?=[{_FIRST}[^\x00-\x7f]])(?i)\b(?:" + "|".join(SKILL_HEADERS) + r")\b"
 
 NO_TEXT = f"{INVISIBLE}|<br\\s*/?>"
 LIST_TAG = r"(?i)<(ul|ol)\b[^>]*>|</(?:ul|ol)\s*>(\s*</li\s*>)?"
@@ -49,6 +53,7 @@ BLOCK_TAG = (
 # Bold text right above a list is the heading of that list.
 BOLD_ABOVE_LIST = r"(?is)(<(?:b|strong)\b[^>]*>[^<]*</(?:b|strong)\s*>\s*)(<(?:ul|ol)\b)"
 MARK = BLOCK + "(?:h|h[1-6]|H[1-6])?" + END
+MARK_OR_TAG = f"(?=[{BLOCK}<])(?:{MARK}|{TAG})"
 # A closed list followed by more text starts a new group.
 TEXT_AFTER_LIST = "(?U)" + LIST + END + r"((?:\s++|<[^>]*+>|" + MARK + r")*+[^\s<" + LIST + BLOCK + "])"
 MARKS = (
@@ -77,15 +82,15 @@ def strip_bullet(line: Column) -> Column:
 
 def mark_blocks(html: Column) -> Column:
     """The page with separator characters in place of its block and list tags."""
-    text = F.translate(decode_entities(html), NBSP, " ")
+    text = F.replace(decode_entities(html), F.lit(NBSP), F.lit(" "))
     for pattern, replacement in MARKS:
-        text = F.regexp_replace(text, pattern, replacement)
+        text = F.regexp_replace(text, pattern if pattern == TEXT_AFTER_LIST else searched(pattern), replacement)
     # Text before the first block tag belongs to no block: context only.
     return F.concat(F.lit("h" + END), text)
 
 
 def _inner_text(raw: Column) -> Column:
-    return normalize_hidden(F.regexp_replace(raw, f"{MARK}|{TAG}", ""))
+    return normalize_hidden(F.regexp_replace(raw, MARK_OR_TAG, ""))
 
 
 def _after_mark(piece: Column) -> Column:
@@ -97,7 +102,7 @@ def _group(parts: Column) -> Column:
 
     def text_block(piece: Column) -> Column:
         raw = _after_mark(piece)
-        kind = F.when(F.startswith(F.lower(F.left(piece, F.lit(1))), F.lit("h")), "H").otherwise("T")
+        kind = F.when(F.startswith(piece, F.lit("h")) | F.startswith(piece, F.lit("H")), "H").otherwise("T")
         return F.struct(kind.alias("kind"), raw.alias("raw"), _inner_text(raw).alias("text"))
 
     flow = F.filter(F.transform(F.split(parts[0], BLOCK), text_block), lambda b: b["text"] != "")
@@ -143,7 +148,7 @@ def _lines(raw: Column) -> Column:
 
     def classify(text: Column) -> Column:
         return F.struct(
-            text.alias("text"), is_bullet(text).alias("bullet"), (is_skill_header(text) & ~is_bullet(text)).alias("header")
+            text.alias("text"), is_bullet(text).alias("bullet"), (~is_bullet(text) & is_skill_header(text)).alias("header")
         )
 
     return F.transform(F.filter(texts, lambda t: t != ""), classify)

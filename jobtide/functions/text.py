@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from html.entities import html5
 
@@ -30,6 +31,16 @@ INVISIBLE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 TAG = r"<[/!?]?[A-Za-z][^>]*>"
 
 
+def searched(pattern: str) -> str:
+    """``pattern``, all alternatives of which begin with ``<``, with that in front: a search tries them nowhere else."""
+    flags = re.match(r"(?:\(\?[a-z]+\))?", pattern).group()
+    return f"{flags}(?=<)(?:{pattern[len(flags):]})"
+
+
+#: What ``normalize_text`` and ``normalize_hidden`` rewrite one for one; most texts hold none of it.
+_REWRITTEN = f"[{APOSTROPHES}{HIDDEN_LT}{HIDDEN_GT}]"
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, however often it is mentioned."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -60,26 +71,26 @@ def valid_json(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove white space, in the Unicode sense, from both ends."""
-    # The look-behind lets the end run start once, so long runs stay linear.
-    return F.regexp_replace(text, r"(?U)^\s+|(?<!\s)\s+$", "")
+    # A search stops at white space only.  The look-behind lets the end run start once, so long runs stay linear.
+    return F.regexp_replace(text, r"(?U)\s(?:(?<=\A\s)\s*+|(?<!\s\s)\s*+\z)", "")
 
 
 def collapse(text: Column) -> Column:
     """Every run of white space becomes one space; none is left at the ends."""
     # Single plain spaces are no match, so tidy text passes through untouched.
-    return F.trim(F.regexp_replace(text, r"(?U)[\s&&[^ ]]\s*+| \s++", " "))
+    return F.trim(F.regexp_replace(text, r"(?U)\s(?:(?<! )\s*+|\s++)", " "))
 
 
 def normalize_text(text: Column) -> Column:
     """One-line text: plain spaces, plain apostrophes, ``&amp;`` resolved; null becomes ''."""
-    text = F.translate(F.coalesce(text, F.lit("")), NBSP + APOSTROPHES, " " + "'" * len(APOSTROPHES))
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{APOSTROPHES}]", "'")  # NBSP is white space
     return collapse(F.replace(text, F.lit("&amp;"), F.lit("&")))
 
 
 def normalize_hidden(text: Column) -> Column:
     """``normalize_text`` for text whose decoded angle brackets are still hidden."""
-    hidden = NBSP + APOSTROPHES + HIDDEN_LT + HIDDEN_GT
-    text = F.translate(text, hidden, " " + "'" * len(APOSTROPHES) + "<>")
+    hidden, plain = APOSTROPHES + HIDDEN_LT + HIDDEN_GT, "'" * len(APOSTROPHES) + "<>"
+    text = bind(text, lambda t: F.when(t.rlike(_REWRITTEN), F.translate(t, hidden, plain)).otherwise(t))
     return collapse(F.replace(text, F.lit("&amp;"), F.lit("&")))
 
 
@@ -88,6 +99,15 @@ def _constant_map(table: dict[str, str]) -> Column:
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
+def _reference_named(entity: Column) -> Column:
+    """What HTML names so; null if nothing.  A map is read from its start, so names are kept by how they begin."""
+    by_start: dict[str, dict[str, str]] = {}
+    for name, text in html5.items():
+        by_start.setdefault(f"&{name}"[:3], {})[f"&{name}"] = text
+    names = F.from_json(F.lit(json.dumps(by_start)), "map<string,map<string,string>>")
+    return F.try_element_at(F.try_element_at(names, F.left(entity, F.lit(3))), entity)
+
+
 def _numbered(code: Column) -> Column:
     """The character of a number; one that stands for none is U+FFFD."""
     fits = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
@@ -102,10 +122,9 @@ def _entity_text(entity: Column) -> Column:
     quick = F.when(F.lit(False), F.lit(""))
     for name, char in common.items():
         quick = quick.when(entity == name, char)
-    names = _constant_map({f"&{name}": text for name, text in html5.items()})
     legacy = F.regexp_extract(entity, "^&(?:" + "|".join(LEGACY_NAMES) + ")", 0)
     by_prefix = F.when(
-        legacy != "", F.concat(F.try_element_at(names, legacy), F.substr(entity, F.length(legacy) + 1))
+        legacy != "", F.concat(_reference_named(legacy), F.substr(entity, F.length(legacy) + 1))
     )
     hexadecimal = F.regexp_extract(entity, "(?i)^&#x0*([0-9a-f]*);?$", 1)
     decimal = F.regexp_extract(entity, "^&#0*([0-9]*);?$", 1)
@@ -116,7 +135,7 @@ def _entity_text(entity: Column) -> Column:
         entity.startswith("&#"),
         _numbered(F.coalesce(F.when(entity.rlike("^&#[xX]"), hex_code).otherwise(code), F.lit(0).cast("bigint"))),
     )
-    return F.coalesce(quick, numbered, F.try_element_at(names, entity), by_prefix, entity)
+    return F.coalesce(quick, numbered, _reference_named(entity), by_prefix, entity)
 
 
 def replace_each(text: Column, pattern: str, use: Callable[[Column], Column]) -> Column:
@@ -132,7 +151,7 @@ def decode_entities(html: Column) -> Column:
 
     Text without ``&`` is left alone.
     """
-    html = F.translate(F.coalesce(html, F.lit("")), RESERVED, "")
+    html = F.regexp_replace(F.coalesce(html, F.lit("")), f"[{RESERVED}]", "")
 
     def shown(entity: Column) -> Column:
         return F.translate(_entity_text(entity), "<>", HIDDEN_LT + HIDDEN_GT)
@@ -146,7 +165,7 @@ def reveal(text: Column) -> Column:
 
 def text_nodes(html: Column) -> Column:
     """The visible pieces of text of a page in order, stripped, empty ones left out."""
-    pieces = F.split(F.regexp_replace(decode_entities(html), f"{INVISIBLE}|{TAG}", CUT), CUT)
+    pieces = F.split(F.regexp_replace(decode_entities(html), searched(f"{INVISIBLE}|{TAG}"), CUT), CUT)
     return F.filter(F.transform(pieces, lambda p: reveal(strip(p))), lambda p: p != "")
 
 
