@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from jobtide.fixed_values import EXACT_MATCH, FLEXIBLE_MATCH, KEYWORD_MATCH, NO_MATCH
 from jobtide.functions.text import WORD, with_computed
 from jobtide.functions.titles import keyword_role, whole_word_pattern, with_clean_title
+from jobtide.session import computed_once
 
 MAX_INLINE_ALIASES = 300
 # Aliases that may be broadcast to meet the distinct titles.
@@ -198,29 +199,44 @@ def matched_by_join(titles: DataFrame, taxonomy: DataFrame) -> DataFrame:
 def map_titles_by_join(
     df: DataFrame, taxonomy: DataFrame, title_col: str = "title", hot_rows: int = HOT_TITLE_ROWS
 ) -> DataFrame:
-    """``map_titles`` for a taxonomy of any size: match distinct titles, join back.
+    """``map_titles`` for a taxonomy of any size: clean and match distinct titles, join back.
 
-    A popular title may hold a third of the rows.  A title with more than
-    ``hot_rows`` rows gets one copy of its match per ``hot_rows`` of them, and its
-    rows are spread over the copies; other titles are joined as they are, and rows
-    without a title are spread over shares that hold no match.  The list of hot
-    titles is broadcast only if Spark finds it small.
+    A title is cleaned once, however many rows have it.  A popular title may hold a third
+    of the rows.  A title with more than ``hot_rows`` rows gets one copy of its match per
+    ``hot_rows`` of them, and its rows are spread over the copies; other titles are joined
+    as they are, and rows without a title are spread over shares that hold no match.  The
+    list of hot titles is met only if there are any, and broadcast only if Spark finds it small.
     """
-    staged = with_clean_title(df, title_col)
-    counted = staged.filter("cleaned_title <> ''").groupBy("cleaned_title").agg(F.count(F.lit(1)).alias("_n"))
+    title = F.col(title_col).cast("string")
+    counted = df.filter(title.isNotNull()).groupBy(title.alias("_title")).agg(F.count(F.lit(1)).alias("_n"))
+    cleaned = computed_once(with_clean_title(counted, "_title"))
+    distinct = cleaned.filter("cleaned_title <> ''").select("cleaned_title").distinct()
+    # Titles of which cleaning leaves nothing match nothing, and are not to meet in one place.
+    nowhere = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("_title"), F.lit(EMPTY_SHARES)))
+    met = cleaned.withColumn("_key", F.when(F.col("cleaned_title") == "", nowhere).otherwise(F.col("cleaned_title")))
+    found = matched_by_join(distinct, taxonomy).withColumnRenamed("cleaned_title", "_key")
     copies = (F.col("_n") / hot_rows).cast("int") + 1
-    matches = matched_by_join(counted.select("cleaned_title"), taxonomy).join(counted, "cleaned_title")
-    matches = matches.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_n")
-    hot = counted.filter(F.col("_n") >= hot_rows).select("cleaned_title", copies.alias("_copies"))
-    shares = F.when(F.col("cleaned_title") == "", F.lit(EMPTY_SHARES)).otherwise(F.coalesce("_copies", F.lit(1)))
-    share = F.pmod(F.col("_row"), shares).cast("int")
-    nowhere = F.concat(F.lit("\u0000"), F.pmod(F.col("_row"), F.lit(EMPTY_SHARES)))
-    placed = staged.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "_key", F.when(F.col("cleaned_title") == "", nowhere).otherwise(F.col("cleaned_title"))
+    matches = _with_outcome(met.join(found, "_key", "left")).select(
+        "_title", "cleaned_title", "matched_role", "match_method", F.explode(F.sequence(F.lit(0), copies - 1)).alias("_salt")
     )
-    spread = placed.join(hot.withColumnRenamed("cleaned_title", "_key"), "_key", "left").withColumn("_salt", share)
-    return _with_outcome(spread.join(matches, ["cleaned_title", "_salt"], "left")).select(
-        *df.columns, "cleaned_title", "matched_role", "match_method"
+    placed = df.drop("cleaned_title", "matched_role", "match_method").withColumn("_row", F.monotonically_increasing_id())
+    placed = placed.withColumn("_title", title)
+    share = F.lit(0)
+    hot = cleaned.filter(F.col("_n") >= hot_rows).select("_title", copies.alias("_copies"))
+    if not hot.isEmpty():
+        away = F.concat(F.lit("\u0000"), F.pmod(F.col("_row"), F.lit(EMPTY_SHARES)))
+        placed = placed.withColumn("_key", F.coalesce("_title", away))
+        placed = placed.join(hot.withColumnRenamed("_title", "_key"), "_key", "left")
+        share = F.pmod(F.col("_row"), F.coalesce("_copies", F.lit(1))).cast("int")
+    # No match has a share below zero.
+    untitled = (-1 - F.pmod(F.col("_row"), F.lit(EMPTY_SHARES))).cast("int")
+    spread = placed.withColumn("_salt", F.when(F.col("_title").isNull(), untitled).otherwise(share))
+    spread = spread.withColumn("_title", F.coalesce("_title", F.lit("")))
+    return spread.join(matches, ["_title", "_salt"], "left").select(
+        *df.columns,
+        F.coalesce("cleaned_title", F.lit("")).alias("cleaned_title"),
+        "matched_role",
+        F.coalesce("match_method", F.lit(NO_MATCH)).alias("match_method"),
     )
 
 

@@ -239,3 +239,17 @@ def test_a_hundred_thousand_aliases(spark):
     assert len(got) == len(titles) + 2
     for i, title in titles:
         assert got[i][0] == f"role {i}", title
+
+
+def test_joined_titles_are_cleaned_once(spark):
+    """The rules work on distinct titles, before the rows are met; rows stay whole, hot, blank or without a title."""
+    titles = ["Senior Data Engineer", "senior  data engineer", "Senior", "", None, "\u00005", "12", "Cook", "Data Analyst"]
+    rows = [(i, titles[i % len(titles)], "x") for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, title string, match_method string")
+    plain = R.map_titles(df.drop("match_method"), ROLES)
+    for hot_rows in (30, 1000):
+        out = R.map_titles_by_join(df, R.taxonomy_frame(spark, ROLES), hot_rows=hot_rows)
+        assert "stagaire" not in out._jdf.queryExecution().optimizedPlan().toString()
+        out = R.map_titles_by_join(df.drop("match_method"), R.taxonomy_frame(spark, ROLES), hot_rows=hot_rows)
+        assert out.columns == plain.columns and out.count() == 900
+        assert out.exceptAll(plain).isEmpty()
