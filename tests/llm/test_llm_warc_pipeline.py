@@ -216,3 +216,40 @@ def test_pipeline_on_odd_rows(spark, frame, odd_rows, sf_dir):
     for _, stage in P.STAGES:
         empty = stage(spark, empty, sf_dir)
     assert empty.count() == 0
+
+
+def test_sketches_leave_every_pair_that_shares_enough():
+    rng = np.random.default_rng(8)
+    pairs, n_shared = [], 0
+    for _ in range(2000):
+        both = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 3000), dtype=np.uint64))
+        own = np.unique(rng.integers(0, 1 << 63, rng.integers(0, 1 + len(both) // 3), dtype=np.uint64))
+        pairs.append((both[int(len(both) * rng.uniform(0, 0.3)) :], np.union1d(both, own)))
+    sides = [np.array([np.frombuffer(simhash_dedup.sketch_of(p[i]), dtype=np.uint8) for p in pairs]) for i in (0, 1)]
+    sizes = np.array([len(a) + len(b) for a, b in pairs])
+    left = simhash_dedup.may_share(*sides, sizes, 0.8)
+    for (a, b), kept in zip(pairs, left, strict=True):
+        shares = simhash_dedup.shared_part(a.tobytes(), b.tobytes()) >= 0.8
+        n_shared += shares
+        assert kept or not shares
+    assert n_shared > 200
+    unrelated = sizes + np.roll(sizes, 1) <= 3000
+    mixed = np.array([len(pairs[i][0]) + len(pairs[i - 1][1]) for i in range(len(pairs))])
+    others = simhash_dedup.may_share(sides[0], np.roll(sides[1], 1, axis=0), mixed, 0.8)
+    assert unrelated.sum() > 100 and others[unrelated].mean() < 0.02
+
+
+def test_sets_of_shingles_are_not_stored(spark):
+    """What is compared is moved, not written a second time; the same rows stay."""
+    from jobtide.llm.common import working_folder
+    from jobtide.session import folder_bytes
+
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(1500)) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + " end") for i, t in enumerate(texts)] + [(500, texts[7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folder = working_folder(spark)
+    before = folder_bytes(spark, folder)
+    left = simhash_dedup.without_near_duplicates(docs)
+    assert folder_bytes(spark, folder) - before < 120 * 1500 * 8 / 2
+    assert {r.doc_id for r in left.collect()} == set(range(60))
