@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType
 
 from jobtide.llm.common import SPACES, kept, record_batch, slices, texts_of
 
@@ -166,24 +166,29 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     )
 
 
-@F.pandas_udf(StringType())
-def _kept_text(text: pd.Series, keep: pd.Series) -> pd.Series:
+def keep_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``text`` without the lines whose bit in ``keep`` is 0; the column ``keep`` goes, the others stay.
+
+    Few texts are Python objects at a time, and each is handed back with its slice: a column of
+    whole texts would be held several times over, as Arrow and as Python objects, in and out.
+    """
+
     def one(text: str, keep: bytes) -> str:
         lines = text.split("\n")
         bits = np.unpackbits(np.frombuffer(zlib.decompress(keep), dtype=np.uint8), count=len(lines))
         return text if bits.all() else "\n".join(line for line, bit in zip(lines, bits, strict=True) if bit)
 
-    return pd.Series([one(*x) for x in zip(text, keep, strict=True)], dtype=object)
+    for batch in slices(batches):
+        at, kind = batch.schema.get_field_index("text"), batch.schema.field("text").type
+        pairs = zip(batch.column("text").to_pylist(), batch.column("keep").to_pylist(), strict=True)
+        texts = pa.array([one(*x) for x in pairs], type=kind)
+        yield batch.set_column(at, "text", texts).drop_columns(["keep"])
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, *more: str) -> DataFrame:
     """``doc_id``, ``text`` after the drop, ``n_lines``, ``n_dropped`` and the columns named."""
     keyed = with_text_key(docs, *more).alias("d")
     same = F.expr("d.doc_id <=> b.doc_id AND d.text_key = b.text_key")
-    return keyed.join(bitmaps.alias("b"), same).select(
-        "d.doc_id",
-        _kept_text("d.text", "b.keep").alias("text"),
-        *(F.col(f"d.{c}") for c in more),
-        "b.n_lines",
-        "b.n_dropped",
-    )
+    columns = ["d.doc_id", "d.text", *(f"d.{c}" for c in more), "b.n_lines", "b.n_dropped"]
+    joined = keyed.join(bitmaps.alias("b"), same).select(*columns, "b.keep")
+    return joined.mapInArrow(keep_lines, joined.drop("keep").schema)

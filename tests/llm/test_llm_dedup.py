@@ -1,7 +1,9 @@
 import random
+import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,17 @@ def test_lines_split_over_ranges(spark, frame):
     assert got == brute.line_dedup(rows)
 
 
+def test_lines_are_dropped_a_few_texts_at_a_time():
+    """One large batch of texts comes back in small ones, so no column of whole texts is built in a task."""
+    texts = [f"kept {i}\ngone\n\nkept too" for i in range(1201)]
+    bits = zlib.compress(np.packbits([True, False, True, True]).tobytes())
+    whole = pa.RecordBatch.from_pydict({"doc_id": range(1201), "text": texts, "keep": [bits] * 1201, "n": [4] * 1201})
+    parts = list(line_dedup.keep_lines(iter([whole])))
+    assert max(p.num_rows for p in parts) <= 500
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert rows == [{"doc_id": i, "text": f"kept {i}\n\nkept too", "n": 4} for i in range(1201)]
+
+
 def test_lines_empty_table(frame):
     assert lines_of(frame([])) == []
 
